@@ -10,9 +10,7 @@ from velometry.functions.timeparts import in_days
 HOURLY = ("name", "date", "hour", "hourly_bike_movement", "latitude", "longitude")
 
 
-def hourly_movements(
-    trips: DataFrame, days: tuple[str, str] | None = None
-) -> DataFrame:
+def hourly_movements(trips: DataFrame, days: tuple[str, str] | None = None) -> DataFrame:
     """Departures and arrivals per station, date and hour, from one scan.
 
     A trip yields its two ends as two rows, and one count takes both: there is
@@ -33,12 +31,18 @@ def hourly_movements(
             F.lit(0),
             F.lit(1),
         ).alias("name", "at", "departed", "arrived")
-    ).filter(F.col("name").isNotNull() & F.col("at").isNotNull())
+    )
     if days is not None:
         ends = ends.filter(in_days("at", *days))
-    return ends.groupBy(
-        "name", F.col("at").cast("date").alias("date"), F.hour("at").alias("hour")
-    ).agg(F.sum("departed").alias("departures"), F.sum("arrived").alias("arrivals"))
+    keys = {"date": F.col("at").cast("date"), "hour": F.hour("at")}
+    # The keys are null-checked here, so that a later join on them adds no
+    # check of its own and every use of this count is the same shuffle.
+    return (
+        ends.withColumns(keys)
+        .filter(F.col("name").isNotNull() & F.col("date").isNotNull() & F.col("hour").isNotNull())
+        .groupBy("name", *keys)
+        .agg(F.sum("departed").alias("departures"), F.sum("arrived").alias("arrivals"))
+    )
 
 
 def hourly_departures(trips: DataFrame) -> DataFrame:

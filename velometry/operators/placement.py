@@ -64,10 +64,15 @@ def centres_as_list(recommended: DataFrame) -> DataFrame:
 
 
 def assign_clusters(
-    df: DataFrame, lat: str, lon: str, k: int = 10, out: str = "cluster"
+    df: DataFrame, lat: str, lon: str, k: int = 10, out: str = "cluster", cut: bool = True
 ) -> DataFrame:
-    """``df`` with the cluster of each row's point in column ``out``."""
-    model = _fit(cut_lineage(_points(df, lat, lon)), k).setPredictionCol(out)
+    """``df`` with the cluster of each row's point in column ``out``.
+
+    ``df`` is read by the fit and again by the result.  It is checkpointed
+    first, unless ``cut`` is off because it comes from a table anyway.
+    """
+    df = cut_lineage(df) if cut else df
+    model = _fit(_points(df, lat, lon), k).setPredictionCol(out)
     assembler = VectorAssembler(inputCols=[lat, lon], outputCol="features")
     return model.transform(assembler.transform(df)).drop("features")
 
@@ -78,8 +83,8 @@ def assign_pickups(df: DataFrame, k: int = 10) -> DataFrame:
 
 
 def assign_dropoffs(df: DataFrame, k: int = 10) -> DataFrame:
-    """Add ``dropoff_cluster``; rows without a dropoff point must be gone."""
-    return assign_clusters(df, *DROPOFF, k, "dropoff_cluster")
+    """Add ``dropoff_cluster`` on top of ``assign_pickups``, from whose checkpoint it reads."""
+    return assign_clusters(df, *DROPOFF, k, "dropoff_cluster", cut=False)
 
 
 def cluster_sample(

@@ -501,8 +501,7 @@ def cluster_sample(spark, sf):
 @query
 def duration_features(spark, sf):
     data = duration.features(_slow_taxi(spark, sf))
-    doubles = [f.name for f in data.schema.fields if f.dataType.typeName() == "double"]
-    return _rounded(data, *doubles)
+    return _rounded(data, "label", "total_amount", "velocity", "speed_mph")
 
 
 def _split(spark, sf):

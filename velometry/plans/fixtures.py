@@ -39,8 +39,8 @@ def station_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scan(spark, sf_dir, "nation", _NATION).selectExpr(
         "n_nationkey as station_id",
         "n_name as name",
-        "round(40.70d + 0.012d * n_nationkey, 6) as latitude",
-        "round(-74.00d + 0.007d * ((n_nationkey * 3) % 10), 6) as longitude",
+        "(40700 + 12 * n_nationkey) / 1000d as latitude",
+        "(-74000 + 7 * ((n_nationkey * 3) % 10)) / 1000d as longitude",
         "n_regionkey as region_id",
         "n_nationkey % 3 + n_nationkey % 4 as capacity",
         "n_nationkey % 3 as num_bikes_available",
@@ -79,8 +79,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return _with_ends(
         rides,
-        "round(40.70d + 0.012d * {0}, 6)",
-        "round(-74.00d + 0.007d * (({0} * 3) % 10), 6)",
+        "(40700 + 12 * {0}) / 1000d",
+        "(-74000 + 7 * (({0} * 3) % 10)) / 1000d",
         "NATION_",
     )
 
@@ -102,7 +102,7 @@ def trips_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey div 20 as end_station_id",
     )
     return _with_ends(
-        rides, "round(40.70d + 0.0006d * {0}, 6)", "round(-74.00d + 0.0003d * {0}, 6)", "ST"
+        rides, "(407000 + 6 * {0}) / 10000d", "(-740000 + 3 * {0}) / 10000d", "ST"
     )
 
 
@@ -115,11 +115,11 @@ def taxi(spark: SparkSession, sf_dir: str) -> DataFrame:
         "at as pickup_datetime",
         "at + make_dt_interval(0, 0, 0, cast(travel_time as int)) as dropoff_datetime",
         "case when l_linenumber = 7 then null else "
-        "round(40.66d + ((l_orderkey * 31 + l_linenumber) % 180) / 1000d, 6) end "
+        "(40660 + (l_orderkey * 31 + l_linenumber) % 180) / 1000d end "
         "as pickup_latitude",
-        "round(-74.11d + ((l_partkey * 17) % 200) / 1000d, 6) as pickup_longitude",
-        "round(40.66d + ((l_suppkey * 53 + l_linenumber) % 180) / 1000d, 6) as dropoff_latitude",
-        "round(-74.11d + ((l_orderkey * 19) % 200) / 1000d, 6) as dropoff_longitude",
+        "(-74110 + (l_partkey * 17) % 200) / 1000d as pickup_longitude",
+        "(40660 + (l_suppkey * 53 + l_linenumber) % 180) / 1000d as dropoff_latitude",
+        "(-74110 + (l_orderkey * 19) % 200) / 1000d as dropoff_longitude",
         "l_quantity / 5d as trip_distance",
         "travel_time",
         "l_linenumber as passenger_count",

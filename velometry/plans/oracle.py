@@ -315,12 +315,9 @@ _SELECTS = {
     "taxi_clean": f"""
         select {_TAXI}, round(velocity, 6) as velocity from slow_taxi where {_IN_BOX}""",
     "duration_features": """
-        select round(travel_time / 60, 6) as label, passenger_count,
-               round(trip_distance, 6) as trip_distance, rate_code, payment_type,
-               round(fare_amount, 6) as fare_amount, round(extra, 6) as extra,
-               round(mta_tax, 6) as mta_tax, round(tip_amount, 6) as tip_amount,
-               round(total_amount, 6) as total_amount, round(travel_time, 6) as travel_time,
-               round(tolls_amount, 6) as tolls_amount, round(imp_surcharge, 6) as imp_surcharge,
+        select round(travel_time / 60, 6) as label, passenger_count, trip_distance, rate_code,
+               payment_type, fare_amount, extra, mta_tax, tip_amount,
+               round(total_amount, 6) as total_amount, travel_time, tolls_amount, imp_surcharge,
                round(velocity, 6) as velocity,
                cast(hour(pickup_datetime) as int) as pickup_hour,
                cast(month(pickup_datetime) as int) as pickup_month,
