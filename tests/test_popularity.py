@@ -1,0 +1,89 @@
+import pytest
+from frames import rows, trips
+from pyspark.sql import functions as F
+
+from velometry.functions.timeparts import frames_of, in_frame, month_name, month_number
+from velometry.operators import popularity
+
+
+def _at_hour(spark, *hours):
+    return trips(
+        spark, *((f"2016-05-02 {h:02d}:10:00", f"2016-05-02 {h:02d}:20:00", "A", "B") for h in hours)
+    )
+
+
+def test_frames_share_their_edge_hours(spark):
+    rides = _at_hour(spark, 6, 7, 12, 13, 19, 23, 0)
+    expected = {"morning": {7, 12}, "afternoon": {12, 13, 19}, "evening": {6, 7, 19, 23, 0}}
+    for frame, hours in expected.items():
+        found = rides.filter(in_frame(F.hour("starttime"), frame))
+        assert {r[0] for r in found.select(F.hour("starttime")).collect()} == hours
+
+
+def test_frames_of_agrees_with_in_frame(spark):
+    hours = spark.range(24).select(F.col("id").cast("int").alias("h"))
+    for row in hours.select(
+        "h", frames_of("h").alias("all"), *(in_frame("h", f).alias(f) for f in popularity.FRAMES)
+    ).collect():
+        assert set(row["all"]) == {f for f in popularity.FRAMES if row[f]}
+
+
+def test_month_and_year_are_those_of_the_return_and_hour_that_of_the_start(spark):
+    rides = trips(spark, ("2015-12-31 23:50:00", "2016-01-01 00:10:00", "A", "B"))
+    assert rows(popularity.station_activity(rides, 2015)) == []
+    assert {r[:2] for r in rows(popularity.station_activity(rides, 2016))} == {(2016, 1)}
+    top = popularity.top_stations(rides, 2016, "evening")
+    assert {(r.year, r.month, r.frame) for r in top.collect()} == {(2016, 1, "evening")}
+
+
+def test_starts_and_ends_are_separate_rows_unless_combined(spark):
+    ride = ("2016-05-02 09:00:00", "2016-05-02 09:10:00")
+    rides = trips(spark, *[(*ride, "A", "B")] * 3, *[(*ride, "C", "A")] * 2)
+    separate = popularity.station_activity(rides, 2016).filter("name = 'A'")
+    assert rows(separate, "count") == [(2,), (3,)]
+    combined = popularity.station_activity(rides, 2016, per_direction=False)
+    assert rows(combined.filter("name = 'A'"), "count") == [(5,)]
+
+
+def test_ties_at_the_top_are_kept(spark):
+    ride = ("2016-05-02 09:00:00", "2016-05-02 09:10:00")
+    rides = trips(spark, *[(*ride, "A", "B")] * 3, (*ride, "C", "D"))
+    peak = popularity.monthly_peak(popularity.station_activity(rides, 2016))
+    assert rows(peak, "month", "name", "count") == [(5, "A", 3), (5, "B", 3)]
+
+
+def test_ties_at_rank_ten_are_kept(spark):
+    counts = [20, 19, 18, 17, 16, 15, 14, 13, 12, 5, 5, 5, 4]
+    activity = spark.createDataFrame(
+        [(2016, 5, f"S{i}", 0.0, 0.0, n) for i, n in enumerate(counts)],
+        "year int, month int, name string, latitude double, longitude double, count bigint",
+    )
+    top = popularity._ranked(activity, 10, "year", "month")
+    assert sorted(r.rank for r in top.collect()) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 10, 10]
+
+
+def test_one_scan_of_all_frames_equals_one_query_per_frame(spark):
+    rides = _at_hour(spark, *range(24))
+    together = rows(popularity.top_stations(rides))
+    single = [r for f in popularity.FRAMES for r in rows(popularity.top_stations(rides, 2016, f))]
+    assert together == sorted(single)
+    some = popularity.top_stations(rides, frame=["morning", "evening"])
+    assert {r.frame for r in some.collect()} == {"morning", "evening"}
+
+
+def test_month_names(spark):
+    months = spark.range(1, 13).select(F.col("id").cast("int").alias("m"))
+    named = months.withColumn("name", month_name("m")).withColumn("back", month_number("name"))
+    assert all(r.m == r.back for r in named.collect())
+    assert spark.range(1).select(month_number(F.lit("Juvember"))).first()[0] is None
+
+
+@pytest.mark.parametrize("year", [2015, 2016])
+def test_year_bounds(spark, year):
+    rides = trips(
+        spark,
+        ("2015-12-31 23:00:00", "2015-12-31 23:59:59.999999", "A", "B"),
+        ("2016-01-01 00:00:00", "2016-01-01 00:00:00", "C", "D"),
+    )
+    names = {r.name for r in popularity.station_activity(rides, year).collect()}
+    assert names == ({"A", "B"} if year == 2015 else {"C", "D"})

@@ -56,9 +56,9 @@ def hourly_arrivals(trips: DataFrame) -> DataFrame:
 
 
 def _one_sided(trips: DataFrame, name: str, at: str, count: str) -> DataFrame:
-    return trips.groupBy(
+    return trips.filter(F.col(name).isNotNull()).groupBy(
         F.col(name).alias("name"), F.col(at).cast("date").alias("date"), F.hour(at).alias("hour")
-    ).agg(F.count(name).alias(count))
+    ).agg(F.count(F.lit(1)).alias(count))
 
 
 def hourly_net_flow(

@@ -39,7 +39,7 @@ def write_table(
     if single_file:
         df = df.coalesce(1)
     elif partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *map(F.col, partition_by))
     writer = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
