@@ -1,0 +1,152 @@
+import math
+import random
+
+import pytest
+from frames import hours, rows, stations
+from pyspark.sql import functions as F
+
+from velometry.functions.geo import great_circle_km, in_bbox
+from velometry.operators import supply
+
+DAY = "2016-05-02"
+
+
+def _km(lat_a, lon_a, lat_b, lon_b):
+    a, b = math.radians(lat_a), math.radians(lat_b)
+    h = (
+        math.sin((b - a) / 2) ** 2
+        + math.cos(a) * math.cos(b) * math.sin(math.radians(lon_b - lon_a) / 2) ** 2
+    )
+    return 2 * 6373 * math.asin(min(1.0, math.sqrt(h)))
+
+
+def _distance(spark, *point, method="haversine"):
+    schema = "a double, b double, c double, d double"
+    df = spark.createDataFrame([point], schema)
+    return df.select(great_circle_km("a", "b", "c", "d", method)).first()[0]
+
+
+def test_half_a_degree_of_latitude(spark):
+    assert _distance(spark, 40.0, -74.0, 40.5, -74.0) == pytest.approx(55.614917, abs=1e-6)
+    full = _distance(spark, 40.0, -74.0, 40.5, -74.0, method="full_angle")
+    assert full == pytest.approx(111.23, abs=0.01)
+
+
+@pytest.mark.parametrize("method", ["cosine", "haversine", "full_angle"])
+def test_equal_points_are_zero_apart_and_null_stays_null(spark, method):
+    points = [(i * 0.4507, -i * 0.7211) for i in range(200)]
+    df = spark.createDataFrame([(*p, *p) for p in points], "a double, b double, c double, d double")
+    assert {r[0] for r in df.select(great_circle_km("a", "b", "c", "d", method)).collect()} == {0.0}
+    assert _distance(spark, None, 1.0, 1.0, 1.0, method=method) is None
+
+
+def test_distance_is_symmetric_and_formulas_agree(spark):
+    there = _distance(spark, 40.7, -74.0, 40.8, -73.9)
+    assert there == pytest.approx(_distance(spark, 40.8, -73.9, 40.7, -74.0))
+    cosine = _distance(spark, 40.7, -74.0, 40.8, -73.9, method="cosine")
+    assert cosine / 6371 == pytest.approx(there / 6373, rel=1e-9)
+
+
+def test_box_edges_are_outside(spark):
+    points = [(40.75, -74.0), (40.817894, -74.0), (40.674611, -74.0), (40.75, -74.104557)]
+    df = spark.createDataFrame([*points, (40.75, -73.92718)], "lat double, lon double")
+    assert df.filter(in_bbox("lat", "lon")).collect() == [(40.75, -74.0)]
+
+
+def _one_hour(spark, names, places):
+    return hours(spark, *((n, DAY, 9, 1, *places[n]) for n in names))
+
+
+def test_list_is_ordered_by_distance_then_name(spark):
+    places = {"S": (40.0, -74.0), "far": (40.3, -74.0), "y": (40.1, -74.0), "x": (39.9, -74.0)}
+    short, over = _one_hour(spark, ["S"], places), _one_hour(spark, ["far", "y", "x"], places)
+    # 40.1 and 39.9 are equally far but for rounding.
+    over = over.withColumn("latitude", F.when(F.col("name") == "x", 40.1).otherwise(F.col("latitude")))
+    for method in ("haversine", "full_angle"):
+        whole = supply.nearby_supply(short, over, method=method).first()
+        assert whole.nearby_stations == ["x", "y", "far"]
+    for n, expected in ((1, ["x"]), (2, ["x", "y"]), (5, ["x", "y", "far"])):
+        assert supply.nearby_supply(short, over, n).first().nearby_stations == expected
+
+
+def test_repeated_rows_give_one_pair(spark):
+    places = {"S": (40.0, -74.0), "T": (40.1, -74.0)}
+    short = _one_hour(spark, ["S", "S"], places)
+    over = _one_hour(spark, ["T", "T", "T"], places)
+    assert supply.supply_pairs(short, over).count() == 1
+    assert supply.supply_pairs(short, over, max_km=20).count() == 1
+    assert supply.nearest_pairs(short, over, 3).count() == 1
+
+
+def _city(seed, n, centre, width):
+    rng = random.Random(seed)
+    return [
+        (centre[0] + rng.uniform(-width, width), centre[1] + rng.uniform(-width, width))
+        for _ in range(n)
+    ]
+
+
+def _world(seed):
+    """Dense and sparse places, both sides of the date line, and the poles."""
+    points = (
+        _city(seed, 40, (40.7, -74.0), 0.02)
+        + _city(seed + 1, 25, (40.7, -74.0), 0.5)
+        + _city(seed + 2, 10, (-17.0, 180.0), 0.3)
+        + _city(seed + 3, 6, (89.9, 0.0), 0.09)
+        + [(90.0, 0.0), (-90.0, 10.0), (0.0, 179.99), (0.0, -179.99), (40.7, -74.0)]
+    )
+    return [(lat, (lon + 180) % 360 - 180) for lat, lon in points]
+
+
+@pytest.fixture(scope="module")
+def crowd(spark):
+    starts = [(f"S{i:02d}", DAY, i % 2, 1, *p) for i, p in enumerate(_world(1))]
+    nears = [(f"N{i:02d}", DAY, i % 3, 1, *p) for i, p in enumerate(_world(50))]
+    pairs = [
+        (s[0], n[0], _km(*s[4:], *n[4:])) for s in starts for n in nears if s[2] == n[2]
+    ]
+    return hours(spark, *starts).cache(), hours(spark, *nears).cache(), pairs
+
+
+def test_all_pairs_of_an_hour(crowd):
+    short, over, pairs = crowd
+    found = rows(supply.supply_pairs(short, over, spread=3), "start_station_name", "near_station_name", "km")
+    assert [f[:2] for f in found] == sorted(p[:2] for p in pairs)
+    for f, p in zip(found, sorted(pairs), strict=True):
+        assert f[2] == pytest.approx(p[2], abs=1e-6)
+
+
+@pytest.mark.parametrize("max_km", [0.5, 3.0, 40.0, 700.0, 15000.0])
+def test_pairs_within_a_distance(crowd, max_km):
+    short, over, pairs = crowd
+    found = rows(supply.supply_pairs(short, over, max_km), "start_station_name", "near_station_name")
+    assert found == sorted(p[:2] for p in pairs if p[2] < max_km)
+
+
+@pytest.mark.parametrize("n", [1, 3, 8, 100])
+def test_nearest_n_without_all_pairs(crowd, n):
+    short, over, pairs = crowd
+    expected = {}
+    for s, t, km in sorted(pairs, key=lambda p: (p[0], p[2], p[1])):
+        expected.setdefault(s, []).append(t)
+    found = dict(rows(supply.nearby_supply(short, over, n), "start_station_name", "nearby_stations"))
+    assert found == {s: names[:n] for s, names in expected.items()}
+
+
+def test_full_list_equals_brute_force(crowd):
+    short, over, pairs = crowd
+    expected = {}
+    for s, t, km in sorted(pairs, key=lambda p: (p[0], p[2], p[1])):
+        expected.setdefault(s, []).append(t)
+    found = dict(rows(supply.nearby_supply(short, over), "start_station_name", "nearby_stations"))
+    assert found == expected
+
+
+def test_segments_follow_the_list(spark):
+    places = {"S": (40.0, -74.0), "T": (40.1, -74.0), "U": (40.2, -74.0)}
+    short, over = _one_hour(spark, ["S"], places), _one_hour(spark, ["U", "T"], places)
+    docks = stations(spark, *((i, n, *p, 1, 1) for i, (n, p) in enumerate(places.items())))
+    lines = supply.supply_segments(supply.nearby_supply(short, over), docks)
+    found = rows(lines, "rank", "start_latitude", "near_station_name", "near_latitude")
+    assert found == [(1, 40.0, "T", 40.1), (2, 40.0, "U", 40.2)]
+    assert supply.supply_segments(supply.nearby_supply(short, over), docks, n=1).count() == 1

@@ -1,0 +1,174 @@
+import math
+
+import pytest
+from frames import rows, taxi, trips
+from pyspark.ml.clustering import KMeans
+from pyspark.sql import functions as F
+
+from velometry.operators import duration, placement
+from velometry.operators import taxi as taxi_ops
+
+RIDE = ("2016-05-02 09:00:00", "2016-05-02 09:10:00")
+
+
+def _rides(spark):
+    far = {"A": (40.70, -74.0), "B": (40.7321, -74.0), "C": (40.80, -74.0)}
+    return trips(
+        spark,
+        *[(*RIDE, "A", "B")] * 5,
+        (*RIDE, "A", "C"),
+        (*RIDE, "B", "C"),
+        ("2015-12-31 23:00:00", "2016-01-01 00:10:00", "C", "C"),
+        places=far,
+    )
+
+
+def test_pairs_count_trips_and_round_to_whole_km(spark):
+    od = taxi_ops.od_pairs(_rides(spark), 2016)
+    found = rows(od, "start_station_name", "end_station_name", "count", "dist")
+    assert found == [("A", "B", 5, 4.0), ("A", "C", 1, 11.0), ("B", "C", 1, 8.0)]
+    exact = taxi_ops.od_pairs(_rides(spark), 2016, round_km=False).filter("end_station_name = 'B'")
+    assert exact.first().dist == pytest.approx(3.5694, abs=1e-4)
+    assert taxi_ops.od_pairs(_rides(spark)).count() == 4
+
+
+def test_median_counts_each_pair_once_unless_weighted(spark):
+    od = taxi_ops.od_pairs(_rides(spark), 2016)
+    for options in ({}, {"accuracy": 1000}, {"whole_km": False}):
+        miles = taxi_ops.median_trip_miles(od, **options).first()[0]
+        assert miles == pytest.approx(8 * 0.621371)
+    weighted = taxi_ops.median_trip_miles(od, weighted=True).first()[0]
+    assert weighted == pytest.approx(4 * 0.621371)
+
+
+def test_short_trips_need_all_coordinates(spark):
+    rides = taxi(
+        spark,
+        {"trip_distance": 1},
+        {"trip_distance": 2},
+        {"trip_distance": 1, "pickup_latitude": None},
+        {"trip_distance": 1, "dropoff_longitude": None},
+    )
+    assert taxi_ops.short_trips(rides, 2).count() == 1
+    limit = spark.createDataFrame([(2.5,)], "miles double")
+    assert rows(taxi_ops.short_trips(rides, limit), "trip_distance") == [(1.0,), (2.0,)]
+
+
+def test_slow_trips_drop_those_without_time(spark):
+    rides = taxi(
+        spark,
+        *({"trip_distance": 1, "travel_time": t} for t in (100, 200, 300, 400, 500, 0)),
+    )
+    slow = taxi_ops.slow_trips(rides, q=0.4)
+    assert rows(slow, "velocity") == [(1 / 500,), (1 / 400,)]
+    assert taxi_ops.slow_trips(rides, q=0.4, accuracy=1000).count() == 2
+
+
+def test_nothing_short_gives_an_empty_result(spark):
+    rides = taxi(spark, {"trip_distance": 5})
+    assert taxi_ops.slow_trips(taxi_ops.short_trips(rides, 1.0)).collect() == []
+    no_limit = spark.createDataFrame([], "miles double")
+    assert taxi_ops.short_trips(rides, no_limit).collect() == []
+
+
+def test_clean_bounds_and_nulls(spark):
+    rides = taxi(
+        spark,
+        {},
+        {"trip_distance": 10},
+        {"pickup_latitude": 40.817894},
+        {"passenger_count": None},
+    )
+    assert placement.in_city(rides).count() == 2
+    assert placement.clean(rides).count() == 1
+
+
+@pytest.fixture(scope="module")
+def city(spark):
+    return taxi(
+        spark,
+        *(
+            {
+                "pickup_latitude": 40.70 + i % 11 * 0.01,
+                "pickup_longitude": -74.05 + i % 7 * 0.01,
+                "dropoff_latitude": 40.71 + i % 5 * 0.01,
+                "travel_time": 300 + i * 37 % 900,
+                "dropoff_datetime": f"2016-03-01 10:{5 + i * 37 % 900 // 60:02d}:{i * 37 % 60:02d}",
+                "fare_amount": 5 + i % 13,
+            }
+            for i in range(400)
+        ),
+    ).cache()
+
+
+def test_centres_lie_in_the_box_of_their_points(city):
+    centres = placement.recommend_stations(city, [10, 50])
+    sizes = {r.k: r.n for r in centres.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {10: 10, 50: 50}
+    for r in centres.collect():
+        assert 40.70 - 1e-9 <= r.latitude <= 40.80 + 1e-9
+        assert -74.05 - 1e-9 <= r.longitude <= -73.99 + 1e-9
+    nested = placement.centres_as_list(centres).filter("k = 10").first().centres
+    assert len(nested) == 10 and all(len(point) == 2 for point in nested)
+
+
+def test_zero_centre_is_left_out(spark):
+    rides = taxi(
+        spark,
+        *[{"pickup_latitude": 0, "pickup_longitude": 0}] * 5,
+        *[{"pickup_latitude": 40.75, "pickup_longitude": -74.0}] * 5,
+    )
+    centres = placement.recommend_stations(rides, [2])
+    assert rows(centres, "latitude", "longitude") == [(40.75, -74.0)]
+
+
+def test_every_trip_gets_both_clusters(city):
+    both = placement.assign_dropoffs(placement.assign_pickups(city))
+    assert both.count() == city.count()
+    for column in ("pickup_cluster", "dropoff_cluster"):
+        low, high = both.agg(F.min(column), F.max(column)).first()
+        assert 0 <= low <= high < 10
+    # One point never falls into two clusters.
+    split = both.groupBy(*placement.PICKUP).agg(F.countDistinct("pickup_cluster").alias("n"))
+    assert split.agg(F.max("n")).first()[0] == 1
+    sample = placement.cluster_sample(both, "pickup_latitude")
+    assert 0 < sample.count() < 120
+
+
+def test_more_clusters_cost_less(city):
+    points = placement._points(city, *placement.PICKUP)
+    two = KMeans(k=2, seed=1).fit(points).summary.trainingCost
+    assert placement._fit(points, 10).summary.trainingCost < two
+
+
+def _with_velocity(city):
+    return taxi_ops.with_velocity(city)
+
+
+def test_features(spark):
+    ride = taxi_ops.with_velocity(taxi(spark, {}, {"extra": None}, {"trip_distance": 20}))
+    row = duration.features(ride).collect()
+    assert len(row) == 1
+    assert (row[0].label, row[0].speed_mph) == (10.0, pytest.approx(6.0))
+    assert (row[0].pickup_hour, row[0].pickup_month) == (10, 3)
+    same_time = taxi(spark, {"dropoff_datetime": "2016-03-01 10:00:00"})
+    assert duration.features(taxi_ops.with_velocity(same_time)).collect() == []
+
+
+def test_split_keeps_every_row_once(city):
+    data = duration.features(_with_velocity(city))
+    train, validation = duration.split(data)
+    assert train.count() + validation.count() == data.count() == 400
+    assert 0.65 < train.count() / 400 < 0.85
+
+
+def test_model_error_equals_the_formula_and_shows_the_leak(city):
+    train, validation = duration.split(duration.features(_with_velocity(city)))
+    predictions, error = duration.evaluate(duration.fit(train), validation)
+    rows = predictions.select("label", "prediction").collect()
+    by_hand = math.sqrt(sum((r.label - r.prediction) ** 2 for r in rows) / len(rows))
+    assert error == pytest.approx(by_hand)
+    spread = validation.agg(F.stddev_pop("label")).first()[0]
+    assert error < spread / 2
+    no_leak = duration.fit(train, duration.FEATURES_NO_LEAK)
+    assert duration.evaluate(no_leak, validation)[1] > error
