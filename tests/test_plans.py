@@ -104,6 +104,7 @@ def test_hot_hour_is_spread_over_tasks(spark):
         F.lit(-74.0).alias("longitude"),
     )
     over = short.withColumn("name", F.concat(F.lit("N"), "name"))
-    nearby = supply._pairs(short, over, None, "haversine", spread=8)
-    parts = nearby.groupBy("part").count().collect()
+    pairs = supply._pairs(short, over, None, "haversine", per_task=50)
+    parts = pairs.groupBy("part").count().collect()
     assert len(parts) == 8 and max(p["count"] for p in parts) < 400 * 400 / 4
+    assert sum(p["count"] for p in parts) == 400 * 400

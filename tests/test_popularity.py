@@ -71,6 +71,16 @@ def test_one_scan_of_all_frames_equals_one_query_per_frame(spark):
     assert {r.frame for r in some.collect()} == {"morning", "evening"}
 
 
+def test_answers_from_hourly_activity_equal_those_from_trips(spark):
+    rides = _at_hour(spark, *range(24), 8, 8, 12).union(
+        trips(spark, ("2015-12-31 23:50:00", "2016-01-01 00:10:00", "C", "A"))
+    )
+    hourly = popularity.hourly_activity(rides)
+    activity = popularity.activity_from_hourly(hourly)
+    assert rows(activity) == rows(popularity.station_activity(rides))
+    assert rows(popularity.top_from_hourly(hourly)) == rows(popularity.top_stations(rides))
+
+
 def test_month_names(spark):
     months = spark.range(1, 13).select(F.col("id").cast("int").alias("m"))
     named = months.withColumn("name", month_name("m")).withColumn("back", month_number("name"))

@@ -110,7 +110,7 @@ def crowd(spark):
 
 def test_all_pairs_of_an_hour(crowd):
     short, over, pairs = crowd
-    found = rows(supply.supply_pairs(short, over, spread=3), "start_station_name", "near_station_name", "km")
+    found = rows(supply.supply_pairs(short, over, per_task=10), "start_station_name", "near_station_name", "km")
     assert [f[:2] for f in found] == sorted(p[:2] for p in pairs)
     for f, p in zip(found, sorted(pairs), strict=True):
         assert f[2] == pytest.approx(p[2], abs=1e-6)
@@ -142,6 +142,14 @@ def test_full_list_equals_brute_force(crowd):
     assert found == expected
 
 
+def test_many_stations_in_one_spot(spark):
+    places = {"S": (40.0, -74.0)} | {f"T{i:02d}": (40.1, -74.0) for i in range(40)}
+    short = _one_hour(spark, ["S"], places)
+    over = _one_hour(spark, [n for n in places if n != "S"], places)
+    nearest = supply.nearby_supply(short, over, 3).first()
+    assert nearest.nearby_stations == ["T00", "T01", "T02"]
+
+
 def test_segments_follow_the_list(spark):
     places = {"S": (40.0, -74.0), "T": (40.1, -74.0), "U": (40.2, -74.0)}
     short, over = _one_hour(spark, ["S"], places), _one_hour(spark, ["U", "T"], places)

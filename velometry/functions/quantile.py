@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Classes per unit of the natural logarithm.  A coarse class spans 0.01 % of a
-# value; a fine one spans 1e-9 of it and so holds at most a few million
-# different doubles.
-_COARSE, _FINE = 10_000, 1_000_000_000
+# Classes per unit of the natural logarithm.  A coarse class spans 0.1 % of a
+# value, so a task counts a few thousand of them; it holds a million fine ones.
+# A fine class spans 1e-9 of a value and so at most a few million doubles.
+_COARSE, _FINE = 1_000, 1_000_000_000
 
 
 def _class(v: Column, per_unit: int) -> Column:

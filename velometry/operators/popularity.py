@@ -12,8 +12,10 @@ from velometry.functions.timeparts import FRAMES, frames_of, in_frame, in_year
 PLACE = ("name", "latitude", "longitude")
 
 
-def _counts(trips: DataFrame, keys: dict[str, Column], per_direction: bool) -> DataFrame:
-    """Trip ends per ``keys`` and station.
+def _counts(
+    trips: DataFrame, keys: dict[str, Column], per_direction: bool = True
+) -> DataFrame:
+    """Trip ends per ``keys``, direction and station.
 
     Each trip is read once and yields two rows inside the scan stage, which
     the map-side count folds before anything is shuffled.
@@ -33,8 +35,7 @@ def _counts(trips: DataFrame, keys: dict[str, Column], per_direction: bool) -> D
         ).alias("direction", *PLACE),
     )
     side = ["direction"] if per_direction else []
-    counts = ends.groupBy(*keys, *side, *PLACE).agg(F.count(F.lit(1)).alias("count"))
-    return counts.drop("direction")
+    return ends.groupBy(*keys, *side, *PLACE).agg(F.count(F.lit(1)).alias("count"))
 
 
 def station_activity(
@@ -54,7 +55,7 @@ def station_activity(
     if frame is not None:
         trips = trips.filter(in_frame(F.hour("starttime"), frame))
     keys = {"year": F.year("stoptime"), "month": F.month("stoptime")}
-    return _counts(trips, keys, per_direction)
+    return _counts(trips, keys, per_direction).drop("direction")
 
 
 def _ranked(counts: DataFrame, k: int, *within: str) -> DataFrame:
@@ -89,4 +90,35 @@ def top_stations(
         if set(frame) != set(FRAMES):
             trips = trips.filter(F.col("frame").isin(*frame))
     keys = {"year": F.year("stoptime"), "frame": F.col("frame"), "month": F.month("stoptime")}
-    return _ranked(_counts(trips, keys, per_direction), k, "year", "frame", "month")
+    counts = _counts(trips, keys, per_direction).drop("direction")
+    return _ranked(counts, k, "year", "frame", "month")
+
+
+def hourly_activity(trips: DataFrame, year: int | None = None) -> DataFrame:
+    """Trip starts and ends per year, month, start hour, direction and station.
+
+    Small enough to store: the two functions below answer from it what
+    ``station_activity`` and ``top_stations`` answer from the trips.
+    """
+    if year is not None:
+        trips = trips.filter(in_year("stoptime", year))
+    keys = {
+        "year": F.year("stoptime"),
+        "month": F.month("stoptime"),
+        "hour": F.hour("starttime"),
+    }
+    return _counts(trips, keys)
+
+
+def activity_from_hourly(hourly: DataFrame) -> DataFrame:
+    """``station_activity`` out of ``hourly_activity``."""
+    keys = ("year", "month", "direction", *PLACE)
+    return hourly.groupBy(*keys).agg(F.sum("count").alias("count")).drop("direction")
+
+
+def top_from_hourly(hourly: DataFrame, k: int = 10) -> DataFrame:
+    """``top_stations`` out of ``hourly_activity``."""
+    framed = hourly.withColumn("frame", F.explode(frames_of("hour")))
+    keys = ("year", "frame", "month", "direction", *PLACE)
+    counts = framed.groupBy(*keys).agg(F.sum("count").alias("count")).drop("direction")
+    return _ranked(counts, k, "year", "frame", "month")

@@ -134,6 +134,17 @@ def top_all_frames(spark, sf):
     return popularity.top_stations(fx.trips_long(spark, sf))
 
 
+@query
+def hourly_activity(spark, sf):
+    return popularity.hourly_activity(fx.trips_long(spark, sf), fx.POPULAR_YEAR)
+
+
+@query
+def top_from_hourly(spark, sf):
+    hourly = popularity.hourly_activity(fx.trips_long(spark, sf), fx.POPULAR_YEAR)
+    return popularity.top_from_hourly(hourly)
+
+
 @query
 def peak_trend(spark, sf):
     return serving.peak_trend(_peak(spark, sf))

@@ -21,11 +21,15 @@ def _stored(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
 def popularity_tables(
     spark: SparkSession, trips: str, out: str, year: int | None = None, fmt: str = "parquet"
 ) -> None:
-    """``monthly_peak`` by year and ``top_stations`` by year and frame."""
-    rides = read_trips(spark, trips, fmt)
-    peak = popularity.monthly_peak(popularity.station_activity(rides, year))
+    """``monthly_peak`` by year and ``top_stations`` by year and frame.
+
+    The trips are read once, for ``hourly_activity``.
+    """
+    hourly = popularity.hourly_activity(read_trips(spark, trips, fmt), year)
+    hourly = _stored(hourly, f"{out}/hourly_activity", "year")
+    peak = popularity.monthly_peak(popularity.activity_from_hourly(hourly))
     write_table(peak, f"{out}/monthly_peak", partition_by=["year"])
-    top = popularity.top_stations(rides, year)
+    top = popularity.top_from_hourly(hourly)
     write_table(top, f"{out}/top_stations", partition_by=["year", "frame"])
 
 

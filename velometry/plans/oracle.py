@@ -230,6 +230,13 @@ _SELECTS = {
     "top_afternoon": _TOP_FRAME % "afternoon",
     "top_evening": _TOP_FRAME % "evening",
     "top_all_frames": "select year, frame, month, name, latitude, longitude, count, rank from top",
+    "hourly_activity": """
+        select year, month, cast(h as int) as hour, direction, name, latitude, longitude,
+               count(*) as count
+        from ends_long where year = {popular_year} group by all""",
+    "top_from_hourly": """
+        select year, frame, month, name, latitude, longitude, count, rank from top
+        where year = {popular_year}""",
     "peak_trend": """
         select year, month, monthname(make_date(2000, month, 1)) as month_name,
                name, latitude, longitude, count
