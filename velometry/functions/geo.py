@@ -67,6 +67,26 @@ def great_circle_km(
     return 2 * HAVERSINE_RADIUS_KM * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))
 
 
+def unit_vector(lat: str | Column, lon: str | Column) -> Column:
+    """The point on the unit sphere, as a struct of x, y and z."""
+    phi, theta = F.radians(_column(lat)), F.radians(_column(lon))
+    return F.struct(
+        (F.cos(phi) * F.cos(theta)).alias("x"),
+        (F.cos(phi) * F.sin(theta)).alias("y"),
+        F.sin(phi).alias("z"),
+    )
+
+
+def chord_mm(a: Column, b: Column) -> Column:
+    """Straight-line distance of two unit vectors in whole millimetres on Earth.
+
+    It grows with the great-circle distance and costs no trigonometry, so it
+    orders points by nearness; distances equal but for rounding become equal.
+    """
+    dx, dy, dz = a["x"] - b["x"], a["y"] - b["y"], a["z"] - b["z"]
+    return F.floor(F.sqrt(dx * dx + dy * dy + dz * dz) * (HAVERSINE_RADIUS_KM * 1e6))
+
+
 def in_bbox(lat: str | Column, lon: str | Column, box: Box = CITY) -> Column:
     """True strictly inside ``box``."""
     lat, lon = _column(lat), _column(lon)

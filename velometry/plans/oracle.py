@@ -156,7 +156,7 @@ _CTES = {
         from short s join over o on o.date = s.date and o.hour = s.hour""",
     "placed": """
         select *, row_number() over (partition by date, hour, start_station_name
-                                     order by round(km, 9), near_station_name) as place
+                                     order by floor(km * 1e6), near_station_name) as place
         from pairs""",
     "nearby": """
         select date, hour, start_station_name,
