@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -67,23 +68,29 @@ def great_circle_km(
     return 2 * HAVERSINE_RADIUS_KM * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))
 
 
-def unit_vector(lat: str | Column, lon: str | Column) -> Column:
-    """The point on the unit sphere, as a struct of x, y and z."""
-    phi, theta = F.radians(_column(lat)), F.radians(_column(lon))
-    return F.struct(
-        (F.cos(phi) * F.cos(theta)).alias("x"),
-        (F.cos(phi) * F.sin(theta)).alias("y"),
-        F.sin(phi).alias("z"),
+def with_unit_vector(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
+    """Add the point on the unit sphere as ``prefix`` x, y and z.
+
+    Plain columns, as reading fields of a struct in a lambda costs more than
+    the arithmetic.
+    """
+    phi, theta = F.radians(F.col(lat)), F.radians(F.col(lon))
+    return df.withColumns(
+        {
+            f"{prefix}x": F.cos(phi) * F.cos(theta),
+            f"{prefix}y": F.cos(phi) * F.sin(theta),
+            f"{prefix}z": F.sin(phi),
+        }
     )
 
 
-def chord_mm(a: Column, b: Column) -> Column:
+def chord_mm(a: Sequence[Column], b: Sequence[Column]) -> Column:
     """Straight-line distance of two unit vectors in whole millimetres on Earth.
 
     It grows with the great-circle distance and costs no trigonometry, so it
     orders points by nearness; distances equal but for rounding become equal.
     """
-    dx, dy, dz = a["x"] - b["x"], a["y"] - b["y"], a["z"] - b["z"]
+    dx, dy, dz = (p - q for p, q in zip(a, b, strict=True))
     return F.floor(F.sqrt(dx * dx + dy * dy + dz * dz) * (HAVERSINE_RADIUS_KM * 1e6))
 
 
