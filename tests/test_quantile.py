@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from velometry.functions.quantile import exact_quantile, quantile
+from velometry.functions.quantile import exact_quantile, nth_smallest, quantile
 
 
 def _expected(values, q):
@@ -60,3 +60,9 @@ def test_no_value_gives_no_row(spark):
 def test_sketch_is_near_the_exact_value(spark):
     df = spark.range(10_000).select((F.col("id") * 1.0).alias("x"))
     assert abs(quantile(df, "x", 0.2, accuracy=1000).first()[0] - 1999.0) <= 10
+
+
+def test_nth_smallest(spark):
+    df = spark.createDataFrame([(3.0,), (1.0,), (1.0,), (None,), (2.0,)], "x double")
+    found = [nth_smallest(df, "x", n).first()[0] for n in (1, 2, 3, 4, 9)]
+    assert found == [1.0, 1.0, 2.0, 3.0, 3.0]

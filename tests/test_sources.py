@@ -71,6 +71,28 @@ def test_taxi_travel_time_is_computed_when_missing(spark, tmp_path):
     assert first_trips(found, 5).count() == 2
 
 
+def test_first_trips_keeps_missing_times_and_orders_ties(spark):
+    rides = taxi(
+        spark,
+        *({"pickup_datetime": f"2016-03-13 02:{m:02d}:00", "fare_amount": m} for m in (30, 10, 20)),
+        {"pickup_datetime": "2016-03-13 02:10:00", "fare_amount": 1},
+        {"pickup_datetime": None, "fare_amount": 99},
+    ).select("pickup_datetime", "fare_amount")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 is skipped there
+    try:
+        for n, fares in ((1, [99]), (2, [99, 1]), (3, [99, 1, 10]), (9, [99, 1, 10, 20, 30])):
+            assert [r.fare_amount for r in first_trips(rides, n).collect()] == fares
+    finally:
+        spark.conf.unset("spark.sql.session.timeZone")
+
+
+def test_csv_header_must_agree_with_a_schema(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,a\n1,2\n")
+    assert read_table(spark, str(tmp_path / "x.csv"), "csv", "b int, a int").collect() == [(1, 2)]
+    with pytest.raises(Exception, match="header"):
+        read_table(spark, str(tmp_path / "x.csv"), "csv", "a int, b int").collect()
+
+
 def test_partitioned_table_is_pruned_on_read(spark, tmp_path):
     path = str(tmp_path / "by_name")
     write_table(trips(spark, RIDE, ("2016-05-03 09:00:00", None, "C", "D")), path,

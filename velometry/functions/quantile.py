@@ -38,17 +38,17 @@ def _reaching(groups: DataFrame, key: str, rank: Column) -> DataFrame:
     )
 
 
-def exact_quantile(
+def _value_at(
     df: DataFrame,
     value: str | Column,
-    q: float,
+    rank: Column,
     weight: str | Column | None = None,
     few_values: bool = False,
 ) -> DataFrame:
-    """The smallest value with at least the share ``q`` of all rows at or below it.
+    """The value at ``rank`` in ascending order; one column ``v``, at most one row.
 
-    The result has one column, ``quantile``, and one row, or none when there
-    is no value.  Nulls are left out; ``weight`` counts a row several times.
+    Nulls are left out; ``weight`` counts a row several times; ``rank`` may use
+    the whole weight, ``total``.
 
     Three counts narrow the search: coarse classes of similar size, then fine
     classes inside the coarse one that holds the answer, then the values of
@@ -65,15 +65,12 @@ def exact_quantile(
         F.col("v").isNotNull()
     )
     n = F.sum("w").alias("n")
-    total = F.col("total")
-    wanted = F.greatest(F.lit(1).cast("bigint"), total - F.floor(total - total * F.lit(q)))
     if few_values:
-        answer = _reaching(rows.groupBy("v").agg(n), "v", wanted)
-        return answer.select(F.col("v").alias("quantile"))
+        return _reaching(rows.groupBy("v").agg(n), "v", rank).select("v")
 
     rows = rows.withColumn("coarse", _class(F.col("v"), _COARSE))
     # One row each: broadcasting them filters the other side in place.
-    coarse = F.broadcast(_reaching(rows.groupBy("coarse").agg(n), "coarse", wanted))
+    coarse = F.broadcast(_reaching(rows.groupBy("coarse").agg(n), "coarse", rank))
     values = (
         rows.join(coarse, "coarse")
         .groupBy("v", "left")
@@ -83,7 +80,29 @@ def exact_quantile(
     slices = values.groupBy("fine", F.col("left").alias("want")).agg(F.sum("n").alias("n"))
     fine = F.broadcast(_reaching(slices, "fine", F.col("want")))
     last = values.drop("left").join(fine, "fine").withColumnRenamed("left", "want")
-    return _reaching(last, "v", F.col("want")).select(F.col("v").alias("quantile"))
+    return _reaching(last, "v", F.col("want")).select("v")
+
+
+def exact_quantile(
+    df: DataFrame,
+    value: str | Column,
+    q: float,
+    weight: str | Column | None = None,
+    few_values: bool = False,
+) -> DataFrame:
+    """The smallest value with at least the share ``q`` of all rows at or below it.
+
+    One column, ``quantile``, and one row, or none when there is no value.
+    """
+    total = F.col("total")
+    rank = F.greatest(F.lit(1).cast("bigint"), total - F.floor(total - total * F.lit(q)))
+    return _value_at(df, value, rank, weight, few_values).withColumnRenamed("v", "quantile")
+
+
+def nth_smallest(df: DataFrame, value: str | Column, n: int) -> DataFrame:
+    """The ``n``-th smallest value, or the largest if there are fewer: ``value``."""
+    rank = F.least(F.lit(n).cast("bigint"), F.col("total"))
+    return _value_at(df, value, rank).withColumnRenamed("v", "value")
 
 
 def quantile(

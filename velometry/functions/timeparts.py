@@ -67,6 +67,13 @@ def frames_of(hour: str | Column) -> Column:
     return F.element_at(table, hour + 1)
 
 
+def wall_seconds(column: str) -> Column:
+    """Seconds of a zone-free time since 1970, the same in every session zone."""
+    days = F.date_diff(F.col(column).cast("date"), F.lit("1970-01-01").cast("date"))
+    clock = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    return days.cast("bigint") * 86400 + clock
+
+
 def month_name(month: str | Column) -> Column:
     """January for 1, and so on."""
     return F.date_format(F.make_date(F.lit(2000), month, F.lit(1)), "MMMM")

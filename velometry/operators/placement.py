@@ -77,9 +77,9 @@ def assign_clusters(
     return model.transform(assembler.transform(df)).drop("features")
 
 
-def assign_pickups(df: DataFrame, k: int = 10) -> DataFrame:
+def assign_pickups(df: DataFrame, k: int = 10, cut: bool = True) -> DataFrame:
     """Add ``pickup_cluster``."""
-    return assign_clusters(df, *PICKUP, k, "pickup_cluster")
+    return assign_clusters(df, *PICKUP, k, "pickup_cluster", cut)
 
 
 def assign_dropoffs(df: DataFrame, k: int = 10) -> DataFrame:

@@ -72,7 +72,7 @@ def placement_tables(spark: SparkSession, out: str) -> None:
     """``new_stations`` and ``taxi_clusters`` from ``slow_taxi``."""
     trips = placement.clean(spark.read.parquet(f"{out}/slow_taxi"))
     write_table(placement.recommend_stations(trips), f"{out}/new_stations", partition_by=["k"])
-    clusters = placement.assign_dropoffs(placement.assign_pickups(trips))
+    clusters = placement.assign_dropoffs(placement.assign_pickups(trips, cut=False))
     write_table(clusters, f"{out}/taxi_clusters")
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from velometry.functions.quantile import nth_smallest
+from velometry.functions.timeparts import wall_seconds
 from velometry.schemas import DERIVABLE, STATIONS, TAXI, TRIPS
 
 # Names of the station feed that differ from ours.
@@ -62,9 +64,12 @@ def read_table(
     schema: T.StructType | str | None = None,
     **options: str,
 ) -> DataFrame:
-    """Scan ``path`` in any format Spark reads; CSV files carry a header."""
+    """Scan ``path`` in any format Spark reads.
+
+    CSV files carry a header, which must agree with a ``schema`` if one is given.
+    """
     if fmt == "csv":
-        options = {"header": "true", **options}
+        options = {"header": "true", "enforceSchema": "false", **options}
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
@@ -114,9 +119,12 @@ def read_taxi(
 def first_trips(taxi: DataFrame, n: int) -> DataFrame:
     """The ``n`` earliest trips; equal pickup times are ordered by the other columns.
 
-    Every task keeps its own first ``n`` rows and only those are merged, so
-    this suits a sample of moderate size.  For a large share of the table,
-    filter on a range of ``pickup_datetime``, which is pruned in the scan.
+    The time of the ``n``-th trip is found first, by counting, and later trips
+    are dropped where they are read.  Otherwise every task would send its own
+    first ``n`` rows to the one task that merges them.
     """
+    when = wall_seconds("pickup_datetime")
+    last = nth_smallest(taxi, when, n).scalar()
     rest = [c for c in taxi.columns if c != "pickup_datetime"]
-    return taxi.orderBy("pickup_datetime", *rest).limit(n)
+    candidates = taxi.filter((when <= last) | F.col("pickup_datetime").isNull())
+    return candidates.orderBy("pickup_datetime", *rest).limit(n)
