@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from velometry.operators import duration, placement
 from velometry.operators import taxi as taxi_ops
+from velometry.sources.readers import with_travel_time
 
 RIDE = ("2016-05-02 09:00:00", "2016-05-02 09:10:00")
 
@@ -155,6 +156,17 @@ def test_features(spark):
     assert duration.features(taxi_ops.with_velocity(same_time)).collect() == []
 
 
+def test_duration_does_not_depend_on_the_session_zone(spark):
+    night = {"pickup_datetime": "2016-03-13 01:50:00", "dropoff_datetime": "2016-03-13 03:10:00"}
+    ride = taxi_ops.with_velocity(taxi(spark, night))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert duration.features(ride).first().label == 80.0
+        assert with_travel_time(ride).first().travel_time == 4800.0
+    finally:
+        spark.conf.unset("spark.sql.session.timeZone")
+
+
 def test_split_keeps_every_row_once(city):
     data = duration.features(_with_velocity(city))
     train, validation = duration.split(data)

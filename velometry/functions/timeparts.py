@@ -67,11 +67,11 @@ def frames_of(hour: str | Column) -> Column:
     return F.element_at(table, hour + 1)
 
 
-def wall_seconds(column: str) -> Column:
-    """Seconds of a zone-free time since 1970, the same in every session zone."""
-    days = F.date_diff(F.col(column).cast("date"), F.lit("1970-01-01").cast("date"))
-    clock = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-    return days.cast("bigint") * 86400 + clock
+def seconds_between(begin: str | Column, end: str | Column) -> Column:
+    """Whole seconds from one zone-free time to another, in every session zone."""
+    begin = F.col(begin) if isinstance(begin, str) else begin
+    end = F.col(end) if isinstance(end, str) else end
+    return (end - begin).cast("interval second").cast("bigint")
 
 
 def month_name(month: str | Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velometry.functions.timeparts import seconds_between
 from velometry.sources.writers import cut_lineage
 
 # The published feature list.  Two of them contain the label:
@@ -39,7 +40,7 @@ FEATURES_NO_LEAK = tuple(f for f in FEATURES_FULL if f not in _LEAKS)
 
 def features(slow: DataFrame, max_miles: float = 20.0) -> DataFrame:
     """Label (minutes) and the full feature list of trips that carry a velocity."""
-    minutes = (F.unix_timestamp("dropoff_datetime") - F.unix_timestamp("pickup_datetime")) / 60
+    minutes = seconds_between("pickup_datetime", "dropoff_datetime") / 60
     return (
         slow.filter(F.col("trip_distance") < max_miles)
         .na.drop("any")

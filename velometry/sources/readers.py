@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from velometry.functions.quantile import nth_smallest
-from velometry.functions.timeparts import wall_seconds
+from velometry.functions.timeparts import seconds_between
 from velometry.schemas import DERIVABLE, STATIONS, TAXI, TRIPS
 
 # Names of the station feed that differ from ours.
@@ -95,9 +95,7 @@ def project_stations(raw: DataFrame) -> DataFrame:
 
 def with_travel_time(taxi: DataFrame) -> DataFrame:
     """Set ``travel_time`` to the seconds from pickup to dropoff."""
-    seconds = F.unix_timestamp(F.col("dropoff_datetime").cast("timestamp_ntz")) - F.unix_timestamp(
-        F.col("pickup_datetime").cast("timestamp_ntz")
-    )
+    seconds = seconds_between("pickup_datetime", "dropoff_datetime")
     return taxi.withColumn("travel_time", seconds.cast("double"))
 
 
@@ -123,7 +121,7 @@ def first_trips(taxi: DataFrame, n: int) -> DataFrame:
     are dropped where they are read.  Otherwise every task would send its own
     first ``n`` rows to the one task that merges them.
     """
-    when = wall_seconds("pickup_datetime")
+    when = seconds_between(F.lit("1970-01-01").cast("timestamp_ntz"), "pickup_datetime")
     last = nth_smallest(taxi, when, n).scalar()
     rest = [c for c in taxi.columns if c != "pickup_datetime"]
     candidates = taxi.filter((when <= last) | F.col("pickup_datetime").isNull())
