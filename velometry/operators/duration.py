@@ -52,8 +52,9 @@ def features(slow: DataFrame, max_miles: float = 20.0) -> DataFrame:
                 "speed_mph": F.try_divide("trip_distance", minutes / 60),
             }
         )
+        # Nothing else can be null by now: a trip that took no time has no speed.
+        .filter(F.col("speed_mph").isNotNull())
         .select("label", *FEATURES_FULL)
-        .dropna()
     )
 
 

@@ -506,6 +506,14 @@ def cluster_sample(spark, sf):
     return placement.cluster_sample(_with_pickups(spark, sf), "pickup_latitude")
 
 
+@query
+def cluster_totals(spark, sf):
+    """Labels differ from run to run; that every trip has one of each does not."""
+    both = placement.assign_dropoffs(_with_pickups(spark, sf))
+    labelled = F.col("pickup_cluster").between(0, 9) & F.col("dropoff_cluster").between(0, 9)
+    return both.agg(F.count(F.lit(1)).alias("trips"), F.count_if(labelled).alias("labelled"))
+
+
 # --- duration -----------------------------------------------------------------
 
 
@@ -528,6 +536,14 @@ def duration_split(spark, sf):
     return sides.groupBy("side").agg(F.count(F.lit(1)).alias("trips"))
 
 
+@query
+def duration_split_total(spark, sf):
+    """Sides differ with the seed; together they are all rows, each once."""
+    train, validation = _split(spark, sf)
+    minutes = F.round(F.sum("label"), 3).alias("minutes")
+    return train.unionByName(validation).agg(F.count(F.lit(1)).alias("trips"), minutes)
+
+
 def _predictions(spark, sf, features=duration.FEATURES_FULL):
     train, validation = _split(spark, sf)
     return duration.predict(duration.fit(train, features), validation)

@@ -321,6 +321,11 @@ _SELECTS = {
     "taxi_in_bbox": f"select {_TAXI} from taxi where {_IN_BOX}",
     "taxi_clean": f"""
         select {_TAXI}, round(velocity, 6) as velocity from slow_taxi where {_IN_BOX}""",
+    "cluster_totals": f"""
+        select count(*) as trips, count(*) as labelled from slow_taxi where {_IN_BOX}""",
+    "duration_split_total": """
+        select count(*) as trips, round(sum(travel_time / 60), 3) as minutes
+        from slow_taxi where trip_distance < 20 and travel_time > 0""",
     "duration_features": """
         select round(travel_time / 60, 6) as label, passenger_count, trip_distance, rate_code,
                payment_type, fare_amount, extra, mta_tax, tip_amount,
