@@ -12,7 +12,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velometry.llm import bpe, chat, pii, repetition, simhash, url_filter, warc
+from velometry.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    langid,
+    pii,
+    repetition,
+    simhash,
+    substrings,
+    url_filter,
+    warc,
+)
 from velometry.llm.common import ensure_checkpoint_dir
 
 Query = Callable[..., DataFrame]
@@ -135,6 +146,20 @@ def op5_byte_bpe(spark, sf):
     )
 
 
+@query
+def op6_substring_dedup(spark, sf):
+    return substrings.drop_repeated(_table(spark, sf, "documents"), words=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
+    )
+
+
+@query
+def op7_decontamination(spark, sf):
+    return decontaminate.find_benchmark(
+        _table(spark, sf, "documents"), _table(spark, sf, "benchmark")
+    )
+
+
 @query
 def op8_quality_rules(spark, sf):
     return repetition.judge_documents(_table(spark, sf, "documents"))
@@ -148,3 +173,11 @@ def op9_simhash(spark, sf):
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op10_language_id(spark, sf):
+    documents = _table(spark, sf, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.learn(documents.filter(~out & F.col("doc_id").isNotNull()))
+    return langid.predict(documents, model).withColumn("held_out", out)
