@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -61,9 +62,14 @@ def ensure_checkpoint_dir(spark) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` computed once, as a reliable checkpoint; a lost executor repeats nothing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` computed once and read back as a table in the shared folder.
+
+    A lost executor repeats nothing that is stored, and later plans see the true size
+    (a checkpoint keeps the estimate, which a loop multiplies in every round).
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread_join(

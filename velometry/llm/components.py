@@ -13,7 +13,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Each round every node takes the smallest label among its neighbours, and then
     the label of its label, so that labels travel twice as far each time.  A round is
-    checkpointed; a hub with many edges is spread over many tasks.
+    stored; a hub with many edges is spread over many tasks.
     """
     both = stored(edges.union(edges.select("b", "a")).filter("a <> b").distinct())
     labels = stored(

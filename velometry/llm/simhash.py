@@ -218,11 +218,8 @@ def keep_one(documents: DataFrame, words: int = 3, distance: int = 2) -> DataFra
     """
     names = documents.columns
     found = near_duplicates(documents, words, distance)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    key = F.col("doc_id").cast("long")
-    one = (
-        documents.join(kept, key == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    )
+    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+    one = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(documents.filter(F.col("doc_id").isNull())).select(
         *(F.col(f"`{n}`") for n in names)
     )
