@@ -29,7 +29,9 @@ HASHES = 3
 UNKNOWN = "und"
 
 _SPACE = np.uint32(32)
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_A = np.uint64(0x9E3779B97F4A7C15)
+#: One addend for each place of an n-gram.
+_ADDENDS = np.arange(1, HASHES + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -66,7 +68,7 @@ def _grams(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points = np.where(letter, points, _SPACE)
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    keep[:1] = True
+    keep[np.cumsum(sizes) - sizes] = True
     points, owner = points[keep], owner[keep]
     n = len(points) - GRAM + 1
     if n <= 0:
@@ -82,8 +84,8 @@ def _grams(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _places(hashes: np.ndarray) -> Iterator[np.ndarray]:
-    for i in range(HASHES):
-        mixed = (hashes + np.uint64(i + 1) * _B) * _A
+    for addend in _ADDENDS:
+        mixed = (hashes + addend) * _A
         yield ((mixed >> np.uint64(40)) % np.uint64(PLACES)).astype(np.int64)
 
 
