@@ -1,0 +1,108 @@
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from plain import sha
+from pyspark.sql import functions as F
+
+from velometry.llm import bpe
+from velometry.llm.queries import PATTERN, RANKS
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = bpe.read_ranks(RANKS)
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return bpe.load(RANKS, PATTERN)
+
+
+def check(coder, reference, texts):
+    for text, ids in zip(texts, coder.encode_batch(texts)):
+        assert list(ids) == reference.encode_ordinary(text), text
+        assert coder.decode(ids) == text.encode()
+
+
+def test_byte_table():
+    table = bpe.byte_table()
+    assert len(set(table.values())) == 256 and table[ord("a")] == "a" and table[32] == chr(288)
+
+
+def test_random_texts(coder, reference):
+    rng = random.Random(4)
+    chars = list(" ab-'s\n\t　\xa0\x1c​éßⅧ٣👍‍中文\x00=́²ǅ0.A\r")
+    check(coder, reference, ["".join(rng.choices(chars, k=rng.randint(0, 50))) for _ in range(4000)])
+
+
+def test_runs(coder, reference):
+    texts = [p + c * n for c in "-=*_ .a#!~0\n\t" for n in (*range(1, 60), 700) for p in ("", "x", " ")]
+    check(coder, reference, texts + ["word " * 50_000, "<|endoftext|>"])
+
+
+def test_documents(spark, coder, reference):
+    sf = "/root/testdata/sf0.001"
+    import __spark_entry__
+
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = __spark_entry__.queries()["op5_byte_bpe"](spark, sf).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = reference.encode_ordinary(docs[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == sha(",".join(map(str, ids)))
+        assert r.decoded_sha256 == sha(docs[r.doc_id])
+
+
+def test_offsets(coder):
+    for text in ("héllo wörld", "👍👍🏽 中文字", "", "a‍\n\nb", "naïve ﷽"):
+        ids = coder.encode_batch([text])[0]
+        starts, ends = coder.offsets(text, ids)
+        assert len(starts) == len(ids)
+        raw, at = text.encode(), 0
+        for i, a, b in zip(ids, starts, ends):
+            size = len(coder.tokens[i])
+            first = len(raw[: at + 1].decode(errors="ignore"))
+            whole = raw[at : at + size].decode(errors="ignore")
+            assert whole in text[a:b] and a <= first
+            at += size
+        assert (list(ends[-1:]) or [0])[0] == len(text)
+
+
+def test_split_characters_come_with_their_last_part(coder):
+    text = "x👍🏽y﷽"
+    ids = coder.encode_batch([text])[0]
+    parts = list(coder.decode_tokens(ids))
+    assert "".join(parts) == text and "" in parts
+    assert list(coder.decode_tokens(ids[:2]))[-1].endswith(("x", "�"))
+
+
+def test_small_cache_gives_the_same(monkeypatch, reference):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    coder = bpe.ByteBpe(RANKS, PATTERN)
+    for _ in range(3):
+        check(coder, reference, ["one two three", "three two four five", "one"])
+
+
+def test_nulls_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, None), (1, ""), (None, "hi"), (2, "hi"), (2, "hi")], "doc_id bigint, text string")
+    df = df.withColumn("ids", F.lit("x")).withColumn("decoded", F.lit("y"))
+    encoded = bpe.encode_documents(df, RANKS, PATTERN)
+    decoded = bpe.decode_documents(encoded, RANKS, PATTERN).collect()
+    assert sorted(str((r.doc_id, bytes(r.decoded).decode())) for r in decoded) == sorted(
+        ["(1, '')", "(1, '')", "(None, 'hi')", "(2, 'hi')", "(2, 'hi')"]
+    )
+    assert encoded.filter("size(ids) <> size(starts) or size(ids) <> size(ends)").count() == 0
+    assert bpe.encode_documents(df.limit(0), RANKS, PATTERN).count() == 0
+    nothing = encoded.limit(1).select("doc_id", F.lit(None).cast("array<int>").alias("ids"))
+    assert bytes(bpe.decode_documents(nothing, RANKS, PATTERN).first().decoded) == b""
+
+
+def test_other_vocabulary():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    own = bpe.load(path, PATTERN)
+    theirs = tiktoken.Encoding("o", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    check(own, theirs, ["The quick brown fox's tail, naïve — 12345", "\n\n  x"])

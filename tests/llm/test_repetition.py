@@ -1,0 +1,82 @@
+import random
+
+import plain
+import pytest
+from pyspark.sql import functions as F
+
+from velometry.llm import repetition as r
+
+RULES = r.RepetitionRules()
+
+
+def figures(texts, rules=RULES):
+    return {k: v.tolist() for k, v in r.measure(texts, rules).items()}
+
+
+def test_equals_brute_force():
+    rng = random.Random(8)
+    texts = [
+        " ".join(rng.choices("ab" if rng.random() < 0.3 else "abcdefgh", k=rng.randint(0, 70)))
+        for _ in range(500)
+    ]
+    texts += ["", " \n\t", "x " * 400, "a b c d e f g h " * 30, "one"]
+    got = figures(texts)
+    for i, t in enumerate(texts):
+        own = tuple(got[k][i] for k in ("n_words", "n_repeat_words", "n_covered_words", "longest_repeat"))
+        assert own == plain.repetition(t), t
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 4, 5, 7])
+def test_every_least_length(least):
+    rng = random.Random(least)
+    rules = r.RepetitionRules(window_words=least, least_words=least + 2)
+    texts = [" ".join(rng.choices("abc", k=rng.randint(0, 40))) for _ in range(150)]
+    got = figures(texts, rules)
+    for i, t in enumerate(texts):
+        own = tuple(got[k][i] for k in ("n_words", "n_repeat_words", "n_covered_words", "longest_repeat"))
+        assert own == plain.repetition(t, least, least + 2), t
+
+
+def test_a_batch_does_not_mix_documents():
+    text = "a b c d e f g h i j k l m n"
+    assert figures([text] * 5) == {k: v * 5 for k, v in figures([text]).items()}
+
+
+def test_lines_symbols_and_chars():
+    got = figures(["a\nb\n\na\n \n  \na ", "#*$%&|<> é x", ""])
+    assert got["n_dup_lines"] == [1, 0, 0]
+    assert got["n_symbols"] == [0, 8, 0]
+    assert got["word_chars"] == [4, 11, 0]
+    assert got["n_words"] == [4, 2, 0]
+
+
+def test_limits():
+    words = [f"w{i}" for i in range(2000)]
+    clean = " ".join(words)
+    short = " ".join(words[:9])
+    longest = " ".join(words + words[:61])
+    within = " ".join(words + words[:60])
+    often = " ".join(words[:20] * 3)
+    got = figures([clean, short, longest, within, often])
+    assert got["kept"] == [True, False, False, True, False]
+    assert got["base_failed"] == [False, True, False, False, True]
+
+
+def test_rows_with_nulls_and_clashing_columns(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text), (1, text), (None, text), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kept", F.lit("x"))
+    got = r.judge_documents(df).collect()
+    assert sorted(str((x.doc_id, x.n_words, x.kept)) for x in got) == sorted(
+        ["(1, 30, True)", "(1, 30, True)", "(None, 30, True)", "(2, 0, False)", "(3, 0, False)"]
+    )
+    good = r.keep_good(df)
+    assert good.columns == df.columns and good.count() == 3
+    assert r.judge_documents(df.limit(0)).count() == 0 and r.keep_good(df.limit(0)).count() == 0
+
+
+def test_very_long_text(spark):
+    text = " ".join(str(i % 7919) for i in range(300_000))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = r.judge_documents(df).first()
+    assert row.n_repeat_words == 300_000 and row.longest_repeat == 300_000 - 7919
