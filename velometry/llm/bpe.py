@@ -10,20 +10,20 @@ from __future__ import annotations
 
 import base64
 import codecs
-import os
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models
 
 from velometry.llm.common import slices, texts
 
 #: Pieces that a worker remembers.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 
 
 def byte_table() -> dict[int, str]:
@@ -43,51 +43,53 @@ class ByteBpe:
     """Encoder and decoder for one rank file and pattern."""
 
     def __init__(self, path: str, pattern: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, models, pre_tokenizers
-
-        ranks = read_ranks(path)
-        chars = byte_table()
+        self.ranks = read_ranks(path)
+        self.chars = byte_table()
+        self.pattern = regex.compile(pattern)
+        # Ids of the pieces met so far, four bytes each.
+        self.cache: dict[str, bytes] = {}
+        # Decoding reverses the byte table on the tokens as the library writes them.
+        back = {c: b for b, c in self.chars.items()}
+        written = {i: self.written(t) for t, i in self.ranks.items()}
+        self.tokens = [
+            bytes(map(back.__getitem__, written.get(i, ""))) for i in range(max(written) + 1)
+        ]
+        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
 
-        def written(token: bytes) -> str:
-            return "".join(map(chars.__getitem__, token))
+    def written(self, raw: bytes) -> str:
+        """Bytes as the characters of the byte table."""
+        return raw.decode("latin-1").translate(self.chars)
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        ranks = self.ranks
         merges = [
-            (written(token[:i]), written(token[i:]))
+            (self.written(token[:i]), self.written(token[i:]))
             for token in sorted(ranks, key=ranks.get)
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         ]
-        vocab = {written(t): r for t, r in ranks.items()}
-        self.tokenizer = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True))
-        # The pieces come in already split.
-        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(
-            add_prefix_space=False, use_regex=False
-        )
-        self.pattern = regex.compile(pattern)
-        self.cache: dict[str, list[int]] = {}
-        # Decoding reverses the byte table on the library's own token strings.
-        back = {c: b for b, c in chars.items()}
-        tokens = {i: bytes(map(back.__getitem__, t)) for t, i in vocab.items()}
-        self.tokens = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
-        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        vocab = {self.written(t): r for t, r in ranks.items()}
+        return Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces into the cache, all of a call in one pass of the library."""
+        mapped = [self.written(p.encode("utf-8", "surrogatepass")) for p in pieces]
+        found = self.tokenizer.encode(mapped, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, np.int32).tobytes()
+        owner = np.array(found.word_ids, np.int64)
+        cuts = (4 * np.searchsorted(owner, np.arange(len(pieces) + 1))).tolist()
+        self.cache.update(zip(pieces, (ids[a:b] for a, b in zip(cuts, cuts[1:]))))
 
     def encode_batch(self, batch: list[str]) -> list[np.ndarray]:
         pieces = [self.pattern.findall(t) for t in batch]
-        cache = self.cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        new = list({p for ps in pieces for p in ps if p not in cache})
-        for first in range(0, len(new), 10_000):
-            some = new[first : first + 10_000]
-            for piece, found in zip(
-                some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            ):
-                cache[piece] = found.ids
-        return [
-            np.fromiter((i for p in ps for i in cache[p]), np.int32) if ps else np.empty(0, np.int32)
-            for ps in pieces
-        ]
+        if len(self.cache) > CACHE_PIECES:
+            self.cache.clear()
+        new = list(set().union(*pieces).difference(self.cache))
+        for first in range(0, len(new), 20_000):
+            self._learn(new[first : first + 20_000])
+        ids = self.cache.__getitem__
+        return [np.frombuffer(b"".join(map(ids, own)), np.int32) for own in pieces]
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end code point of each token; parts of one character share it."""
@@ -160,7 +162,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
                 out = [
-                    coder.decode(ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else ())
+                    coder.decode(ids.values.to_pylist() if ids.is_valid else ())
                     for ids in part.column("ids")
                 ]
                 yield pa.RecordBatch.from_arrays(
