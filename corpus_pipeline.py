@@ -42,9 +42,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, the number of tokens, their ids, and the digest of the decoded bytes."""
-    encoded = bpe.encode_documents(docs, RANKS, public_tokenizers.PATTERN, offsets=False)
-    decoded = bpe.decode_documents(encoded, RANKS, public_tokenizers.PATTERN)
-    return decoded.select(
+    pattern = public_tokenizers.PATTERN
+    encoded = bpe.encode_documents(docs, RANKS, pattern, offsets=False, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",

@@ -83,6 +83,7 @@ def test_split_characters_come_with_their_last_part(coder):
 def test_small_cache_gives_the_same(monkeypatch, reference):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
     coder = bpe.ByteBpe(RANKS, PATTERN)
+    assert not coder.cache
     for _ in range(3):
         check(coder, reference, ["one two three", "three two four five", "one"])
 

@@ -23,7 +23,7 @@ from tokenizers import Tokenizer, models
 from velometry.llm.common import slices, texts
 
 #: Pieces that a worker remembers.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
 
 
 def byte_table() -> dict[int, str]:
@@ -83,9 +83,11 @@ class ByteBpe:
 
     def encode_batch(self, batch: list[str]) -> list[np.ndarray]:
         pieces = [self.pattern.findall(t) for t in batch]
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        new = list(set().union(*pieces).difference(self.cache))
+        here = set().union(*pieces)
+        new = list(here.difference(self.cache))
+        if len(self.cache) + len(new) > CACHE_PIECES:
+            # What is frequent is in this batch too.
+            self.cache = {p: self.cache[p] for p in here.difference(new)}
         for first in range(0, len(new), 20_000):
             self._learn(new[first : first + 20_000])
         ids = self.cache.__getitem__
@@ -125,13 +127,15 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def encode_documents(
-    documents: DataFrame, path: str, pattern: str, offsets: bool = True
+    documents: DataFrame, path: str, pattern: str, offsets: bool = True, decoded: bool = False
 ) -> DataFrame:
-    """``doc_id, ids`` and, with ``offsets``, the code points ``starts`` and ``ends`` of tokens.
+    """``doc_id, ids`` and, if asked for, ``starts``, ``ends`` and ``decoded``.
 
-    ``path`` is a rank file that every executor can open.  Null and empty texts
-    have no tokens.  Null and repeated doc_ids stay as they are, other columns are
-    not read, an empty table gives no rows.
+    ``starts`` and ``ends`` are code points of tokens in the text, ``decoded`` the bytes
+    that the ids give back (as ``decode_documents`` does for stored ids, without sending
+    them to another Python worker).  ``path`` is a rank file that every executor can
+    open.  Null and empty texts have no tokens.  Null and repeated doc_ids stay as they
+    are, other columns are not read, an empty table gives no rows.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,13 +148,18 @@ def encode_documents(
                 if offsets:
                     places = [coder.offsets(t, i) for t, i in zip(own, ids)]
                     columns += [_lists([p[0] for p in places]), _lists([p[1] for p in places])]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    names = ["doc_id", "ids", "starts", "ends"] if offsets else ["doc_id", "ids"]
-    schema = ", ".join(f"{n} {'bigint' if n == 'doc_id' else 'array<int>'}" for n in names)
+                if decoded:
+                    columns.append(pa.array([coder.decode(i.tolist()) for i in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, list(fields))
+
+    fields = {"doc_id": "bigint", "ids": "array<int>"}
+    if offsets:
+        fields |= {"starts": "array<int>", "ends": "array<int>"}
+    if decoded:
+        fields["decoded"] = "binary"
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(encode, schema)
+    ).mapInArrow(encode, ", ".join(f"{n} {kind}" for n, kind in fields.items()))
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -135,10 +135,9 @@ def op4_pii(spark, sf):
 
 @query
 def op5_byte_bpe(spark, sf):
-    encoded = bpe.encode_documents(
-        _table(spark, sf, "documents"), RANKS, PATTERN, offsets=False
-    )
-    return bpe.decode_documents(encoded, RANKS, PATTERN).select(
+    documents = _table(spark, sf, "documents")
+    encoded = bpe.encode_documents(documents, RANKS, PATTERN, offsets=False, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         _sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
