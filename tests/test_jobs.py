@@ -1,3 +1,6 @@
+import pytest
+
+from velometry.__main__ import main
 from velometry.operators import serving
 from velometry.plans import fixtures as fx
 from velometry.plans import jobs
@@ -40,4 +43,30 @@ def test_jobs_from_input_files_to_result_tables(spark, tmp_path):
         "hun": 100,
     }
     assert spark.read.parquet(f"{out}/taxi_clusters").filter("dropoff_cluster is null").count() == 0
-    assert 0 < jobs.duration_model(spark, out) < 5
+    errors = jobs.duration_model(spark, out)
+    assert 0 < errors["full"] < 5 and errors["full"] < errors["no_leak"]
+
+    jobs.slow_taxi_table(spark, f"{root}/trips", f"{root}/taxi", out, fx.BIKE_YEAR, first=5000)
+    assert 0 < spark.read.parquet(f"{out}/slow_taxi").count() < 2000
+
+
+def test_yearly_runs_stay_side_by_side(spark, tmp_path):
+    root, out, whole = (str(tmp_path / x) for x in ("in", "out", "whole"))
+    write_table(fx.trips_long(spark, SF_DIR), root)
+    for year in (1995, 1996, 1995):
+        jobs.popularity_tables(spark, root, out, year)
+    jobs.popularity_tables(spark, root, whole)
+    for table in ("monthly_peak", "top_stations", "hourly_activity"):
+        both = spark.read.parquet(f"{out}/{table}")
+        expected = spark.read.parquet(f"{whole}/{table}").filter("year in (1995, 1996)")
+        columns = sorted(both.columns)
+        assert sorted(both.select(columns).collect()) == sorted(expected.select(columns).collect())
+    trend = serving.peak_trend(spark.read.parquet(f"{out}/monthly_peak"))
+    assert {r.year for r in trend.collect()} == {1995, 1996}
+
+
+@pytest.mark.parametrize("job", ["popularity", "stations", "balance", "slow-taxi"])
+def test_jobs_ask_for_what_they_need(job, capsys):
+    with pytest.raises(SystemExit):
+        main([job, "--out", "x"])
+    assert f"{job} needs --trips" in capsys.readouterr().err

@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 from frames import PLACES, rows, taxi, trips
+from pyspark.sql import functions as F
 
 from velometry.schemas import STATIONS, TRIPS
 from velometry.sources import (
@@ -35,7 +36,10 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
         ",name,station_id,region_id,longitude,latitude,capacity,num_bikes_available,extra\n"
         "0,A,72,70.0,-74.0,40.7,39,x,1\n"
     )
-    found = read_stations(spark, str(tmp_path / "s.csv"), "csv")
+    path = str(tmp_path / "s.csv")
+    with pytest.raises(Exception, match="unreadable num_bikes_available: x"):
+        read_stations(spark, path, "csv").collect()
+    found = read_stations(spark, path, "csv", bad="null")
     assert found.schema.fieldNames() == STATIONS.fieldNames()
     # The unreadable stock is null, and a column nobody needs may be missing.
     assert found.collect() == [(72, "A", 40.7, -74.0, 70, 39, None, None)]
@@ -62,6 +66,59 @@ def test_times_with_a_zone_keep_their_wall_clock(spark, tmp_path):
     ]
 
 
+def _two_times(tmp_path, start, stop):
+    names = [f for f in TRIPS.fieldNames() if f not in ("starttime", "stoptime")]
+    blank = "," * len(names)
+    (tmp_path / "t.csv").write_text(f"starttime,stoptime,{','.join(names)}\n{start},{stop}{blank}\n")
+    return str(tmp_path / "t.csv")
+
+
+def test_unreadable_times_are_an_error_unless_a_format_fits(spark, tmp_path):
+    path = _two_times(tmp_path, "9/1/2014 00:00:25", "2014-09-01 00:10:00")
+    with pytest.raises(Exception, match="unreadable starttime: 9/1/2014"):
+        read_trips(spark, path, "csv").collect()
+    with pytest.raises(Exception, match="unreadable starttime"):
+        read_trips(spark, path, "csv", formats=["yyyy.MM.dd"]).collect()
+    with pytest.raises(ValueError, match="bad must be"):
+        read_trips(spark, path, "csv", bad="ignore")
+    fits = ["yyyy.MM.dd", "M/d/yyyy HH:mm:ss"]
+    found = read_trips(spark, path, "csv", formats=fits).select("starttime", "stoptime")
+    assert found.collect() == [(datetime(2014, 9, 1, 0, 0, 25), datetime(2014, 9, 1, 0, 10))]
+    blank = read_trips(spark, path, "csv", bad="null").select("starttime", "stoptime")
+    assert blank.collect() == [(None, datetime(2014, 9, 1, 0, 10))]
+
+
+def test_formats_do_not_skip_hours_of_the_session_zone(spark, tmp_path):
+    path = _two_times(tmp_path, "13.03.2016 02:30:00", "13.03.2016 03:10:00")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = read_trips(spark, path, "csv", formats=["dd.MM.yyyy HH:mm:ss"]).first()
+        assert (found.starttime, found.stoptime) == (
+            datetime(2016, 3, 13, 2, 30),
+            datetime(2016, 3, 13, 3, 10),
+        )
+    finally:
+        spark.conf.unset("spark.sql.session.timeZone")
+
+
+@pytest.mark.parametrize("session", ["UTC", "America/New_York"])
+def test_instants_need_the_city_zone(spark, tmp_path, session):
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        path = str(tmp_path / "instants")
+        rides = trips(spark, RIDE).withColumns(
+            {c: F.expr("timestamp '2016-07-01 16:00:00 UTC'") for c in ("starttime", "stoptime")}
+        )
+        write_table(rides, path)
+        with pytest.raises(ValueError, match="starttime is an instant"):
+            read_trips(spark, path)
+        assert read_trips(spark, path, zone="America/New_York").first().starttime == datetime(
+            2016, 7, 1, 12
+        )
+    finally:
+        spark.conf.unset("spark.sql.session.timeZone")
+
+
 def test_taxi_travel_time_is_computed_when_missing(spark, tmp_path):
     path = str(tmp_path / "taxi")
     write_table(taxi(spark, {}, {"pickup_datetime": "2016-03-01 09:00:00"}).drop("travel_time"), path)
@@ -86,6 +143,23 @@ def test_first_trips_keeps_missing_times_and_orders_ties(spark):
         spark.conf.unset("spark.sql.session.timeZone")
 
 
+def test_first_trips_ties_within_the_last_second(spark):
+    times = [f"2016-03-01 10:00:00.{i % 3}" for i in range(9)] + ["1969-12-31 23:59:59.5", "2016-03-01 10:00:01"]
+    rides = taxi(spark, *({"pickup_datetime": t, "fare_amount": i} for i, t in enumerate(times)))
+    rides = rides.select("pickup_datetime", "fare_amount")
+    whole = [tuple(r) for r in rides.orderBy("pickup_datetime", "fare_amount").collect()]
+    for n in (1, 2, 4, 5, 10, 11, 12):
+        assert [tuple(r) for r in first_trips(rides, n).collect()] == whole[:n]
+    assert first_trips(rides.limit(0), 3).count() == 0
+
+
+def test_overwrite_keeps_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "years")
+    for year, n in ((2015, 3), (2016, 4), (2015, 2)):
+        write_table(spark.range(n).selectExpr("id", f"{year} as year"), path, partition_by=["year"])
+    assert rows(spark.read.parquet(path).groupBy("year").count()) == [(2015, 2), (2016, 4)]
+
+
 def test_csv_header_must_agree_with_a_schema(spark, tmp_path):
     (tmp_path / "x.csv").write_text("b,a\n1,2\n")
     assert read_table(spark, str(tmp_path / "x.csv"), "csv", "b int, a int").collect() == [(1, 2)]
@@ -124,6 +198,15 @@ def test_printed_centres(spark):
     assert found == [("ten", 0, 40.1, -73.9), ("ten", 1, 40.2, -73.8)]
 
 
+def test_rows_are_kept_without_a_checkpoint_folder(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    kept = cut_lineage(trips(spark, RIDE))
+    monkeypatch.undo()
+    assert kept.is_cached and kept.count() == 1
+    kept.unpersist()
+
+
 def test_cut_lineage_reads_from_the_checkpoint_folder(spark):
     rides = trips(spark, RIDE, places=PLACES)
     cut = cut_lineage(rides)

@@ -11,19 +11,31 @@ from velometry.plans import jobs
 from velometry.session import build_session
 
 
-def main() -> None:
+# What each job cannot do without.
+NEEDS = {
+    "popularity": ("trips",),
+    "stations": ("trips", "stations"),
+    "balance": ("trips", "stations"),
+    "slow-taxi": ("trips", "taxi", "year"),
+    "placement": (),
+    "duration": (),
+}
+
+
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="velometry", description=__doc__)
-    parser.add_argument(
-        "job",
-        choices=["popularity", "stations", "balance", "slow-taxi", "placement", "duration"],
-    )
+    parser.add_argument("job", choices=list(NEEDS))
     parser.add_argument("--trips")
     parser.add_argument("--stations")
     parser.add_argument("--taxi")
     parser.add_argument("--out", required=True)
     parser.add_argument("--year", type=int)
+    parser.add_argument("--first", type=int, help="only the earliest taxi trips")
     parser.add_argument("--format", default="parquet")
-    args = parser.parse_args()
+    args = parser.parse_args(argv)
+    absent = [f"--{name}" for name in NEEDS[args.job] if getattr(args, name) is None]
+    if absent:
+        parser.error(f"{args.job} needs {', '.join(absent)}")
     spark = build_session()
     if args.job == "popularity":
         jobs.popularity_tables(spark, args.trips, args.out, args.year, args.format)
@@ -32,11 +44,14 @@ def main() -> None:
     elif args.job == "balance":
         jobs.balance_tables(spark, args.trips, args.stations, args.out, args.format)
     elif args.job == "slow-taxi":
-        jobs.slow_taxi_table(spark, args.trips, args.taxi, args.out, args.year, args.format)
+        jobs.slow_taxi_table(
+            spark, args.trips, args.taxi, args.out, args.year, args.format, args.first
+        )
     elif args.job == "placement":
         jobs.placement_tables(spark, args.out)
     else:
-        print(f"RMSE: {jobs.duration_model(spark, args.out):.3f}")
+        for features, error in jobs.duration_model(spark, args.out).items():
+            print(f"RMSE, {features}: {error:.3f}")
 
 
 if __name__ == "__main__":

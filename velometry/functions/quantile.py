@@ -12,10 +12,15 @@ _COARSE, _FINE = 1_000, 1_000_000_000
 
 
 def _class(v: Column, per_unit: int) -> Column:
-    """An integer that never falls as ``v`` grows."""
+    """An integer that never falls as ``v`` grows; NaN is above every number."""
     # 800 exceeds |ln(x)| for every double x, so the sizes stay positive.
     size = F.floor((F.ln(F.abs(v)) + 800.0) * per_unit)
-    signed = F.when(v == 0.0, F.lit(0).cast("bigint")).when(v > 0.0, size).otherwise(-size)
+    signed = (
+        F.when(F.isnan(v), F.lit((1 << 63) - 1))
+        .when(v == 0.0, F.lit(0).cast("bigint"))
+        .when(v > 0.0, size)
+        .otherwise(-size)
+    )
     # Known not to be null, the class draws no null check into either use of
     # a shared shuffle, so that Spark sees both are equal and runs it once.
     return F.coalesce(signed, F.lit(0).cast("bigint"))
@@ -43,9 +48,8 @@ def _value_at(
     value: str | Column,
     rank: Column,
     weight: str | Column | None = None,
-    few_values: bool = False,
 ) -> DataFrame:
-    """The value at ``rank`` in ascending order; one column ``v``, at most one row.
+    """The value ``v`` at ``rank`` in ascending order; at most one row.
 
     Nulls are left out; ``weight`` counts a row several times; ``rank`` may use
     the whole weight, ``total``.
@@ -55,8 +59,8 @@ def _value_at(
     one fine class.  Each count is combined before its shuffle, equal values
     collapse into one row, and no task holds more than a bounded number of
     groups.  (A sketch would be merged whole, from every task, in one task.)
-    ``few_values`` says that the different values are few by nature, such as
-    whole kilometres on Earth: then one count is enough.
+    NaN is above every number.  Returned with it is ``left``, the rank of the
+    row among those equal to it.
     """
     value = F.col(value) if isinstance(value, str) else value
     weight = F.lit(1) if weight is None else weight
@@ -65,9 +69,6 @@ def _value_at(
         F.col("v").isNotNull()
     )
     n = F.sum("w").alias("n")
-    if few_values:
-        return _reaching(rows.groupBy("v").agg(n), "v", rank).select("v")
-
     rows = rows.withColumn("coarse", _class(F.col("v"), _COARSE))
     # One row each: broadcasting them filters the other side in place.
     coarse = F.broadcast(_reaching(rows.groupBy("coarse").agg(n), "coarse", rank))
@@ -80,7 +81,7 @@ def _value_at(
     slices = values.groupBy("fine", F.col("left").alias("want")).agg(F.sum("n").alias("n"))
     fine = F.broadcast(_reaching(slices, "fine", F.col("want")))
     last = values.drop("left").join(fine, "fine").withColumnRenamed("left", "want")
-    return _reaching(last, "v", F.col("want")).select("v")
+    return _reaching(last, "v", F.col("want"))
 
 
 def exact_quantile(
@@ -88,7 +89,6 @@ def exact_quantile(
     value: str | Column,
     q: float,
     weight: str | Column | None = None,
-    few_values: bool = False,
 ) -> DataFrame:
     """The smallest value with at least the share ``q`` of all rows at or below it.
 
@@ -96,11 +96,16 @@ def exact_quantile(
     """
     total = F.col("total")
     rank = F.greatest(F.lit(1).cast("bigint"), total - F.floor(total - total * F.lit(q)))
-    return _value_at(df, value, rank, weight, few_values).withColumnRenamed("v", "quantile")
+    return _value_at(df, value, rank, weight).select(F.col("v").alias("quantile"))
 
 
 def nth_smallest(df: DataFrame, value: str | Column, n: int) -> DataFrame:
     """The ``n``-th smallest value, or the largest if there are fewer: ``value``."""
+    return nth_place(df, value, n).select("value")
+
+
+def nth_place(df: DataFrame, value: str | Column, n: int) -> DataFrame:
+    """``nth_smallest`` with ``left``: how many rows of that value are among the ``n``."""
     rank = F.least(F.lit(n).cast("bigint"), F.col("total"))
     return _value_at(df, value, rank).withColumnRenamed("v", "value")
 
@@ -110,12 +115,11 @@ def quantile(
     value: str | Column,
     q: float,
     weight: str | Column | None = None,
-    few_values: bool = False,
     accuracy: int | None = None,
 ) -> DataFrame:
     """One-row quantile: exact, or a ``percentile_approx`` of given ``accuracy``."""
     if accuracy is None:
-        return exact_quantile(df, value, q, weight, few_values)
+        return exact_quantile(df, value, q, weight)
     if weight is not None:
         raise ValueError("a weighted quantile is exact; leave accuracy unset")
     value = F.col(value) if isinstance(value, str) else value

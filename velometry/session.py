@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -7,11 +7,13 @@ No schema is inferred: that would cost a pass over the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velometry.functions.quantile import nth_smallest
+from velometry.functions.quantile import nth_place
 from velometry.functions.timeparts import seconds_between
 from velometry.schemas import DERIVABLE, STATIONS, TAXI, TRIPS
 
@@ -19,26 +21,81 @@ from velometry.schemas import DERIVABLE, STATIONS, TAXI, TRIPS
 STATION_RENAMES = {"station_id": "id", "region_id": "rid"}
 
 
-def _typed(name: str, have: T.DataType, want: T.DataType) -> Column:
+_EPOCH = "1970-01-01 00:00:00"
+# Stands for a missing time in counts: before every second that a time can hold.
+_NO_TIME = -9e11
+
+
+def _epoch() -> Column:
+    return F.lit(_EPOCH).cast("timestamp_ntz")
+
+
+def _wall_clock(instant: Column) -> Column:
+    """The UTC clock at an instant, whatever the zone of the session."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return _epoch() + F.make_dt_interval(secs=seconds)
+
+
+def _time(text: Column, formats: Sequence[str]) -> Column:
+    """A zone-free time in the first of ``formats`` that fits, or else in ISO form."""
+    # Parsed as if in UTC and read off in UTC, no hour is skipped.
+    parsed = [
+        _wall_clock(F.try_to_timestamp(F.concat(text, F.lit(" UTC")), F.lit(f"{f} VV")))
+        for f in formats
+    ]
+    return F.coalesce(*parsed, text.try_cast("timestamp_ntz"))
+
+
+def _typed(
+    name: str,
+    have: T.DataType,
+    want: T.DataType,
+    bad: str,
+    formats: Sequence[str],
+    zone: str | None,
+) -> Column:
     column = F.col(f"`{name}`")
     if have == want:
         return column
-    if isinstance(have, T.StringType):
-        if isinstance(want, T.IntegralType):
-            # Text written from a frame with gaps prints 72 as "72.0".
-            column = column.try_cast("decimal(24,4)")
-        return column.try_cast(want)
-    return column.cast(want)
+    if isinstance(have, T.TimestampType) and isinstance(want, T.TimestampNTZType):
+        if zone is None:
+            raise ValueError(f"{name} is an instant; name the city's zone to get its clock")
+        return F.convert_timezone(F.lit("UTC"), F.lit(zone), _wall_clock(column))
+    if not isinstance(have, T.StringType):
+        return column.cast(want)
+    if isinstance(want, T.TimestampNTZType):
+        read = _time(column, formats)
+    elif isinstance(want, T.IntegralType):
+        # Text written from a frame with gaps prints 72 as "72.0".
+        read = column.try_cast("decimal(24,4)").try_cast(want)
+    else:
+        read = column.try_cast(want)
+    if bad == "null":
+        return read
+    message = F.concat(F.lit(f"unreadable {name}: "), column)
+    return F.when(column.isNotNull() & read.isNull(), F.raise_error(message).cast(want)).otherwise(
+        read
+    )
 
 
 def conform(
-    df: DataFrame, schema: T.StructType, renames: dict[str, str] | None = None
+    df: DataFrame,
+    schema: T.StructType,
+    renames: dict[str, str] | None = None,
+    bad: str = "error",
+    formats: Sequence[str] = (),
+    zone: str | None = None,
 ) -> DataFrame:
     """``df`` with exactly the columns and types of ``schema``.
 
-    An unreadable text cell becomes null.  A missing column is an error,
-    except for the few that no operator needs.
+    A text cell that cannot be read is an error, or null with ``bad="null"``.
+    Text times are tried in ``formats`` (Spark's patterns, such as
+    ``M/d/yyyy HH:mm:ss``) and then in ISO form.  Times that are instants are
+    refused unless ``zone`` names the city's zone.  A missing column is an
+    error, except for the few that no operator needs.
     """
+    if bad not in ("error", "null"):
+        raise ValueError("bad must be 'error' or 'null'")
     df = df.withColumnsRenamed(renames or {})
     have = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in schema.fields if f.name not in have]
@@ -50,7 +107,7 @@ def conform(
             (
                 F.lit(None).cast(f.dataType)
                 if f.name in missing
-                else _typed(f.name, have[f.name], f.dataType)
+                else _typed(f.name, have[f.name], f.dataType, bad, formats, zone)
             ).alias(f.name)
             for f in schema.fields
         )
@@ -76,21 +133,30 @@ def read_table(
     return reader.load(path)
 
 
-def read_trips(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Bike trips, one row per ride."""
-    return conform(read_table(spark, path, fmt, **options), TRIPS)
+def read_trips(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    bad: str = "error",
+    formats: Sequence[str] = (),
+    zone: str | None = None,
+    **options: str,
+) -> DataFrame:
+    """Bike trips, one row per ride; ``bad``, ``formats`` and ``zone`` as in ``conform``."""
+    raw = read_table(spark, path, fmt, **options)
+    return conform(raw, TRIPS, bad=bad, formats=formats, zone=zone)
 
 
 def read_stations(
-    spark: SparkSession, path: str, fmt: str = "parquet", **options: str
+    spark: SparkSession, path: str, fmt: str = "parquet", bad: str = "error", **options: str
 ) -> DataFrame:
     """Bike stations with their capacity and a snapshot of their stock."""
-    return project_stations(read_table(spark, path, fmt, **options))
+    return project_stations(read_table(spark, path, fmt, **options), bad)
 
 
-def project_stations(raw: DataFrame) -> DataFrame:
+def project_stations(raw: DataFrame, bad: str = "error") -> DataFrame:
     """The station feed under our column names."""
-    return conform(raw, STATIONS, STATION_RENAMES)
+    return conform(raw, STATIONS, STATION_RENAMES, bad)
 
 
 def with_travel_time(taxi: DataFrame) -> DataFrame:
@@ -104,25 +170,41 @@ def read_taxi(
     path: str,
     fmt: str = "parquet",
     first: int | None = None,
+    bad: str = "error",
+    formats: Sequence[str] = (),
+    zone: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Taxi trips.  ``first`` keeps that many of them, earliest pickups first."""
     raw = read_table(spark, path, fmt, **options)
-    taxi = conform(raw, TAXI)
+    taxi = conform(raw, TAXI, bad=bad, formats=formats, zone=zone)
     if "travel_time" not in raw.columns:
         taxi = with_travel_time(taxi)
     return taxi if first is None else first_trips(taxi, first)
 
 
 def first_trips(taxi: DataFrame, n: int) -> DataFrame:
-    """The ``n`` earliest trips; equal pickup times are ordered by the other columns.
+    """The ``n`` earliest trips in order; missing pickup times come first, and equal
+    ones are ordered by the other columns.
 
-    The time of the ``n``-th trip is found first, by counting, and later trips
-    are dropped where they are read.  Otherwise every task would send its own
-    first ``n`` rows to the one task that merges them.
+    The second of the ``n``-th trip is found by counting.  All trips before it
+    are among the first, and later ones are dropped where the column is read;
+    only those of that very second are ranked.
     """
-    when = seconds_between(F.lit("1970-01-01").cast("timestamp_ntz"), "pickup_datetime")
-    last = nth_smallest(taxi, when, n).scalar()
+    when = F.col("pickup_datetime")
+    since = (when - _epoch()).cast("interval second").cast("decimal(18,6)")
+    second = F.coalesce(F.floor(since).cast("double"), F.lit(_NO_TIME))
+    place = nth_place(taxi, second, n)
+    # Null if the n-th trip is one without a time.
+    moment = _epoch() + F.make_dt_interval(secs=F.col("value").cast("decimal(18,6)"))
+    begin = place.select(F.when(F.col("value") > _NO_TIME, moment).alias("begin")).scalar()
+    # No later row of that second is dropped, and no scan starts before it.
+    last = taxi.filter((when >= begin) & (second == place.select("value").scalar()))
+    last = last.union(taxi.filter(when.isNull() & begin.isNull()))
     rest = [c for c in taxi.columns if c != "pickup_datetime"]
-    candidates = taxi.filter((when <= last) | F.col("pickup_datetime").isNull())
-    return candidates.orderBy("pickup_datetime", *rest).limit(n)
+    order = Window.orderBy("pickup_datetime", *rest)
+    last = last.withColumn("__rank", F.row_number().over(order)).filter(
+        F.col("__rank") <= place.select("left").scalar()
+    )
+    first = taxi.filter(when < begin).union(taxi.filter(when.isNull() & begin.isNotNull()))
+    return first.union(last.drop("__rank")).orderBy("pickup_datetime", *rest)

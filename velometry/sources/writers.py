@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -24,8 +23,9 @@ def write_table(
 
     With ``partition_by`` the rows are first rebalanced on those columns, so
     that each directory gets few files while a hot one is still split over
-    several tasks.  ``single_file`` is meant for small reports.  CSV cannot
-    hold arrays, so there they become JSON text.
+    several tasks; an overwrite replaces only the partitions that ``df`` has,
+    so that runs over other years stay.  ``single_file`` is meant for small
+    reports.  CSV cannot hold arrays, so there they become JSON text.
     """
     if fmt == "csv":
         options = {"header": "true", **options}
@@ -37,29 +37,28 @@ def write_table(
             }
         )
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)  # only the file itself is written by one task
     elif partition_by:
         df = df.hint("rebalance", *map(F.col, partition_by))
     writer = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` as a reliable checkpoint, for input that is read many times.
+    """``df`` for input that is read many times.
 
-    Model fits pass over their input dozens of times; a lost executor must
-    not restart the whole chain that produced it.  The folder is the one the
-    cluster names in ``spark.checkpoint.dir``.  Only a local session may fall
-    back to a folder of its own; on a cluster without the setting the rows
-    are persisted and their lineage is kept.
+    Model fits pass over their input dozens of times.  The rows are kept by
+    the executors, and a lost part is computed again: every operator gives
+    the same rows each time.  Where ``spark.checkpoint.dir`` names a shared
+    folder, they are checkpointed there instead, and nothing is repeated.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not sc.master.startswith("local"):
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
             return df.persist(StorageLevel.MEMORY_AND_DISK)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="velometry-"))
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
