@@ -45,6 +45,13 @@ def test_equal_points_are_zero_apart_and_null_stays_null(spark, method):
     assert _distance(spark, None, 1.0, 1.0, 1.0, method=method) is None
 
 
+@pytest.mark.parametrize("method", ["cosine", "haversine", "full_angle"])
+@pytest.mark.parametrize("bad", [math.nan, math.inf, -math.inf])
+def test_no_number_is_no_distance(spark, method, bad):
+    for point in ((bad, 1.0, 1.0, 1.0), (1.0, bad, 1.0, 1.0), (bad, bad, bad, bad)):
+        assert _distance(spark, *point, method=method) is None
+
+
 def test_distance_is_symmetric_and_formulas_agree(spark):
     there = _distance(spark, 40.7, -74.0, 40.8, -73.9)
     assert there == pytest.approx(_distance(spark, 40.8, -73.9, 40.7, -74.0))
@@ -138,15 +145,54 @@ def test_nearest_n_without_all_pairs(crowd, n):
     assert found == {s: names[:n] for s, names in expected.items()}
 
 
-def test_full_list_equals_brute_force(crowd):
+@pytest.mark.parametrize("per_task", [512, 5])
+def test_full_list_equals_brute_force(crowd, per_task):
     short, over, pairs = crowd
     expected = {}
     for s, t, km in sorted(pairs, key=lambda p: (p[0], _mm(p[2]), p[1])):
         expected.setdefault(s, []).append(t)
-    found = dict(rows(supply.nearby_supply(short, over), "start_station_name", "nearby_stations"))
+    whole = supply.nearby_supply(short, over, per_task=per_task)
+    found = dict(rows(whole, "start_station_name", "nearby_stations"))
     assert found == expected
 
 
+def _made(df):
+    """Rows that the largest join of the last run gave."""
+    df.collect()
+    todo, most = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if "Join" in node.nodeName():
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_a_station_just_across_a_cell_edge_looks_no_farther(spark):
+    # 40.78125 is an edge of cells at every level up to 12.
+    crowd_at = [(40.7813 + i % 40 * 1e-4, -74.0 + i // 40 * 1e-4) for i in range(1600)]
+    over = hours(spark, *((f"N{i:04d}", DAY, 9, 1, *p) for i, p in enumerate(crowd_at)))
+    made = {}
+    for side, lat in (("inside", 40.7814), ("across", 40.7812)):
+        short = hours(spark, *((f"S{i:02d}", DAY, 9, 1, lat, -73.9999 + i * 1e-4) for i in range(20)))
+        nearest = supply.nearest_pairs(short, over, 5)
+        assert nearest.count() == 100
+        made[side] = _made(nearest)
+    assert made["across"] < 4 * made["inside"] < 20 * 1600
+
+
+def test_one_station_in_one_hour(crowd):
+    short, over, pairs = crowd
+    chosen = supply.nearby_supply_at(short, over, DAY, 0, "S04", 7).collect()
+    whole = supply.nearby_supply(short, over, 7).filter("start_station_name = 'S04'").collect()
+    assert chosen == whole and len(chosen) == 1
+
+
 def test_many_stations_in_one_spot(spark):
     places = {"S": (40.0, -74.0)} | {f"T{i:02d}": (40.1, -74.0) for i in range(40)}
     short = _one_hour(spark, ["S"], places)

@@ -44,7 +44,7 @@ def great_circle_km(
     lon_b: str | Column,
     method: str = "haversine",
 ) -> Column:
-    """Distance in km; null if a coordinate is null, 0 for equal points.
+    """Distance in km; null if a coordinate is null or no number, 0 for equal points.
 
     ``cosine`` is the law of cosines, ``haversine`` the half-angle formula.
     ``full_angle`` takes the whole angles where haversine takes half of them:
@@ -56,14 +56,16 @@ def great_circle_km(
         cosine = F.sin(phi_a) * F.sin(phi_b) + F.cos(phi_a) * F.cos(phi_b) * F.cos(
             F.radians(lon_a) - F.radians(lon_b)
         )
+        cosine = F.nanvl(cosine, F.lit(None).cast("double"))
         # Rounding can push the cosine just past 1, where acos is undefined.
         inside = F.when(cosine > 1.0, 1.0).when(cosine < -1.0, -1.0).otherwise(cosine)
-        same = (lat_a == lat_b) & (lon_a == lon_b)
+        same = cosine.isNotNull() & (lat_a == lat_b) & (lon_a == lon_b)
         return F.when(same, 0.0).otherwise(F.acos(inside) * COSINE_RADIUS_KM)
     share = {"haversine": 0.5, "full_angle": 1.0}[method]
     sin_lat = F.sin((phi_b - phi_a) * share)
     sin_lon = F.sin((F.radians(lon_b) - F.radians(lon_a)) * share)
     a = sin_lat * sin_lat + F.cos(phi_a) * F.cos(phi_b) * sin_lon * sin_lon
+    a = F.nanvl(a, F.lit(None).cast("double"))
     a = F.when(a > 1.0, 1.0).otherwise(a)
     return 2 * HAVERSINE_RADIUS_KM * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))
 
@@ -134,6 +136,17 @@ def with_cell(df: DataFrame, lat: str, lon: str, bits: Column | int) -> DataFram
     )
 
 
+def with_neighbour_cells(df: DataFrame, bits: Column | int) -> DataFrame:
+    """One row per cell that touches the row's cell, and for the cell itself."""
+    cells = _cells(bits).cast("bigint")
+    steps = F.array(*(F.lit(d) for d in (-1, 0, 1)))
+    # On a narrow ring the eastern neighbour is the western one.
+    around = F.array_distinct(F.transform(steps, lambda d: F.pmod(F.col("cell_x") + d, cells)))
+    return df.withColumn("cell_x", F.explode(around)).withColumn(
+        "cell_y", F.explode(F.transform(steps, lambda d: F.col("cell_y") + d))
+    )
+
+
 def with_cells_within(
     df: DataFrame, lat: str, lon: str, km: Column | float, bits: Column | int
 ) -> DataFrame:
