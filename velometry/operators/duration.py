@@ -63,14 +63,23 @@ def split(
 ) -> tuple[DataFrame, DataFrame]:
     """Random train and validation rows.
 
-    The input is checkpointed first: both sides are drawn from the very same
-    rows, and the fit's passes do not repeat what produced them.
+    A seeded hash of the row decides its side, so a row that is computed again
+    lands on the same one; equal rows are on one side.
     """
-    train, validation = cut_lineage(data).randomSplit([train_share, 1.0 - train_share], seed)
-    return train, validation
-
-
-def fit(train: DataFrame, features: Sequence[str] = FEATURES_FULL) -> PipelineModel:
+    data = cut_lineage(data)
+    place = F.pmod(F.xxhash64(F.lit(seed), *data.columns), F.lit(1 << 30))
+    trained = place < round(train_share * (1 << 30))
+    return data.filter(trained), data.filter(~trained)
+
+
+def fit(
+    train: DataFrame,
+    features: Sequence[str] = FEATURES_FULL,
+    # Iterations, penalty and its mix.
+    max_iter: int = 10,
+    penalty: float = 0.3,
+    mix: float = 0.8,
+) -> PipelineModel:
     """Assemble, scale to unit deviation, and fit an elastic-net regression."""
     return Pipeline(
         stages=[
@@ -78,8 +87,7 @@ def fit(train: DataFrame, features: Sequence[str] = FEATURES_FULL) -> PipelineMo
             StandardScaler(
                 inputCol="unscaled_features", outputCol="features", withStd=True, withMean=False
             ),
-            # Iterations, penalty and its mix.
-            LinearRegression(maxIter=10, regParam=0.3, elasticNetParam=0.8),
+            LinearRegression(maxIter=max_iter, regParam=penalty, elasticNetParam=mix),
         ]
     ).fit(train)
 

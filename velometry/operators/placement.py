@@ -41,7 +41,7 @@ def _fit(points: DataFrame, k: int) -> KMeansModel:
 def recommend_stations(trips: DataFrame, ks: Iterable[int] = (10, 50, 100)) -> DataFrame:
     """Cluster centres of the pickups for each ``k``: the places for new stations.
 
-    Two columns are written once, to a checkpoint, and every fit reads those.
+    Two columns are computed once, and every fit reads those.
     The centres are a fit's own result, at most ``k`` of them.  A centre at
     (0, 0) stands for missing coordinates and is left out.
     """
@@ -68,8 +68,8 @@ def assign_clusters(
 ) -> DataFrame:
     """``df`` with the cluster of each row's point in column ``out``.
 
-    ``df`` is read by the fit and again by the result.  It is checkpointed
-    first, unless ``cut`` is off because it comes from a table anyway.
+    ``df`` is read by the fit and again by the result, so it is kept, unless
+    ``cut`` is off because it comes from a table anyway.
     """
     df = cut_lineage(df) if cut else df
     model = _fit(_points(df, lat, lon), k).setPredictionCol(out)
@@ -83,7 +83,7 @@ def assign_pickups(df: DataFrame, k: int = 10, cut: bool = True) -> DataFrame:
 
 
 def assign_dropoffs(df: DataFrame, k: int = 10) -> DataFrame:
-    """Add ``dropoff_cluster`` on top of ``assign_pickups``, from whose checkpoint it reads."""
+    """Add ``dropoff_cluster`` on top of ``assign_pickups``, from whose kept rows it reads."""
     return assign_clusters(df, *DROPOFF, k, "dropoff_cluster", cut=False)
 
 

@@ -44,16 +44,15 @@ def od_pairs(trips: DataFrame, year: int | None = None, round_km: bool = True) -
 def median_trip_miles(
     od: DataFrame,
     weighted: bool = False,
-    whole_km: bool = True,
     accuracy: int | None = None,
 ) -> DataFrame:
     """Median distance over the pairs, in miles: one row, column ``miles``.
 
-    Each pair counts once; with ``weighted`` it counts once per trip.  Leave
-    ``whole_km`` on only for rounded distances.
+    Each pair counts once; with ``weighted`` it counts once per trip.
+    ``accuracy`` takes a sketch instead of the exact value.
     """
     weight = F.col("count") if weighted else None
-    median = quantile(od, "dist", 0.5, weight, few_values=whole_km, accuracy=accuracy)
+    median = quantile(od, "dist", 0.5, weight, accuracy)
     return median.select((F.col("quantile") * MILES_PER_KM).alias("miles"))
 
 
@@ -81,7 +80,11 @@ def with_velocity(taxi: DataFrame) -> DataFrame:
 
 
 def slow_trips(short: DataFrame, q: float = 0.2, accuracy: int | None = None) -> DataFrame:
-    """Trips at or below the quantile ``q`` of velocity, with their velocity."""
+    """Trips at or below the quantile ``q`` of velocity, with their velocity.
+
+    The exact quantile reads the trips twice; ``accuracy`` takes a sketch, which
+    reads them once.
+    """
     moving = with_velocity(short)
     limit = quantile(moving, "velocity", q, accuracy=accuracy)
     return moving.filter(F.col("velocity") <= limit.scalar())
