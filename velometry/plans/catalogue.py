@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from velometry.operators import (
 )
 from velometry.operators import stations as station_ops
 from velometry.plans import fixtures as fx
+from velometry.schemas import TRIPS
 from velometry.sources import readers, text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,9 @@ _QUERIES: dict[str, Query] = {}
 MAX_KM = 3.0
 TOP_N = 5
 FIRST_N = 1000
+DENSE_KM = 0.2
+DENSE_STATION = "C100"
+PER_TASK = 32
 
 
 def query(fn: Query) -> Query:
@@ -80,6 +85,12 @@ def trip_time_parts(spark, sf):
     )
 
 
+@query
+def text_times(spark, sf):
+    read = readers.conform(fx.text_trips(spark, sf), TRIPS, formats=["dd/MM/yyyy HH:mm:ss"])
+    return read.select("starttime", "stoptime", "start_station_id", "start_station_latitude")
+
+
 @query
 def trips_in_year(spark, sf):
     chosen = fx.trips_long(spark, sf).filter(in_year("stoptime", fx.POPULAR_YEAR))
@@ -152,12 +163,13 @@ def peak_trend(spark, sf):
 
 @query
 def peak_trend_year(spark, sf):
-    return serving.peak_trend(_peak(spark, sf), fx.POPULAR_YEAR)
+    # The year reaches the scan.
+    return serving.peak_trend(_peak(spark, sf, fx.POPULAR_YEAR), fx.POPULAR_YEAR)
 
 
 @query
 def top_for_month(spark, sf):
-    top = popularity.top_stations(fx.trips_long(spark, sf))
+    top = popularity.top_stations(fx.trips_long(spark, sf), fx.POPULAR_YEAR, "evening")
     return serving.top_stations_for(top, fx.POPULAR_YEAR, "March", "Evening")
 
 
@@ -346,8 +358,50 @@ def nearby_top5(spark, sf):
 
 @query
 def nearby_supply_for(spark, sf):
-    chosen = serving.nearby_supply_for(
-        _nearby(spark, sf, days=_ON_DAY), fx.DAY, fx.HOUR, fx.STATION, TOP_N
+    chosen = supply.nearby_supply_at(
+        _short(spark, sf, _ON_DAY), _over(spark, sf, _ON_DAY), fx.DAY, fx.HOUR, fx.STATION, TOP_N
+    )
+    return _joined(chosen, "nearby_stations")
+
+
+# Crowded hours: lists are longer than five, cells hold five, hours are split.
+
+
+@query
+def dense_within_km(spark, sf):
+    pairs = supply.supply_pairs(fx.dense_short(spark, sf), fx.dense_over(spark, sf), DENSE_KM)
+    return _rounded(pairs, "km")
+
+
+@query
+def dense_supply_pairs(spark, sf):
+    short = fx.dense_short(spark, sf).filter("hour = 10")
+    pairs = supply.supply_pairs(short, fx.dense_over(spark, sf), per_task=PER_TASK)
+    nearest = F.min(F.struct(F.round("km", 6).alias("km"), "near_station_name")).alias("m")
+    summed = pairs.groupBy("start_station_name").agg(
+        F.count(F.lit(1)).alias("pairs"), F.round(F.sum("km"), 6).alias("km"), nearest
+    )
+    return summed.select("start_station_name", "pairs", "km", F.col("m.km").alias("nearest_km"))
+
+
+@query
+def dense_nearby_supply(spark, sf):
+    lists = supply.nearby_supply(
+        fx.dense_short(spark, sf), fx.dense_over(spark, sf), per_task=PER_TASK
+    )
+    return _joined(lists, "nearby_stations")
+
+
+@query
+def dense_nearby_top5(spark, sf):
+    lists = supply.nearby_supply(fx.dense_short(spark, sf), fx.dense_over(spark, sf), TOP_N)
+    return _joined(lists, "nearby_stations")
+
+
+@query
+def dense_nearby_for(spark, sf):
+    chosen = supply.nearby_supply_at(
+        fx.dense_short(spark, sf), fx.dense_over(spark, sf), fx.DAY, 10, DENSE_STATION, TOP_N
     )
     return _joined(chosen, "nearby_stations")
 
@@ -409,7 +463,7 @@ def median_trip_miles(spark, sf):
 @query
 def median_trip_miles_weighted(spark, sf):
     od = _od(spark, sf, round_km=False)
-    return _rounded(taxi.median_trip_miles(od, weighted=True, whole_km=False), "miles")
+    return _rounded(taxi.median_trip_miles(od, weighted=True), "miles")
 
 
 def _short_taxi(spark, sf):
@@ -514,6 +568,45 @@ def cluster_totals(spark, sf):
     return both.agg(F.count(F.lit(1)).alias("trips"), F.count_if(labelled).alias("labelled"))
 
 
+# Zones far apart, as many as clusters: there SQL averages tell the centres.
+
+
+@query
+def recommend_zones(spark, sf):
+    found = placement.recommend_stations(fx.zones(spark, sf), [4])
+    return _rounded(found.drop("cluster_id"), "latitude", "longitude")
+
+
+@query
+def new_stations_zones(spark, sf):
+    found = placement.recommend_stations(fx.zones(spark, sf), [4])
+    return _rounded(serving.new_stations(found, 4), "latitude", "longitude")
+
+
+def _named(assigned, cluster, lat, lon):
+    """Clusters under their least point instead of their number, which is arbitrary."""
+    least = assigned.groupBy(cluster).agg(F.min(F.struct(lat, lon)).alias("least"))
+    named = assigned.join(least, cluster)
+    return named.groupBy(
+        F.col(lat).alias("latitude"),
+        F.col(lon).alias("longitude"),
+        F.col(f"least.{lat}").alias("zone_latitude"),
+        F.col(f"least.{lon}").alias("zone_longitude"),
+    ).agg(F.count(F.lit(1)).alias("trips"))
+
+
+@query
+def pickup_zones(spark, sf):
+    both = placement.assign_pickups(fx.zones(spark, sf), 4)
+    return _named(both, "pickup_cluster", *placement.PICKUP)
+
+
+@query
+def dropoff_zones(spark, sf):
+    both = placement.assign_dropoffs(placement.assign_pickups(fx.zones(spark, sf), 4), 4)
+    return _named(both, "dropoff_cluster", *placement.DROPOFF)
+
+
 # --- duration -----------------------------------------------------------------
 
 
@@ -568,6 +661,37 @@ def duration_rmse(spark, sf):
     return errors[0].unionByName(errors[1])
 
 
+# One feature without a penalty is the straight line that SQL fits, too.
+
+
+def _line(spark, sf):
+    data = duration.features(taxi.with_velocity(fx.taxi(spark, sf)))
+    held = F.col("passenger_count") % 4 == 0
+    train, validation = data.filter(~held), data.filter(held)
+    return duration.fit(train, ["trip_distance"], max_iter=100, penalty=0.0), validation
+
+
+@query
+def duration_line(spark, sf):
+    predicted = duration.predict(*_line(spark, sf))
+    return _rounded(predicted.select("trip_distance", "label", "prediction"), "label", "prediction")
+
+
+@query
+def duration_line_rmse(spark, sf):
+    error = duration.evaluate(*_line(spark, sf))[1]
+    return fx.stations(spark, sf).agg(F.lit(round(error, 6)).alias("rmse"))
+
+
+@query
+def duration_scaled(spark, sf):
+    model, validation = _line(spark, sf)
+    for stage in model.stages[:2]:
+        validation = stage.transform(validation)
+    scaled = F.round(vector_to_array("features")[0], 6).alias("scaled")
+    return validation.select("trip_distance", scaled)
+
+
 def parameters() -> dict[str, object]:
     """The values the queries use, for the SQL they are compared with."""
     return {
@@ -579,5 +703,7 @@ def parameters() -> dict[str, object]:
         "first_n": FIRST_N,
         "top_n": TOP_N,
         "max_km": MAX_KM,
+        "dense_km": DENSE_KM,
+        "dense_station": DENSE_STATION,
         "months": MONTHS,
     }

@@ -133,3 +133,53 @@ def taxi(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(l_suppkey % 3 as double) as tolls_amount",
         "0.3d * (l_partkey % 2) as imp_surcharge",
     )
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as stations of one day: a third of them at hour 9, the rest at 10."""
+    customers = read_table(spark, f"{sf_dir}/customer.parquet")
+    return customers.selectExpr(
+        "cast(c_custkey as bigint) as id",
+        "concat('C', c_custkey) as name",
+        f"cast('{DAY}' as date) as date",
+        "case when c_custkey % 3 = 0 then 9 else 10 end as hour",
+        "1L as hourly_bike_movement",
+        "(40700000 + (c_custkey * 7919) % 20011) / 1000000d as latitude",
+        "(-74000000 + (c_custkey * 4729) % 30011) / 1000000d as longitude",
+    )
+
+
+def dense_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crowded hours of short stations, some 2 km across."""
+    return _days(spark, sf_dir).filter("id % 2 = 0").drop("id")
+
+
+def dense_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overloaded stations of the same hours."""
+    return _days(spark, sf_dir).filter("id % 2 = 1").drop("id")
+
+
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as taxi trips between four small zones far from each other."""
+    return _line_items(spark, sf_dir).selectExpr(
+        "l_orderkey % 4 as zone",
+        "(407000 + 300 * (l_orderkey % 4) + l_partkey % 7) / 10000d as pickup_latitude",
+        "(-740000 + 300 * ((l_orderkey * 3) % 4) + l_suppkey % 5) / 10000d as pickup_longitude",
+        "(407000 + 300 * (l_partkey % 4) + l_orderkey % 7) / 10000d as dropoff_latitude",
+        "(-740000 + 300 * ((l_partkey * 3) % 4) + l_linenumber % 5) / 10000d as dropoff_longitude",
+    )
+
+
+def text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trips`` to the second, as text: day first in one time, ISO in the other."""
+    rides = trips(spark, sf_dir)
+    second = {c: F.substring(F.col(c).cast("string"), 1, 19) for c in ("starttime", "stoptime")}
+    day_first = F.regexp_replace(second["starttime"], "^([0-9]+)-([0-9]+)-([0-9]+)", "$3/$2/$1")
+    return rides.withColumns(
+        {
+            "starttime": day_first,
+            "stoptime": second["stoptime"],
+            "start_station_id": F.concat(F.col("start_station_id").cast("string"), F.lit(".0")),
+            "start_station_latitude": F.col("start_station_latitude").cast("string"),
+        }
+    )

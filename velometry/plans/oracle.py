@@ -166,6 +166,44 @@ _CTES = {
         select date, hour, start_station_name,
                string_agg(near_station_name, '|' order by place) as nearby_stations
         from placed where place <= {top_n} group by date, hour, start_station_name""",
+    # crowded hours
+    "customers": """
+        select 'C' || c_custkey as name, c_custkey as id, date '{day}' as date,
+               case when c_custkey % 3 = 0 then 9 else 10 end as hour,
+               (40700000 + (c_custkey * 7919) % 20011) / 1000000::double as latitude,
+               (-74000000 + (c_custkey * 4729) % 30011) / 1000000::double as longitude
+        from customer""",
+    "vectors": """
+        select *, cos(radians(latitude)) * cos(radians(longitude)) as x,
+               cos(radians(latitude)) * sin(radians(longitude)) as y, sin(radians(latitude)) as z
+        from customers""",
+    "dense_pairs": """
+        select s.date, s.hour, s.name as start_station_name,
+               s.latitude as start_latitude, s.longitude as start_longitude,
+               o.name as near_station_name,
+               o.latitude as near_latitude, o.longitude as near_longitude,
+               2 * 6373 * asin(sqrt(
+                   pow(sin(radians(o.latitude - s.latitude) / 2), 2)
+                   + cos(radians(s.latitude)) * cos(radians(o.latitude))
+                     * pow(sin(radians(o.longitude - s.longitude) / 2), 2))) as km,
+               floor(sqrt((s.x - o.x) * (s.x - o.x) + (s.y - o.y) * (s.y - o.y)
+                          + (s.z - o.z) * (s.z - o.z)) * 6373000000) as mm
+        from vectors s join vectors o on o.date = s.date and o.hour = s.hour
+        where s.id % 2 = 0 and o.id % 2 = 1""",
+    "dense_placed": """
+        select *, row_number() over (partition by date, hour, start_station_name
+                                     order by mm, near_station_name) as place
+        from dense_pairs""",
+    "zone_trips": """
+        select l_orderkey % 4 as zone, l_partkey % 4 as goal,
+               (407000 + 300 * (l_orderkey % 4) + l_partkey % 7) / 10000::double as p_lat,
+               (-740000 + 300 * ((l_orderkey * 3) % 4) + l_suppkey % 5) / 10000::double as p_lon,
+               (407000 + 300 * (l_partkey % 4) + l_orderkey % 7) / 10000::double as d_lat,
+               (-740000 + 300 * ((l_partkey * 3) % 4) + l_linenumber % 5) / 10000::double as d_lon
+        from lineitem""",
+    "zone_centres": """
+        select cast(4 as int) as k, avg(p_lat) as latitude, avg(p_lon) as longitude
+        from zone_trips group by zone""",
     # taxi
     "od": """
         select s_name as start_station_name, e_name as end_station_name,
@@ -187,6 +225,17 @@ _CTES = {
     "moving": "select *, trip_distance / nullif(travel_time, 0) as velocity from short_taxi",
     "limits": "select quantile_disc(velocity, 0.2) as velocity from moving",
     "slow_taxi": "select * from moving where velocity <= (select velocity from limits)",
+    # a straight line through the durations
+    "durations": """
+        select travel_time / 60 as label, trip_distance, passenger_count % 4 = 0 as held
+        from taxi where trip_distance < 20 and travel_time > 0 and pickup_latitude is not null""",
+    "line": """
+        select regr_slope(label, trip_distance) as slope,
+               regr_intercept(label, trip_distance) as base, stddev_samp(trip_distance) as spread
+        from durations where not held""",
+    "predicted": """
+        select trip_distance, label, base + slope * trip_distance as prediction
+        from durations cross join line where held""",
 }
 
 _TAXI = (
@@ -299,6 +348,56 @@ _SELECTS = {
     "nearby_supply_for": f"""
         select * from nearby5
         where {_ON_DAY} and hour = {{hour}} and start_station_name = '{{station}}'""",
+    "dense_within_km": """
+        select * exclude (mm) replace (round(km, 6) as km) from dense_pairs
+        where km < {dense_km}""",
+    "dense_supply_pairs": """
+        select start_station_name, count(*) as pairs, round(sum(km), 6) as km,
+               min(round(km, 6)) as nearest_km
+        from dense_pairs where hour = 10 group by start_station_name""",
+    "dense_nearby_supply": """
+        select date, hour, start_station_name,
+               string_agg(near_station_name, '|' order by place) as nearby_stations
+        from dense_placed group by all""",
+    "dense_nearby_top5": """
+        select date, hour, start_station_name,
+               string_agg(near_station_name, '|' order by place) as nearby_stations
+        from dense_placed where place <= {top_n} group by all""",
+    "dense_nearby_for": """
+        select date, hour, start_station_name,
+               string_agg(near_station_name, '|' order by place) as nearby_stations
+        from dense_placed
+        where place <= {top_n} and hour = 10 and start_station_name = '{dense_station}'
+        group by all""",
+    "text_times": """
+        select date_trunc('second', starttime) as starttime,
+               date_trunc('second', stoptime) as stoptime,
+               sid as start_station_id, s_lat as start_station_latitude
+        from trips""",
+    "recommend_zones": """
+        select k, round(latitude, 6) as latitude, round(longitude, 6) as longitude
+        from zone_centres""",
+    "new_stations_zones": """
+        select round(longitude, 6) as longitude, round(latitude, 6) as latitude
+        from zone_centres where k = 4""",
+    "pickup_zones": """
+        select p_lat as latitude, p_lon as longitude, least.p_lat as zone_latitude,
+               least.p_lon as zone_longitude, count(*) as trips
+        from (select *, min(struct_pack(p_lat := p_lat, p_lon := p_lon)) over (partition by zone) as least
+              from zone_trips) group by all""",
+    "dropoff_zones": """
+        select d_lat as latitude, d_lon as longitude, least.d_lat as zone_latitude,
+               least.d_lon as zone_longitude, count(*) as trips
+        from (select *, min(struct_pack(d_lat := d_lat, d_lon := d_lon)) over (partition by goal) as least
+              from zone_trips) group by all""",
+    "duration_line": """
+        select trip_distance, round(label, 6) as label, round(prediction, 6) as prediction
+        from predicted""",
+    "duration_line_rmse": """
+        select round(sqrt(avg(pow(prediction - label, 2))), 6) as rmse from predicted""",
+    "duration_scaled": """
+        select trip_distance, round(trip_distance / spread, 6) as scaled
+        from durations cross join line where held""",
     "supply_segments": """
         select date, hour, start_station_name, start_latitude, start_longitude,
                near_station_name, near_latitude, near_longitude, cast(place as int) as rank
