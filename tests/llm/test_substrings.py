@@ -95,3 +95,30 @@ def test_exchange_of_texts_is_reused(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReusedExchange") >= 2
+
+
+@pytest.mark.parametrize("block", [400, 1 << 22])
+def test_longest_repeats_doubles_until_none_is_left(spark, monkeypatch, block):
+    monkeypatch.setattr(s, "BLOCK_BYTES", block)
+    monkeypatch.setattr(s, "PART_BYTES", 2 * block)
+    rng = random.Random(6)
+    rows = random_rows(rng, 40, [f"w{i}" for i in range(9)], 25)
+    rows += [(2000, " ".join(f"p{i}" for i in range(70))), (2001, "x " + " ".join(f"p{i}" for i in range(50)))]
+    rows += [(None, rows[0][1]), (2002, None), (2003, "")]
+
+    def held(size):
+        seen = {}
+        for n, (doc, text) in enumerate(rows):
+            own = (text or "").split() if doc is not None else []
+            for i in range(len(own) - size + 1):
+                seen.setdefault(tuple(own[i : i + size]), set()).add(n)
+        return {rows[n][0] for v in seen.values() if len(v) > 1 for n in v}
+
+    want, size = {}, 3
+    while here := held(size):
+        want |= dict.fromkeys(here, size)
+        size *= 2
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.longest for r in s.longest_repeats(df, 3).collect()}
+    assert got == want and want[2000] == want[2001] == 48
+    assert s.longest_repeats(df.limit(0)).count() == 0

@@ -3,6 +3,8 @@
 The first level looks at windows of half the wanted length.  A window of the next
 length, twice as long (its halves overlap by a word where the length is odd), is only a
 candidate where the half windows in it are repeated, and survives if it is itself.
+``drop_repeated`` stops at the wanted length, as longer windows cover no other words;
+``longest_repeats`` goes on until no candidates survive.
 
 Documents are dealt into blocks by a hash, and block and window hash into
 parts, both in numbers that follow the size of the input.  A block sends each part its different
@@ -22,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velometry.llm.common import stored
+
 #: Bytes of text in a block, and those whose windows one part gathers.
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 8 << 20
@@ -185,6 +189,47 @@ def _later(table: pa.Table) -> pa.Table:
     return _by_row(blocks, values[order], rows[order])
 
 
+def _dealt(documents: DataFrame) -> tuple[DataFrame, int]:
+    """Documents with their block, and the number of parts."""
+    own = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = F.lit(1 + size // BLOCK_BYTES)
+    block = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), blocks)
+    return own.withColumn("block", block), 1 + size // PART_BYTES
+
+
+def _answered(docs: DataFrame, answers: DataFrame, step, schema: str) -> DataFrame:
+    """``step`` on each block together with the answers to it."""
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(step, schema)
+
+
+def _half_windows(docs: DataFrame, words: int, parts: int) -> DataFrame:
+    """The answers to the first level: representatives that other blocks have, too."""
+    half = (words + 1) // 2
+
+    def send(table: pa.Table) -> pa.Table:
+        own = _Block(table)
+        return _parted(own.number, _first_level(own, half, words)[0], None, parts)
+
+    sent = docs.groupBy("block").applyInArrow(send, _SENT)
+    return sent.groupBy("part").applyInArrow(_shared, _ANSWER)
+
+
+def _candidates(
+    docs: _Block, answer: pa.Table, words: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """doc_id, word hashes, and which windows have a repeated half window."""
+    half = (words + 1) // 2
+    repeated = np.union1d(
+        _first_level(docs, half, words)[1], _unpack(answer.column("hashes").to_pylist())
+    )
+    for doc, h in docs.compared(words):
+        least = least_of(window_hashes(h, half), words - half + 1)
+        yield doc, h, _member(least, repeated)
+
+
 def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` for each row of ``documents``.
 
@@ -196,28 +241,12 @@ def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
     """
     if words < 2:
         raise ValueError("a window has two words at least")
-    own = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
-    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, parts = 1 + size // BLOCK_BYTES, 1 + size // PART_BYTES
-    dealt = own.withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks))
-    )
-    half = (words + 1) // 2
+    docs, parts = _dealt(documents)
 
-    def send_halves(table: pa.Table) -> pa.Table:
-        docs = _Block(table)
-        return _parted(docs.number, _first_level(docs, half, words)[0], None, parts)
-
-    def send_windows(table: pa.Table, shared: pa.Table) -> pa.Table:
-        docs = _Block(table)
-        repeated = np.union1d(
-            _first_level(docs, half, words)[1], _unpack(shared.column("hashes").to_pylist())
-        )
+    def send(table: pa.Table, answer: pa.Table) -> pa.Table:
+        block = _Block(table)
         found, ids = [], []
-        for doc, h in docs.compared(words):
-            candidates = _member(least_of(window_hashes(h, half), words - half + 1), repeated)
+        for doc, h, candidates in _candidates(block, answer, words):
             if candidates.any():
                 found.append(np.unique(window_hashes(h, words)[candidates]))
                 ids.append(np.full(len(found[-1]), doc, np.int64))
@@ -225,7 +254,7 @@ def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
         values, first = np.unique(np.concatenate([_EMPTY, *found]), return_index=True)
         owners = np.concatenate([np.empty(0, np.int64), *ids])[first]
         by_id = np.argsort(owners, kind="stable")
-        return _parted(docs.number, values[by_id], owners[by_id], parts)
+        return _parted(block.number, values[by_id], owners[by_id], parts)
 
     def decide(table: pa.Table, later: pa.Table) -> pa.Table:
         elsewhere = np.sort(_unpack(later.column("hashes").to_pylist()))
@@ -243,17 +272,72 @@ def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
             }
         )
 
-    halves = dealt.groupBy("block").applyInArrow(send_halves, _SENT)
-    shared = halves.groupBy("part").applyInArrow(_shared, _ANSWER)
-    windows = (
-        dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send_windows, _SENT)
-    )
-    later = windows.groupBy("part").applyInArrow(_later, _ANSWER)
-    return (
-        dealt.groupBy("block")
-        .cogroup(later.groupBy("block"))
-        .applyInArrow(decide, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
-    )
+    sent = _answered(docs, _half_windows(docs, words, parts), send, _SENT)
+    later = sent.groupBy("part").applyInArrow(_later, _ANSWER)
+    kept = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
+    return _answered(docs, later, decide, kept)
+
+
+def longest_repeats(documents: DataFrame, words: int = 13) -> DataFrame:
+    """``doc_id, longest``: of the lengths ``words``, twice that, and so on, the longest
+    at which a window of the document is also in another row.
+
+    Rows without such a window, or without a doc_id, are left out; of repeated
+    doc_ids the longest counts.  One pass per length, and the last finds nothing.
+    """
+    docs, parts = _dealt(documents)
+
+    def packed(block: _Block, found: list[np.ndarray]) -> pa.Table:
+        # What two documents of a block have is sent twice, so that it counts as shared.
+        values, counts = np.unique(np.concatenate([_EMPTY, *found]), return_counts=True)
+        both = np.concatenate([values, values[counts > 1]])
+        return _parted(block.number, both, None, parts)
+
+    def send_first(table: pa.Table, answer: pa.Table) -> pa.Table:
+        block = _Block(table)
+        found = [
+            np.unique(window_hashes(h, words)[candidates])
+            for _, h, candidates in _candidates(block, answer, words)
+        ]
+        return packed(block, found)
+
+    def repeated(block: _Block, answer: pa.Table, size: int):
+        known = np.unique(_unpack(answer.column("hashes").to_pylist()))
+        for doc, h in block.compared(size):
+            yield doc, h, _member(window_hashes(h, size), known)
+
+    def extended(size: int):
+        def send(table: pa.Table, answer: pa.Table) -> pa.Table:
+            block, found = _Block(table), []
+            for _, h, held in repeated(block, answer, size):
+                if len(h) >= 2 * size:
+                    halves = held[:-size] & held[size:]
+                    found.append(np.unique(window_hashes(h, 2 * size)[halves]))
+            return packed(block, found)
+
+        return send
+
+    def holders(size: int):
+        def run(table: pa.Table, answer: pa.Table) -> pa.Table:
+            ids = [doc for doc, _, held in repeated(_Block(table), answer, size) if held.any()]
+            sizes = pa.array([size] * len(ids), pa.int64())
+            return pa.table({"doc_id": pa.array(ids, pa.int64()), "longest": sizes})
+
+        return run
+
+    def shared(sent: DataFrame) -> DataFrame:
+        return stored(sent.groupBy("part").applyInArrow(_shared, _ANSWER))
+
+    size, found = words, []
+    answers = shared(_answered(docs, _half_windows(docs, words, parts), send_first, _SENT))
+    while not answers.isEmpty():
+        found.append(_answered(docs, answers, holders(size), "doc_id bigint, longest bigint"))
+        answers = shared(_answered(docs, answers, extended(size), _SENT))
+        size *= 2
+    none = documents.sparkSession.createDataFrame([], "doc_id bigint, longest bigint")
+    for level in found:
+        none = none.union(level)
+    return none.groupBy("doc_id").agg(F.max("longest").alias("longest"))
 
 
 def _covered(docs: _Block, words: int, elsewhere: np.ndarray):
