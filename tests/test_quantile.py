@@ -31,8 +31,9 @@ _VALUES = st.lists(
 def test_quantile_is_a_rank_of_the_sorted_values(spark, values, q):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     expected = _expected(values, q)
-    found = exact_quantile(df, "x", q).first()[0]
-    assert found == expected or (math.isnan(found) and math.isnan(expected))
+    for few in (False, True):
+        found = exact_quantile(df, "x", q, few_values=few).first()[0]
+        assert found == expected or (math.isnan(found) and math.isnan(expected))
 
 
 def test_one_value_holding_a_third_of_all_rows(spark):

@@ -42,6 +42,14 @@ def test_median_counts_each_pair_once_unless_weighted(spark):
     assert weighted == pytest.approx(4 * 0.621371)
 
 
+def test_whole_kilometres_are_known_from_the_column(spark):
+    whole, exact = (taxi_ops.od_pairs(_rides(spark), round_km=r) for r in (True, False))
+    plans = [taxi_ops.median_trip_miles(od)._jdf.queryExecution().toString() for od in (whole, exact)]
+    assert "coarse" not in plans[0] and "coarse" in plans[1]
+    unmarked = whole.withMetadata("dist", {})
+    assert taxi_ops.median_trip_miles(unmarked).collect() == taxi_ops.median_trip_miles(whole).collect()
+
+
 def test_short_trips_need_all_coordinates(spark):
     rides = taxi(
         spark,

@@ -48,6 +48,7 @@ def _value_at(
     value: str | Column,
     rank: Column,
     weight: str | Column | None = None,
+    few_values: bool = False,
 ) -> DataFrame:
     """The value ``v`` at ``rank`` in ascending order; at most one row.
 
@@ -59,6 +60,9 @@ def _value_at(
     one fine class.  Each count is combined before its shuffle, equal values
     collapse into one row, and no task holds more than a bounded number of
     groups.  (A sketch would be merged whole, from every task, in one task.)
+    ``few_values`` is for values that are few by nature, such as whole
+    kilometres on Earth: then one count is enough.
+
     NaN is above every number.  Returned with it is ``left``, the rank of the
     row among those equal to it.
     """
@@ -69,6 +73,9 @@ def _value_at(
         F.col("v").isNotNull()
     )
     n = F.sum("w").alias("n")
+    if few_values:
+        return _reaching(rows.groupBy("v").agg(n), "v", rank)
+
     rows = rows.withColumn("coarse", _class(F.col("v"), _COARSE))
     # One row each: broadcasting them filters the other side in place.
     coarse = F.broadcast(_reaching(rows.groupBy("coarse").agg(n), "coarse", rank))
@@ -89,6 +96,7 @@ def exact_quantile(
     value: str | Column,
     q: float,
     weight: str | Column | None = None,
+    few_values: bool = False,
 ) -> DataFrame:
     """The smallest value with at least the share ``q`` of all rows at or below it.
 
@@ -96,7 +104,7 @@ def exact_quantile(
     """
     total = F.col("total")
     rank = F.greatest(F.lit(1).cast("bigint"), total - F.floor(total - total * F.lit(q)))
-    return _value_at(df, value, rank, weight).select(F.col("v").alias("quantile"))
+    return _value_at(df, value, rank, weight, few_values).select(F.col("v").alias("quantile"))
 
 
 def nth_smallest(df: DataFrame, value: str | Column, n: int) -> DataFrame:
@@ -115,11 +123,12 @@ def quantile(
     value: str | Column,
     q: float,
     weight: str | Column | None = None,
+    few_values: bool = False,
     accuracy: int | None = None,
 ) -> DataFrame:
     """One-row quantile: exact, or a ``percentile_approx`` of given ``accuracy``."""
     if accuracy is None:
-        return exact_quantile(df, value, q, weight)
+        return exact_quantile(df, value, q, weight, few_values)
     if weight is not None:
         raise ValueError("a weighted quantile is exact; leave accuracy unset")
     value = F.col(value) if isinstance(value, str) else value

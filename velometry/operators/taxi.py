@@ -23,7 +23,7 @@ def od_pairs(trips: DataFrame, year: int | None = None, round_km: bool = True) -
     """Origin-destination pairs with their number of trips and distance ``dist``.
 
     ``year`` is that of the start.  Distances are whole kilometres unless
-    ``round_km`` is off.
+    ``round_km`` is off; the column's metadata say so, for the median.
     """
     if year is not None:
         trips = trips.filter(in_year("starttime", year))
@@ -38,6 +38,7 @@ def od_pairs(trips: DataFrame, year: int | None = None, round_km: bool = True) -
         trips.groupBy(*_PAIR)
         .agg(F.count(F.lit(1)).alias("count"))
         .withColumn("dist", F.round(km) if round_km else km)
+        .withMetadata("dist", {"whole_km": round_km})
     )
 
 
@@ -52,7 +53,8 @@ def median_trip_miles(
     ``accuracy`` takes a sketch instead of the exact value.
     """
     weight = F.col("count") if weighted else None
-    median = quantile(od, "dist", 0.5, weight, accuracy)
+    whole = od.schema["dist"].metadata.get("whole_km", False)
+    median = quantile(od, "dist", 0.5, weight, whole, accuracy)
     return median.select((F.col("quantile") * MILES_PER_KM).alias("miles"))
 
 
