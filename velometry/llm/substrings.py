@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from velometry.llm.common import stored
 
 #: Bytes of text in a block, and those whose windows one part gathers.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 PART_BYTES = 8 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
