@@ -53,17 +53,30 @@ def test_false_positives_are_taken_off(monkeypatch, spark):
     assert langid.identify([EN, DE], model)[0] == ["en", "de"]
 
 
-def test_held_out_accuracy(spark):
+def test_quoted_passages_do_not_make_a_language(spark):
+    quoted = "whose quick brown fox jumps over every lazy dog"
+    data = [(i, f"{EN} {quoted} {i}", "en") for i in range(60)]
+    data += [(100 + i, DE + (" " + quoted if i % 10 == 0 else ""), "de") for i in range(60)]
+    data += [(200, EN, "xx")]
+    model = langid.learn(rows(spark, data))
+    assert model.languages == ("de", "en", "xx")
+    langs, score = langid.identify([quoted, "fox", "der hund", EN + " " + quoted], model)
+    assert langs == ["en", "en", "de", "en"] and min(score) > 0.9
+    # Without rivals, all n-grams of the quoting documents are theirs.
+    assert langid.identify([quoted], langid.learn(rows(spark, data), rival=1e9))[0] == ["de"]
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_held_out_accuracy(spark, sf):
     import __spark_entry__
 
-    sf = "/root/testdata/sf0.01"
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = __spark_entry__.queries()["op10_language_id"](spark, sf).collect()
     assert len(got) == len(lang)
     assert all(r.held_out == plain.held_out(r.doc_id) for r in got)
     tested = [r for r in got if r.held_out and lang[r.doc_id]]
     right = sum(r.lang_pred == lang[r.doc_id] for r in tested)
-    assert right >= 0.97 * len(tested)
+    assert right >= 0.985 * len(tested)
 
 
 def test_rows_with_nulls_and_clashing_columns(spark, model):

@@ -1,9 +1,12 @@
 """Language identification with bit-sliced Bloom filters of character n-grams.
 
-Each language has a Bloom filter of its most frequent n-grams.  The filters lie side by
-side, one bit of a word per language, so a lookup of an n-gram at its few places
-gives a mask of all languages that (seem to) have it.  For each text the bits are counted
-per language, the expected false positives are taken off, and the largest count decides.
+Each language has a Bloom filter of its n-grams.  The filters lie side by side, one bit
+of a word per language, so a lookup of an n-gram at its few places gives a mask of all
+languages that (seem to) have it.  For each text the bits are counted per language, the
+expected false positives are taken off, and the largest count decides.
+
+Labelled documents quote other languages.  A language therefore only has the n-grams that
+its documents use about as often as those of any other do, not all that occur in some.
 """
 
 from __future__ import annotations
@@ -22,8 +25,14 @@ from velometry.llm.common import slices, texts
 GRAM = 3
 #: Documents per language that the filters are learned from, about; all if there are fewer.
 SAMPLE = 2_000
-#: N-grams in a language's filter: those in the most documents of the sample.
+#: N-grams in a language's filter at most: those in the most documents of the sample.
 TOP_GRAMS = 4_000
+#: A language has an n-gram if its share of documents with it, times this, reaches the
+#: largest share of any language.
+RIVAL = 4
+#: Documents without an n-gram that a share counts besides those of the sample, so that
+#: the few of a rare language say little.
+EXTRA_DOCUMENTS = 10
 PLACES = 1 << 17
 HASHES = 3
 UNKNOWN = "und"
@@ -107,12 +116,16 @@ def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
 
 
 def learn(
-    labelled: DataFrame, per_language: int = SAMPLE, top_grams: int = TOP_GRAMS
+    labelled: DataFrame,
+    per_language: int = SAMPLE,
+    top_grams: int = TOP_GRAMS,
+    rival: float = RIVAL,
 ) -> LanguageModel:
     """Filters from the ``doc_id, text, lang`` rows that have a language and a text.
 
     At most 64 languages.  The counts are of documents, made by Spark; the driver gets
-    ``top_grams`` hashes per language.
+    ``top_grams`` hashes per language.  What is ``rival`` times as common in the
+    documents of another language is not in a filter.
     """
     rows = labelled.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -133,10 +146,11 @@ def learn(
                     # Once for each document that has it.
                     pairs = np.unique(np.stack([owner[own].astype(np.uint64), hashes[own]]), axis=1)
                     found, n = np.unique(pairs[1], return_counts=True)
+                    # A null n-gram counts the documents.
                     columns = [
-                        pa.array([lang] * len(found), pa.string()),
-                        pa.array(found.view(np.int64)),
-                        pa.array(n.astype(np.int64)),
+                        pa.array([lang] * (len(found) + 1), pa.string()),
+                        pa.array([*found.view(np.int64).tolist(), None], pa.int64()),
+                        pa.array([*n.tolist(), langs.count(lang)], pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
@@ -146,8 +160,16 @@ def learn(
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    best = counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_grams)
+    in_lang, of_gram = Window.partitionBy("lang"), Window.partitionBy("gram")
+    sampled = F.max(F.when(F.col("gram").isNull(), F.col("n"))).over(in_lang)
+    own = (
+        counted.withColumn("share", F.col("n") / (sampled + EXTRA_DOCUMENTS))
+        .filter("gram is not null")
+        .withColumn("largest", F.max("share").over(of_gram))
+        .filter(F.col("share") * rival >= F.col("largest"))
+    )
+    order = in_lang.orderBy(F.desc("n"), "gram")
+    best = own.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_grams)
     table = np.zeros(PLACES, np.uint64)
     for lang, gram in best.select("lang", "gram").collect():
         bit = np.uint64(1 << names.index(lang))
