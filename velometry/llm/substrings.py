@@ -90,9 +90,22 @@ class _Block:
                 yield doc, hashes
 
 
-def _unpack(cells: list[bytes | None]) -> np.ndarray:
-    joined = b"".join(c for c in cells if c)
-    return np.frombuffer(joined, np.uint64) if joined else _EMPTY
+def _unpack(column: pa.ChunkedArray, kind=np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers that the cells of a column hold, and how many each cell has.
+
+    They are read where Arrow has them, without an object for each cell.
+    """
+    values, sizes = [np.empty(0, kind)], [np.empty(0, np.int64)]
+    for cells in column.chunks:
+        if len(cells):
+            _, ends, data = cells.buffers()
+            width = np.int64 if pa.types.is_large_binary(cells.type) else np.int32
+            ends = np.frombuffer(ends, width)[cells.offset : cells.offset + len(cells) + 1]
+            size = ends[-1] - ends[0]
+            if size:
+                values.append(np.frombuffer(data, np.uint8, size, ends[0]).view(kind))
+            sizes.append(np.diff(ends).astype(np.int64) // 8)
+    return np.concatenate(values), np.concatenate(sizes)
 
 
 def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -144,24 +157,23 @@ _SENT = "part bigint, block bigint, hashes binary, ids binary"
 _ANSWER = "block bigint, hashes binary"
 
 
-def _by_row(blocks: list[int], values: np.ndarray, rows: np.ndarray) -> pa.Table:
+def _by_row(blocks: np.ndarray, values: np.ndarray, rows: np.ndarray) -> pa.Table:
     """An answer to each block that has one; ``rows`` ascend."""
-    cuts = np.searchsorted(rows, np.arange(len(blocks) + 1))
-    found = [(k, values[a:b]) for k, a, b in zip(blocks, cuts, cuts[1:]) if a < b]
+    found, first = np.unique(rows, return_index=True)
+    cells = np.split(values, first[1:]) if len(found) else []
     return pa.table(
         {
-            "block": pa.array([k for k, _ in found], pa.int64()),
-            "hashes": pa.array([v.tobytes() for _, v in found], pa.binary()),
+            "block": pa.array(blocks[found]),
+            "hashes": pa.array([v.tobytes() for v in cells], pa.binary()),
         }
     )
 
 
-def _entries(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray]:
+def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Blocks, all hashes, and for each hash the row that sent it."""
-    cells = [np.frombuffer(c, np.uint64) for c in table.column("hashes").to_pylist()]
-    values = np.concatenate([_EMPTY, *cells])
-    rows = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
-    return table.column("block").to_pylist(), values, rows
+    values, sizes = _unpack(table.column("hashes"))
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    return table.column("block").to_numpy(), values, rows
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -175,9 +187,7 @@ def _shared(table: pa.Table) -> pa.Table:
 def _later(table: pa.Table) -> pa.Table:
     """To each block those of its hashes that another block has with a smaller doc_id."""
     blocks, values, rows = _entries(table)
-    ids = np.concatenate(
-        [np.empty(0, np.int64), *(np.frombuffer(c, np.int64) for c in table.column("ids").to_pylist())]
-    )
+    ids, _ = _unpack(table.column("ids"), np.int64)
     order = np.lexsort((ids, values))
     values, rows, ids = values[order], rows[order], ids[order]
     fresh = np.ones(len(values), bool)
@@ -223,7 +233,7 @@ def _candidates(
     """doc_id, word hashes, and which windows have a repeated half window."""
     half = (words + 1) // 2
     repeated = np.union1d(
-        _first_level(docs, half, words)[1], _unpack(answer.column("hashes").to_pylist())
+        _first_level(docs, half, words)[1], _unpack(answer.column("hashes"))[0]
     )
     for doc, h in docs.compared(words):
         least = least_of(window_hashes(h, half), words - half + 1)
@@ -257,7 +267,7 @@ def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
         return _parted(block.number, values[by_id], owners[by_id], parts)
 
     def decide(table: pa.Table, later: pa.Table) -> pa.Table:
-        elsewhere = np.sort(_unpack(later.column("hashes").to_pylist()))
+        elsewhere = np.sort(_unpack(later.column("hashes"))[0])
         rows = []
         for doc, tokens, cover in _covered(_Block(table), words, elsewhere):
             kept = tokens if cover is None else [w for w, c in zip(tokens, cover) if not c]
@@ -302,7 +312,7 @@ def longest_repeats(documents: DataFrame, words: int = 13) -> DataFrame:
         return packed(block, found)
 
     def repeated(block: _Block, answer: pa.Table, size: int):
-        known = np.unique(_unpack(answer.column("hashes").to_pylist()))
+        known = np.unique(_unpack(answer.column("hashes"))[0])
         for doc, h in block.compared(size):
             yield doc, h, _member(window_hashes(h, size), known)
 
