@@ -6,6 +6,7 @@ Offsets are code points, ends exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -161,10 +162,14 @@ def find_spans(text: str) -> list[Span]:
             keep("phone", m.start(), m.end())
 
     # What the method adds lies outside the base spans.
-    base = sorted((s.start, s.end) for s in found)
+    starts, reach = [], [0]
+    for span in sorted(found, key=lambda s: s.start):
+        starts.append(span.start)
+        reach.append(max(reach[-1], span.end))
 
     def add(kind: str, start: int, end: int, score: float | None = None) -> None:
-        if not any(start < e and s < end for s, e in base):
+        # How far the base spans reach that begin before the end.
+        if reach[bisect_left(starts, end)] <= start:
             keep(kind, start, end, score)
 
     for run in longer:
