@@ -39,13 +39,15 @@ def test_split(url, host, path):
         ("a.net", "/es/", "net/es/"),
         ("a.net", "/es", None),
         ("", "/es/", None),
+        ("xwww.example.com", "/en/1", "example.com/en/"),
+        ("a." * 300_000 + "net", "/fr/", "net/fr/"),
     ],
 )
 def test_longest_rule(host, path, name):
     by_host = {}
     for r in RULES:
         by_host.setdefault(r.host, []).append(r)
-    found = u.matching_rule(host, path, by_host)
+    found = u.matching_rule(host, path, by_host, len("www.example.com"))
     assert (found and found.name) == name
 
 

@@ -63,9 +63,16 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host.translate(_LOWER), slash + path
 
 
-def matching_rule(host: str, path: str, by_host: dict[str, list[Rule]]) -> Rule | None:
-    """The longest rule that fits; of equal length the one with the longer host."""
+def matching_rule(
+    host: str, path: str, by_host: dict[str, list[Rule]], longest: int
+) -> Rule | None:
+    """The longest rule that fits; of equal length the one with the longer host.
+
+    ``longest`` is the length of the longest host in ``by_host``.
+    """
     best = None
+    if len(host) > longest:  # no rule fits a longer part
+        host = host[-longest - 1 :].partition(".")[2]
     while host:
         for r in by_host.get(host, ()):
             if path.startswith(r.path) and (best is None or len(r.name) > len(best.name)):
@@ -119,13 +126,14 @@ def judge_urls(
     by_host: dict[str, list[Rule]] = {}
     for r in rules:
         by_host.setdefault(r.host, []).append(r)
+    longest = max(map(len, by_host), default=0)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for url in batch.column("url").to_pylist():
                 host, path = split_url(url)
-                fit = matching_rule(host, path, by_host)
+                fit = matching_rule(host, path, by_host, longest)
                 strict, soft = count_terms(url or "", vocabulary)
                 rejected = strict > 0 or soft >= vocabulary.soft_limit
                 verdict = fit.verdict if fit else "block" if rejected else "allow"
