@@ -62,6 +62,16 @@ def test_limits():
     assert got["base_failed"] == [False, True, False, False, True]
 
 
+def test_coverage_alone_rejects():
+    words = [f"w{i}" for i in range(92)]
+    over = " ".join(words + words[:8])  # 16 of 100 words in repeats of 8
+    within = " ".join(words + words[:7])  # the same in repeats of 7
+    got = figures([over, within])
+    assert got["n_repeat_words"] == [16, 14] and got["n_covered_words"] == [16, 0]
+    assert got["base_failed"] == [False, False] and got["longest_repeat"] == [8, 7]
+    assert got["kept"] == [False, True]
+
+
 def test_rows_with_nulls_and_clashing_columns(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(1, text), (1, text), (None, text), (2, None), (3, "")]
