@@ -1,4 +1,5 @@
 import random
+import re
 
 import plain
 import pytest
@@ -75,6 +76,40 @@ def test_what_the_method_adds(text, kinds):
     assert [k for k, _, _ in spans(text, False)] == kinds
 
 
+@pytest.mark.parametrize(
+    ("number", "behind"),
+    [
+        ("ES91 2100 0418 4502 0005 1332", " BIC CAIXESBB"),
+        ("ES9121000418450200051332", " BIC X"),
+        ("ES9121000418450200051332", " 2024 EUR 1500"),
+        ("AT61 1904 3002 3457 3201", " BIC BKAUATWW"),
+        ("AT61 1904 3002 3457 3201", " BKAUATWWXXX"),
+        ("BE71 0961 2345 6769", " EUR 20"),
+        ("NO93 8601 1117 947", " EUR 20"),
+        ("GB82 WEST 1234 5698 7654 32", " BIC"),
+        ("ES91 2100 0418 4502 0005 1332", "."),
+    ],
+)
+def test_ibans_before_other_words(number, behind):
+    text = f"IBAN {number}{behind}"
+    assert spans(text, False) == [("iban", 5, 5 + len(number))]
+    assert pii.redact(text, pii.find_spans(text)) == f"IBAN <IBAN>{behind}"
+
+
+def test_ibans_behind_others_and_behind_false_starts():
+    one, two = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201"
+    for text in (f"{one} {two}", f"{two} {one} {two} EUR", f"NO12 {one} BIC", f"ZZ00 1234 {two} {one}"):
+        got = [text[a:b] for _, a, b in spans(text, False)]
+        assert got and got == [x for x in re.findall(f"{one}|{two}", text)]
+    assert spans("IBAN ES91 2100 0418 4502 0005 1333 BIC CAIXESBB", False) == []
+
+
+def test_iban_of_an_unlisted_country():
+    number = next(f"QQ{i:02} 1234 5678 9012" for i in range(2, 99) if pii.mod97(f"QQ{i:02}123456789012"))
+    text = f"IBAN {number} BIC"
+    assert spans(text, False) == [("iban", 5, 5 + len(number))]
+
+
 def test_context_moves_the_score():
     near = pii.find_spans("my phone +1 (456) 555-2186")[0].score
     far = pii.find_spans("some +1 (456) 555-2186")[0].score
@@ -87,6 +122,11 @@ def test_long_texts_take_linear_time():
         spans(text)
 
 
+def test_many_false_ibans_take_linear_time():
+    for text in ("AA11 " * 60_000, "AA11BBBB2222 " * 25_000, "AA11" * 75_000):
+        assert all(s.kind == "iban" for s in pii.find_spans(text))
+
+
 def test_redaction(spark):
     rows = [(1, "a x@y.z b 1.2.3.4", "en", 17), (1, None, None, None), (None, "", "de", 0), (2, "clean", "en", 5)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars bigint")

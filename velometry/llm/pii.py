@@ -30,6 +30,18 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(
     r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 )
+#: The length of an IBAN by its country, as the registry fixes it.
+_IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _ASSIGNED = re.compile(
     r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api[_-]?key)\x20?[:=]\x20?[\"']?"
@@ -80,6 +92,32 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _iban_end(proposal: str) -> int | None:
+    """Where the IBAN that begins a proposal ends: its end, or that of a group before a space.
+
+    The pattern may take a word behind the number for more groups.  The length of the country
+    decides; the whole proposal, or any group where the country is unknown, is tried next.
+    """
+    size = _IBAN_SIZES.get(proposal[:2])
+    ends = [len(proposal), *(i for i in range(len(proposal) - 1, 0, -1) if proposal[i] == " ")]
+    number = {end: proposal[:end].replace(" ", "") for end in ends}
+    fixed = [end for end in ends if len(number[end]) == size]
+    for end in fixed + (ends if size is None else ends[:1]):
+        if 15 <= len(number[end]) <= 34 and mod97(number[end]):
+            return end
+    return None
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    m = _IBAN.search(text)
+    while m:
+        end = _iban_end(m[0])
+        if end is not None:
+            yield m.start(), m.start() + end
+        # What a proposal took beyond its number, or all of a failed one, may hold another.
+        m = _IBAN.search(text, m.start() + (end or 1))
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     at, last = text.find("@"), 0
     while at >= 0:
@@ -175,10 +213,8 @@ def find_spans(text: str) -> list[Span]:
     for run in longer:
         for start, end in _inside_cards(text, *run):
             add("card", start, end, PART_SCORE)
-    for m in _IBAN.finditer(text):
-        number = m[0].replace(" ", "")
-        if 15 <= len(number) <= 34 and mod97(number):
-            add("iban", m.start(), m.end())
+    for start, end in _ibans(text):
+        add("iban", start, end)
     if "-" in text:
         for m in _SSN.finditer(text):
             add("ssn", m.start(), m.end())
