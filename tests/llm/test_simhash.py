@@ -105,3 +105,17 @@ def test_nulls_ties_and_clashing_columns(spark):
     )
     assert simhash.near_duplicates(df.limit(0)).count() == 0
     assert simhash.keep_one(df.limit(0)).count() == 0
+
+
+def test_each_group_keeps_one_row_where_doc_ids_repeat(spark):
+    a, b, c = ("some words that are here", "other words that are not there at all", "a third text about something else")
+    schema = "doc_id bigint, text string, lang string"
+    # 1 is the smallest of two groups; 2 is the smallest of one group and not of the other.
+    rows = [(1, a, "x"), (1, a, "y"), (1, b, "x"), (4, a, "x"), (2, b, "x"), (2, c, "x"), (3, c, "x"), (1, b, None)]
+    seen = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        kept = simhash.keep_one(spark.createDataFrame(rows, schema).repartition(3)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, a), (1, b), (2, c)])
+        seen.add(tuple(sorted(map(str, kept))))
+    assert len(seen) == 1

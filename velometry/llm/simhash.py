@@ -53,6 +53,12 @@ def fingerprint(text: str | bytes, words: int) -> int:
 def fingerprints(documents: DataFrame, words: int = 3) -> DataFrame:
     """``doc_id, fingerprint`` (as a signed long) of each row; a text without words has 0."""
 
+    return _fingerprints(documents, words, F.lit(0)).drop("row_hash")
+
+
+def _fingerprints(documents: DataFrame, words: int, row_hash: Column) -> DataFrame:
+    """``fingerprints`` with the ``row_hash`` of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -60,12 +66,15 @@ def fingerprints(documents: DataFrame, words: int = 3) -> DataFrame:
                 own = [fingerprint(t or b"", words) for t in raw]
                 signed = np.array(own, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(signed)], ["doc_id", "fingerprint"]
+                    [part.column("doc_id"), pa.array(signed), part.column("row_hash")],
+                    ["doc_id", "fingerprint", "row_hash"],
                 )
 
     return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(run, "doc_id bigint, fingerprint bigint")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        row_hash.cast("long").alias("row_hash"),
+    ).mapInArrow(run, "doc_id bigint, fingerprint bigint, row_hash bigint")
 
 
 def _signed(value: int) -> int:
@@ -192,7 +201,15 @@ def near_duplicates(
     null if no row of it has a doc_id.  Repeated rows are kept, other columns are
     not read, an empty table gives no rows.
     """
-    own = stored(fingerprints(documents, words))
+    return _grouped(stored(fingerprints(documents, words)), distance, boxes).drop("component")
+
+
+def _grouped(own: DataFrame, distance: int, boxes: int) -> DataFrame:
+    """Stored ``own`` with the ``component_id`` of each row and its ``component``.
+
+    Two components may have one component_id, if a doc_id is repeated; ``component``, a
+    fingerprint, tells them apart.
+    """
     classes = stored(own.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     found = connected(links(classes.select("fingerprint"), distance, boxes))
     labelled = classes.join(found, classes.fingerprint == found.node, "left").select(
@@ -205,7 +222,7 @@ def near_duplicates(
         .agg(F.min("first").alias("component_id"))
     )
     by_print = spread_join(labelled, least, ["component"], F.col("fingerprint")).select(
-        "fingerprint", "component_id"
+        "fingerprint", "component_id", "component"
     )
     return spread_join(own, by_print, ["fingerprint"], F.col("doc_id"))
 
@@ -213,13 +230,30 @@ def near_duplicates(
 def keep_one(documents: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
     """One row of each group of near-duplicates, the one with the smallest doc_id.
 
-    If that doc_id is repeated, one of its rows stays.  Rows with a null doc_id cannot
-    be told apart and stay.
+    If a group has that doc_id several times, the row of the least hash stays; a doc_id
+    that is in several groups stays once for each group of which it is the smallest.
+    Rows with a null doc_id cannot be told apart and stay.
     """
     names = documents.columns
-    found = near_duplicates(documents, words, distance)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    one = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(documents.filter(F.col("doc_id").isNull())).select(
-        *(F.col(f"`{n}`") for n in names)
+    # A null adds nothing to a hash, so its place is hashed as well.  Maps have no hash.
+    hashed = ["text", *(n for n, kind in documents.dtypes if n != "text" and "map<" not in kind)]
+    cells = [F.col(f"`{n}`") for n in hashed]
+    row_hash = F.xxhash64(*cells, *(c.isNull() for c in cells))
+    own = stored(_fingerprints(documents, words, row_hash))
+    kept = (
+        _grouped(own, distance, 7)
+        .filter("doc_id = component_id")
+        .groupBy("component")
+        .agg(F.min("doc_id").alias("__kept_id"), F.min("row_hash").alias("__kept_hash"))
+        .drop("component")
+    )
+    one = documents.withColumn("__row_hash", row_hash)
+    same = (one["doc_id"].cast("long") == kept["__kept_id"]) & (
+        one["__row_hash"] == kept["__kept_hash"]
+    )
+    one = one.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__row_hash"])
+    return (
+        one.drop("__row_hash")
+        .unionByName(documents.filter(F.col("doc_id").isNull()))
+        .select(*(F.col(f"`{n}`") for n in names))
     )
