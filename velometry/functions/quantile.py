@@ -69,9 +69,11 @@ def _value_at(
     value = F.col(value) if isinstance(value, str) else value
     weight = F.lit(1) if weight is None else weight
     weight = F.col(weight) if isinstance(weight, str) else weight
-    rows = df.select(value.cast("double").alias("v"), weight.cast("bigint").alias("w")).filter(
-        F.col("v").isNotNull()
-    )
+    value = value.cast("double")
+    # A filter on nulls would be pushed below a grouping that ``value`` is computed
+    # from, and there compute it for each raw row; a weight of zero is not.
+    rows = df.select(value.alias("v"), F.when(value.isNull(), 0).otherwise(weight).alias("w"))
+    rows = rows.withColumn("w", F.col("w").cast("bigint"))
     n = F.sum("w").alias("n")
     if few_values:
         return _reaching(rows.groupBy("v").agg(n), "v", rank)
