@@ -189,24 +189,23 @@ def first_trips(taxi: DataFrame, n: int) -> DataFrame:
     """The ``n`` earliest trips in order; missing pickup times come first, and equal
     ones are ordered by the other columns.
 
-    The second of the ``n``-th trip is found by counting, at once.  All trips before it
+    The second of the ``n``-th trip is found by counting.  All trips before it
     are among the first, and later ones are dropped where the column is read;
     only those of that very second are numbered, over as many tasks as they need.
     """
     when = F.col("pickup_datetime")
     since = (when - _epoch()).cast("interval second").cast("decimal(18,6)")
     second = F.coalesce(F.floor(since).cast("double"), F.lit(_NO_TIME))
-    place = nth_place(taxi, second, n).first()
+    place = cut_lineage(nth_place(taxi, second, n))
+    # Null if the n-th trip is one without a time.
+    moment = _epoch() + F.make_dt_interval(secs=F.col("value").cast("decimal(18,6)"))
+    begin = place.select(F.when(F.col("value") > _NO_TIME, moment).alias("begin")).scalar()
+    # No later row of that second is dropped, and no scan starts before it.
+    last = taxi.filter((when >= begin) & (second == place.select("value").scalar()))
+    last = last.union(taxi.filter(when.isNull() & begin.isNull()))
     order = ["pickup_datetime", *(c for c in taxi.columns if c != "pickup_datetime")]
-    if place is None:
-        return taxi.orderBy(*order)  # there are no trips
-    if place.value == _NO_TIME:
-        before, last = taxi.limit(0), taxi.filter(when.isNull())
-    else:
-        begin = _epoch() + F.make_dt_interval(secs=F.lit(place.value).cast("decimal(18,6)"))
-        before = taxi.filter(when < begin).union(taxi.filter(when.isNull()))
-        # No later row of that second is dropped, and no scan starts before it.
-        last = taxi.filter((when >= begin) & (second == place.value))
-    last = numbered(last, order, cut_lineage, name="__place")
-    last = last.filter(F.col("__place") <= place.left).select(*taxi.columns)
-    return before.union(last).orderBy(*order)
+    last = numbered(last, order, cut_lineage, name="__place").filter(
+        F.col("__place") <= place.select("left").scalar()
+    )
+    first = taxi.filter(when < begin).union(taxi.filter(when.isNull() & begin.isNotNull()))
+    return first.union(last.select(*taxi.columns)).orderBy(*order)
