@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from velometry.llm import simhash
+from velometry.llm.common import null_safe_join, stored
 from velometry.llm.components import connected
 
 
@@ -119,3 +120,24 @@ def test_each_group_keeps_one_row_where_doc_ids_repeat(spark):
         assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, a), (1, b), (2, c)])
         seen.add(tuple(sorted(map(str, kept))))
     assert len(seen) == 1
+
+
+def test_a_copied_side_is_not_broadcast_under_its_size(spark):
+    """The plan of each join knows the size of what it would send to every task."""
+    left = spark.range(10).withColumn("k", F.lit(1))
+    path_side = stored(spark.range(50_000).select(F.col("id").alias("k"), F.rand(1).alias("v")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        plan = null_safe_join(left, path_side, ["k"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Generate" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_null_safe_join_splits_a_hot_key(spark):
+    rows = [(None,)] * 40 + [(i % 3,) for i in range(9)]
+    left = spark.createDataFrame(rows, "k int")
+    right = spark.createDataFrame([(None, "n"), (0, "a"), (7, "z")], "k int, v string")
+    found = null_safe_join(left, right, ["k"])
+    assert found.filter("v = 'n'").count() == 40 and found.filter("v = 'a'").count() == 3
+    assert found.count() == 49 and found.columns == ["k", "v"]

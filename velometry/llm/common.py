@@ -1,8 +1,7 @@
-"""What several of the operators share: Arrow slices, lineage, spread joins."""
+"""What several of the operators share: Arrow slices, lineage, joins."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,8 +12,6 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one Python step holds in its own form at a time.
 SLICE_BYTES = 4 << 20
-#: Parts into which ``spread_join`` deals the rows of one key.
-PARTS = 16
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -49,14 +46,12 @@ def text_or_empty(column: str = "text") -> Column:
 def ensure_checkpoint_dir(spark) -> str:
     """The folder for checkpoints and stored steps, which all executors share.
 
-    It is the one named in ``spark.checkpoint.dir``.  Where that is unset, a
-    local session takes a folder of its own, a cluster one in the warehouse.
+    It is the one named in ``spark.checkpoint.dir``; where that is unset, one in the
+    warehouse.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and sc.master.startswith("local") and "cluster" not in sc.master:
-            folder = tempfile.mkdtemp(prefix="velometry-")
         sc.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return sc.getCheckpointDir()
 
@@ -72,20 +67,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "left"
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
 ) -> DataFrame:
-    """Join where one key may hold a large share of ``left``; ``right`` has it once.
+    """Join on ``keys``, where null equals null; ``right`` has each key at most once.
 
-    The rows of a key in ``left`` are dealt over ``PARTS`` parts by ``by``, and each
-    row of ``right`` goes to all parts.  Keys compare null-safe.
+    A key may hold much of ``left``: adaptive execution splits the rows of a large
+    partition over several tasks and gives each the one partition of ``right``, by
+    sizes that it has measured.  ``right`` is never copied before the join, so
+    Spark broadcasts it only where its own size is known to be small.
     """
     names = [f"__k{i}" for i in range(len(keys))]
-    left = left.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(PARTS)).cast("int"))
-    right = right.withColumnsRenamed(dict(zip(keys, names))).withColumn(
-        "__part2", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
-    )
-    on = F.col("__part") == F.col("__part2")
+    right = right.withColumnsRenamed(dict(zip(keys, names)))
+    on = F.lit(True)
     for key, name in zip(keys, names):
         on = on & F.col(key).eqNullSafe(F.col(name))
-    return left.join(right, on, how).drop("__part", "__part2", *names)
+    return left.join(right, on, how).drop(*names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velometry.llm.common import spread_join, stored
+from velometry.llm.common import null_safe_join, stored
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -13,7 +13,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Each round every node takes the smallest label among its neighbours, and then
     the label of its label, so that labels travel twice as far each time.  A round is
-    stored; a hub with many edges is spread over many tasks.
+    stored; adaptive execution spreads a hub with many edges.
     """
     both = stored(edges.union(edges.select("b", "a")).filter("a <> b").distinct())
     labels = stored(
@@ -21,16 +21,14 @@ def connected(edges: DataFrame) -> DataFrame:
         .select("node", F.least("node", "label").alias("label"))
     )
     while True:
-        near = spread_join(
-            both, labels.select(F.col("node").alias("b"), "label"), ["b"], F.col("a")
-        )
+        near = null_safe_join(both, labels.select(F.col("node").alias("b"), "label"), ["b"])
         least = near.groupBy("a").agg(F.min("label").alias("near"))
         closer = labels.join(least, labels.node == least.a).select(
             "node", F.least("label", "near").alias("next"), F.col("label").alias("before")
         )
         targets = labels.select(F.col("node").alias("next"), F.col("label").alias("beyond"))
         after = stored(
-            spread_join(closer, targets, ["next"], F.col("node")).select(
+            null_safe_join(closer, targets, ["next"]).select(
                 "node", F.least("next", "beyond").alias("label"), "before"
             )
         )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velometry.llm.common import slices, spread_join, stored
+from velometry.llm.common import null_safe_join, slices, stored
 from velometry.llm.components import connected
 
 SEED = 42
@@ -131,9 +131,7 @@ def links(prints: DataFrame, distance: int, boxes: int = 7) -> DataFrame:
         ).alias("r"),
     ).select("fingerprint", "r.*")
     shared = rows.groupBy("box", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(
-        spread_join(rows, shared, ["box", "key"], F.col("fingerprint"), "inner")
-    )
+    members = stored(null_safe_join(rows, shared, ["box", "key"], "inner"))
     few = members.filter(F.col("n") <= CROWDED).drop("n")
     table = F.array(*(F.lit(m) for own in masks for m in own))
 
@@ -221,10 +219,10 @@ def _grouped(own: DataFrame, distance: int, boxes: int) -> DataFrame:
         .groupBy("component")
         .agg(F.min("first").alias("component_id"))
     )
-    by_print = spread_join(labelled, least, ["component"], F.col("fingerprint")).select(
+    by_print = null_safe_join(labelled, least, ["component"]).select(
         "fingerprint", "component_id", "component"
     )
-    return spread_join(own, by_print, ["fingerprint"], F.col("doc_id"))
+    return null_safe_join(own, by_print, ["fingerprint"])
 
 
 def keep_one(documents: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velometry.llm.common import spread_join, text_or_empty
+from velometry.llm.common import null_safe_join, text_or_empty
 
 # Fixed values of the formats.
 DICT_FRAME = 0x184D2A5D
@@ -61,7 +61,7 @@ def mark_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         .select("digest", "last")
     )
     # The payload goes to its archive with the rest, so this join is its only shuffle.
-    marked = spread_join(rows, last, ["digest"], F.col("page_id"))
+    marked = null_safe_join(rows, last, ["digest"])
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
     return marked.select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
 
