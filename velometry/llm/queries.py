@@ -17,6 +17,7 @@ from velometry.llm import (
     chat,
     decontaminate,
     langid,
+    merkle,
     pii,
     repetition,
     simhash,
@@ -180,3 +181,20 @@ def op10_language_id(spark, sf):
     out = langid.held_out(F.col("doc_id"))
     model = langid.learn(documents.filter(~out & F.col("doc_id").isNotNull()))
     return langid.predict(documents, model).withColumn("held_out", out)
+
+
+@query
+def op13_merkle(spark, sf):
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(tampered, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    leaves = merkle.leaves(_table(spark, sf, "documents"), {"text": shown})
+    return merkle.manifest(leaves).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )

