@@ -210,7 +210,7 @@ def _fall(
                     digest("".join(path)), fold(row["presented"], path),
                 )
             else:
-                yield row["source"], row["pos"], path, ends[0] or row["digest"], ends[1]
+                yield row["source"], row["pos"], path, *ends
 
     def run(batches):
         yield from _batches((r for rows in _chunks(batches) for r in made(rows)), schema)
@@ -298,10 +298,13 @@ def manifest(leaves: DataFrame, paths: bool = False, depth: int = DEPTH) -> Data
         "source", "pos", "cast(array() as array<string>) as path", f"{text} as subroot",
         "digest as root", f"{len(levels) - 1} as round",
     )
-    down = _descend(levels, top, depth, proofs=False).withColumnRenamed("pos", "at").drop("source")
+    down = _descend(levels, top, depth, proofs=False).select("pos", "path", "root")
     messages = stored(
-        ranked.select("source", "round", (F.col("place") - 1).alias("at"))
-        .join(down, "at")
-        .select("source", F.lit(0).cast("long").alias("pos"), "path", "subroot", "root", "round")
-    )
+        ranked.select("source", "round", "digest", (F.col("place") - 1).alias("pos"))
+        .join(down, "pos")
+        .select(
+            "source", F.lit(0).cast("long").alias("pos"), "path",
+            F.col("digest").alias("subroot"), "root", "round",
+        )
+    )
     return _descend(rounds, messages, depth, proofs=True, paths=paths)
