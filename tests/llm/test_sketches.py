@@ -1,0 +1,126 @@
+import random
+
+import pytest
+import xxhash
+from plain import WORD, sha
+from pyspark.sql import functions as F
+
+from velometry.llm import queries, sketches
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def shingles(text, words=5):
+    """All shingle hashes of a text, as Spark's xxhash64 makes them."""
+    own = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORD.findall(text or "")]
+    out = set()
+    for i in range(max(1, len(own) - words + 1) if own else 0):
+        seed = 42
+        for h in own[i : i + words]:
+            seed = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed)
+        out.add(signed(seed))
+    return out
+
+
+def sketch(text, k=128):
+    return sorted(shingles(text))[:k]
+
+
+def alike(a, b, k=128):
+    end = min([s[-1] for s in (a, b) if len(s) == k], default=1 << 63)
+    a, b = {h for h in a if h <= end}, {h for h in b if h <= end}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def expected(rows, order_of=lambda r: (r[0] is not None, r[0])):
+    """One document for each doc_id and text; the texts here differ in doc_id or are equal."""
+    docs = sorted({(i, t or "") for i, t in rows}, key=order_of)
+    out = {}
+    for (i, text), (_, after) in zip(docs, docs[1:] + docs[:1]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        own, other, behind = sketch(text), sketch(edited), sketch(after)
+        hexed = lambda s: "".join(f"{h % (1 << 64):016x}" for h in s)
+        out[i, text] = (
+            i, len(text), sha(edited), hexed(own), hexed(other),
+            round(alike(own, other), 9), round(alike(own, behind), 9),
+        )
+    return sorted((out[i, t or ""] for i, t in rows), key=str)
+
+
+def got(spark, tmp_path, rows, schema=SCHEMA):
+    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]
+    found = queries.op11_fingerprints(spark, str(tmp_path)).collect()
+    return sorted(((*(r[n] for n in names), round(r.near_edited, 9), round(r.near_next, 9)) for r in found), key=str)
+
+
+def prose(rng, n):
+    return "".join(rng.choice(["ab ", "c\t", "é", "dé ", "\n", "x y ", "　", "long "]) for _ in range(n))
+
+
+def test_documents_by_brute_force(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(i * 3 - 20, prose(rng, rng.choice([0, 1, 4, 30, 700]))) for i in range(60)]
+    rows += [(500, rows[7][1]), (501, rows[7][1]), (502, "a b c d e f"), (503, "A b c d e f"), (504, "one")]
+    assert got(spark, tmp_path, rows) == expected(rows)
+
+
+def test_nulls_repeated_rows_and_other_columns(spark, tmp_path):
+    rows = [(None, None), (None, ""), (4, "same text here now and then"), (4, "same text here now and then"), (9, None)]
+    wide = [(*r, "x", 1) for r in rows]
+    assert got(spark, tmp_path, wide, SCHEMA + ", id string, copies int") == expected(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "only one of its kind here")], [(1, "a"), (2, "word " * 300_000)]])
+def test_small_tables_and_long_texts(spark, tmp_path, rows):
+    assert got(spark, tmp_path, rows) == expected(rows)
+
+
+def test_texts_of_one_doc_id_have_a_fixed_order(spark):
+    rows = [(1, f"{i} is the number of this text") for i in range(9)]
+    found = [
+        sorted(tuple(r) for r in sketches.edit_documents(spark.createDataFrame(own, SCHEMA)).select("text", "edited").collect())
+        for own in (rows, rows[::-1])
+    ]
+    assert found[0] == found[1] and len({e for _, e in found[0]}) > 1
+
+
+def test_merged_parts_are_the_sketch_of_the_whole(spark):
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(3000)}" for _ in range(2000)]
+    whole, left, right = (" ".join(w) for w in (words, words[:1004], words[1000:]))
+    df = spark.createDataFrame([(whole, left, right)], "a string, b string, c string")
+    for name in "abc":
+        df = sketches.with_sketch(df, name, f"{name}_sketch")
+    row = df.select(
+        "a_sketch", sketches.merged(F.col("b_sketch"), F.col("c_sketch")).alias("merged")
+    ).first()
+    assert row.merged == row.a_sketch == sketch(whole)
+
+
+def test_estimates(spark):
+    rng = random.Random(3)
+    a = [f"w{rng.randrange(10**6)}" for _ in range(6000)]
+    b = a[:3000] + [f"v{i}" for i in range(3000)]
+    df = spark.createDataFrame([(" ".join(a), " ".join(b), " ".join(a[:3000]))], "a string, b string, c string")
+    for name in "abc":
+        df = sketches.with_sketch(df, name, f"{name}s")
+    row = df.select(
+        sketches.resemblance(F.col("as"), F.col("bs")).alias("j"),
+        sketches.containment(F.col("cs"), F.col("as")).alias("c_in_a"),
+        sketches.containment(F.col("as"), F.col("cs")).alias("a_in_c"),
+        sketches.distinct_shingles(F.col("as")).alias("n"),
+    ).first()
+    assert abs(row.j - 1 / 3) < 0.13 and row.c_in_a == 1.0 and abs(row.a_in_c - 0.5) < 0.15
+    assert abs(row.n / 5996 - 1) < 0.3
+
+
+def test_no_python_in_the_plan(spark):
+    df = sketches.edit_documents(spark.createDataFrame([(1, "a b")], SCHEMA))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

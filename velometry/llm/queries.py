@@ -18,14 +18,16 @@ from velometry.llm import (
     decontaminate,
     langid,
     merkle,
+    negatives,
     pii,
     repetition,
     simhash,
+    sketches,
     substrings,
     url_filter,
     warc,
 )
-from velometry.llm.common import ensure_checkpoint_dir
+from velometry.llm.common import ensure_checkpoint_dir, stored
 
 Query = Callable[..., DataFrame]
 
@@ -183,6 +185,32 @@ def op10_language_id(spark, sf):
     return langid.predict(documents, model).withColumn("held_out", out)
 
 
+@query
+def op11_fingerprints(spark, sf):
+    found = sketches.edit_documents(_table(spark, sf, "documents"))
+    own, edited = F.col("sketch"), F.col("edited_sketch")
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        _sha256(F.col("edited")).alias("edited_sha256"),
+        sketches.as_text(own).alias("fingerprint"),
+        sketches.as_text(edited).alias("edited_fingerprint"),
+        sketches.resemblance(own, edited).alias("near_edited"),
+        sketches.resemblance(own, F.col("next_sketch")).alias("near_next"),
+        sketches.containment(own, edited).alias("in_edited"),
+        sketches.distinct_shingles(own).alias("n_shingles"),
+        F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
+    )
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    rows = negatives.clean_vectors(_table(spark, sf, "embeddings"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = stored(rows.withColumn("label", label))
+    return negatives.mine(rows, rows.filter("vec_id % 100 = 0"))
+
+
 @query
 def op13_merkle(spark, sf):
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -235,11 +235,39 @@ select *, folded_root = root as verified from folded
 """
 
 
+_NEGATIVES = """
+with named as (
+    select vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same,
+           (select cast(sum(x * y) as bigint)
+            from (select unnest(a.v) as x, unnest(r.v) as y)) as score
+    from named a join named r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
+), positives as (
+    select anchor_id, id, score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, p.id as positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) as int)
+           as rank,
+       n.id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scored n
+  on p.anchor_id = n.anchor_id and not n.same
+ and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+qualify rank <= 10
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_chat_format": _CHAT,
         "op2_url_filter": _url_filter(),
         "op3_warc": _WARC,
         "op8_quality_rules": _quality(),
+        "op12_hard_negatives": _NEGATIVES,
         "op13_merkle": _merkle(),
     }
