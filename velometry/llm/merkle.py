@@ -270,7 +270,8 @@ def manifest(leaves: DataFrame, paths: bool = False, depth: int = DEPTH) -> Data
     A source may hold any share of the leaves: places are counted over ranges, and a
     task holds ``FANOUT ** depth`` leaves at a time.
     """
-    placed = numbered(leaves, ["doc_id", "leaf"], stored, ["source"], "place", "n")
+    # Ranges are sampled first, which must not hash the texts once more.
+    placed = numbered(stored(leaves), ["doc_id", "leaf"], stored, ["source"], "place", "n")
     nodes = stored(
         placed.select(
             "source", (F.col("place") - 1).alias("pos"), "n",
