@@ -23,7 +23,7 @@ _SPACES = "[" + "".join(f"\\x{ord(c):02x}" for c in sorted(WHITE)) + "]+"
 
 def word_hashes(text: Column) -> Column:
     """The hash of each word, in order; words lie between ASCII white space."""
-    words = F.filter(F.split(text, _SPACES), lambda w: w != "")
+    words = F.array_remove(F.split(text, _SPACES), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -121,8 +121,11 @@ def edit_documents(documents: DataFrame, words: int = WORDS, k: int = K) -> Data
     to the document before goes only the part that it needs.
     """
     keyed = _keyed(documents)
-    chars = F.length("text").alias("chars")
-    keys = stored(keyed.select(*_KEY, chars).distinct())
+    keys = stored(
+        keyed.select(*_KEY, F.length("text").alias("chars"))
+        .groupBy(*_KEY)
+        .agg(F.max("chars").alias("chars"), F.count(F.lit(1)).alias("copies"))
+    )
     order = ["missing_first", "id", "hash", "check"]
     placed = stored(
         numbered(
@@ -134,13 +137,16 @@ def edit_documents(documents: DataFrame, words: int = WORDS, k: int = K) -> Data
         (F.col("position") % F.col("total") + 1).alias("position"),
         *(F.col(c).alias(f"to_{c}") for c in _KEY),
         F.floor(F.col("chars") / 2).cast("int").alias("want"),
+        "copies",
     )
-    nexts = placed.drop("chars", "total").join(wanting, "position").drop("position")
-    one = keyed.groupBy(*_KEY).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    nexts = placed.select(*_KEY, "position").join(wanting, "position").drop("position")
+    # Used twice with the same columns, so that the texts are dealt out once.
+    one = keyed.groupBy(*_KEY).agg(F.first("text").alias("text"))
     given = with_sketch(one.join(nexts, _KEY), "text", "next_sketch", words, k).select(
         *(F.col(f"to_{c}").alias(c) for c in _KEY),
         F.expr("substring(text, 1, want)").alias("first"),
         "next_sketch",
+        "copies",
     )
     kept = F.length("text") - F.floor(F.length("text") / 2).cast("int")
     both = one.join(given, _KEY).withColumn(
