@@ -1,0 +1,87 @@
+"""Model steps that must not depend on partitions, and the fit they are checked against."""
+
+import hashlib
+import math
+import random
+
+import pytest
+from frames import taxi
+from pyspark.sql import functions as F
+
+from velometry.functions import kmeans
+from velometry.functions.sampling import drawn
+from velometry.operators import duration, placement
+
+
+@pytest.fixture(scope="module")
+def rides(spark):
+    rng = random.Random(4)
+    spots = [(40.70, -74.05), (40.75, -74.0), (40.8, -73.95)]
+    made = []
+    for i in range(240):
+        lat, lon = spots[i % 3]
+        made.append(
+            {"pickup_latitude": lat + rng.gauss(0, 0.003), "pickup_longitude": lon + rng.gauss(0, 0.003)}
+        )
+    return taxi(spark, *made).cache()
+
+
+def test_steady_centres_do_not_depend_on_partitions(rides):
+    found = [
+        placement.recommend_stations(rides.repartition(n), [3, 8], steady=True).collect()
+        for n in (1, 7)
+    ]
+    assert found[0] == found[1]
+    near = {(round(r.latitude, 2), round(r.longitude, 2)) for r in found[0] if r.k == 3}
+    assert near == {(40.70, -74.05), (40.75, -74.0), (40.8, -73.95)}
+
+
+def test_steady_labels_are_the_nearest_centres(rides):
+    centres = kmeans.fit(kmeans.places(rides, *placement.PICKUP), 8)
+    own = placement.assign_clusters(rides, *placement.PICKUP, 8, steady=True)
+    for r in own.select(*placement.PICKUP, "cluster").collect():
+        far = [math.dist(r[:2], c) for c in centres]
+        assert far[r.cluster] == pytest.approx(min(far), abs=1e-9)
+    places = kmeans.places(rides, *placement.PICKUP)
+    assert kmeans.cost(places, centres) < kmeans.cost(places, kmeans.fit(places, 3))
+
+
+def test_steady_edge_cases(spark):
+    few = taxi(spark, {"pickup_latitude": 1}, {"pickup_latitude": 1}, {"pickup_latitude": float("nan")}, {"pickup_latitude": None}, {"pickup_latitude": 2})
+    centres = kmeans.fit(kmeans.places(few, *placement.PICKUP), 5)
+    assert centres == [(1.0, -74.0), (2.0, -74.0)]
+    labels = placement.assign_clusters(few, *placement.PICKUP, 5, steady=True)
+    assert sorted([r.cluster for r in labels.collect()], key=str) == [0, 0, 1, None, None]
+    none = placement.recommend_stations(few.limit(0), [3], steady=True)
+    assert none.collect() == []
+    assert placement.assign_clusters(few.limit(0), *placement.PICKUP, steady=True).collect() == []
+
+
+def test_drawn_rows_are_those_of_least_hash(spark):
+    rows = [(i % 40, None if i % 9 == 0 else i / 7, f"n{i % 11}") for i in range(300)] + [(1, 2.0, "n")] * 30
+
+    def hashed(a, b, c):
+        cells = [str(math.floor(x * 1e6 + 0.5)) if x is not None else "" for x in (a, b)]
+        return hashlib.md5("|".join(["3", *cells, c]).encode()).hexdigest()
+
+    for n in (1, 6):
+        df = spark.createDataFrame(rows, "a int, b double, c string").repartition(n)
+        kept = drawn(df, 0.25, 3).filter("drawn").drop("drawn").collect()
+        least = sorted(rows, key=lambda r: hashed(*r))[: math.floor(len(rows) / 4 + 0.5)]
+        assert sorted(map(tuple, kept), key=str) == sorted(least, key=str)
+    assert drawn(spark.range(0), 0.5, 1).count() == 0
+
+
+def test_elastic_net_is_where_the_fit_ends(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(500):
+        a, b, c = (rng.gauss(0, s) for s in (1, 5, 0.2))
+        rows.append((3 * a - 0.5 * b + 2 + rng.gauss(0, 1), a, b, c, a + rng.gauss(0, 1), 7.0))
+    data = spark.createDataFrame(rows, "label double, a double, b double, c double, d double, e double")
+    names = ["a", "b", "c", "d", "e"]
+    for penalty, mix in ((0.3, 0.8), (0.05, 0.5), (1.0, 0.0), (0.4, 1.0)):
+        model = duration.fit(data, names, max_iter=2000, penalty=penalty, mix=mix).stages[-1]
+        weights, base = duration.elastic_net(data, names, penalty, mix)
+        assert list(model.coefficients) == pytest.approx(weights, abs=2e-3)
+        assert model.intercept == pytest.approx(base, abs=2e-3)

@@ -557,7 +557,16 @@ def dropoff_clusters(spark, sf):
 
 @query
 def cluster_sample(spark, sf):
-    return placement.cluster_sample(_with_pickups(spark, sf), "pickup_latitude")
+    sample = placement.cluster_sample(_with_pickups(spark, sf), "pickup_latitude")
+    return _rounded(sample.drop("pickup_cluster"), "velocity")
+
+
+@query
+def taxi_sample(spark, sf):
+    """A third of all trips, of which those without a place have zeros for it."""
+    rides = fx.taxi(spark, sf).select("trip_distance", *placement.PICKUP, "passenger_count")
+    rides = rides.fillna(0.0, list(placement.PICKUP))
+    return placement.cluster_sample(rides, "pickup_latitude", 1 / 3, seed=5)
 
 
 @query
@@ -577,6 +586,12 @@ def recommend_zones(spark, sf):
     return _rounded(found.drop("cluster_id"), "latitude", "longitude")
 
 
+@query
+def recommend_zones_steady(spark, sf):
+    found = placement.recommend_stations(fx.zones(spark, sf), [4], steady=True)
+    return _rounded(found, "latitude", "longitude")
+
+
 @query
 def new_stations_zones(spark, sf):
     found = placement.recommend_stations(fx.zones(spark, sf), [4])
@@ -629,6 +644,15 @@ def duration_split(spark, sf):
     return sides.groupBy("side").agg(F.count(F.lit(1)).alias("trips"))
 
 
+@query
+def duration_split_rows(spark, sf):
+    train, validation = _split(spark, sf)
+    sides = train.withColumn("side", F.lit("train")).unionByName(
+        validation.withColumn("side", F.lit("validation"))
+    )
+    return _rounded(sides.select("side", "label", "trip_distance", "total_amount"), "label", "total_amount")
+
+
 @query
 def duration_split_total(spark, sf):
     """Sides differ with the seed; together they are all rows, each once."""
@@ -683,6 +707,17 @@ def duration_line_rmse(spark, sf):
     return fx.stations(spark, sf).agg(F.lit(round(error, 6)).alias("rmse"))
 
 
+@query
+def duration_penalised(spark, sf):
+    """The published iterations, penalty and mix, on one feature, where SQL has a formula."""
+    train, _ = _split(spark, sf)
+    model = duration.fit(train, ["travel_time"]).stages[-1]
+    own = [round(float(model.coefficients[0]), 2), round(model.intercept, 2)]
+    steady, base = duration.elastic_net(train, ["travel_time"])
+    rows = [("fit", *own), ("limit", round(steady[0], 2), round(base, 2))]
+    return spark.createDataFrame(rows, "way string, coefficient double, intercept double")
+
+
 @query
 def duration_scaled(spark, sf):
     model, validation = _line(spark, sf)

@@ -225,6 +225,19 @@ _CTES = {
     "moving": "select *, trip_distance / nullif(travel_time, 0) as velocity from short_taxi",
     "limits": "select quantile_disc(velocity, 0.2) as velocity from moving",
     "slow_taxi": "select * from moving where velocity <= (select velocity from limits)",
+    # an exact share by the hash of the row
+    "featured": """
+        select travel_time / 60 as label, cast(hour(pickup_datetime) as int) as pickup_hour,
+               cast(month(pickup_datetime) as int) as pickup_month,
+               trip_distance / (travel_time / 60 / 60) as speed_mph,
+               columns(lambda c: c in ('passenger_count', 'trip_distance', 'rate_code', 'payment_type',
+                                  'fare_amount', 'extra', 'mta_tax', 'tip_amount', 'total_amount',
+                                  'travel_time', 'tolls_amount', 'imp_surcharge', 'velocity'))
+        from slow_taxi where trip_distance < 20 and travel_time > 0""",
+    "sided": """
+        select *, row_number() over (order by hash) <= floor(0.75 * count(*) over () + 0.5)
+                      as trained
+        from (select *, {featured_hash} as hash from featured)""",
     # a straight line through the durations
     "durations": """
         select travel_time / 60 as label, trip_distance, passenger_count % 4 = 0 as held
@@ -238,6 +251,15 @@ _CTES = {
         from durations cross join line where held""",
 }
 
+def _hash(seed: int, columns: str) -> str:
+    """The hash that draws rows: numbers in whole millionths, null empty."""
+    cells = [
+        f"coalesce(cast(cast(floor(cast({c} as double) * 1000000 + 0.5) as bigint) as varchar), '')"
+        for c in columns.split()
+    ]
+    return f"md5(concat_ws('|', '{seed}', {', '.join(cells)}))"
+
+
 _TAXI = (
     "pickup_datetime, dropoff_datetime, pickup_latitude, pickup_longitude, "
     "dropoff_latitude, dropoff_longitude, trip_distance, travel_time"
@@ -377,6 +399,10 @@ _SELECTS = {
     "recommend_zones": """
         select k, round(latitude, 6) as latitude, round(longitude, 6) as longitude
         from zone_centres""",
+    "recommend_zones_steady": """
+        select k, cast(row_number() over (order by latitude, longitude) - 1 as int) as cluster_id,
+               round(latitude, 6) as latitude, round(longitude, 6) as longitude
+        from zone_centres""",
     "new_stations_zones": """
         select round(longitude, 6) as longitude, round(latitude, 6) as latitude
         from zone_centres where k = 4""",
@@ -422,6 +448,41 @@ _SELECTS = {
         select {_TAXI}, round(velocity, 6) as velocity from slow_taxi where {_IN_BOX}""",
     "cluster_totals": f"""
         select count(*) as trips, count(*) as labelled from slow_taxi where {_IN_BOX}""",
+    "cluster_sample": f"""
+        select pickup_latitude, pickup_longitude, dropoff_latitude, dropoff_longitude,
+               trip_distance, round(velocity, 6) as velocity
+        from (select *, row_number() over (order by {_hash(1, "pickup_latitude pickup_longitude "
+                    "dropoff_latitude dropoff_longitude trip_distance velocity")}) as place,
+                     count(*) over () as total
+              from slow_taxi where {_IN_BOX})
+        where place <= floor(0.1 * total + 0.5) and pickup_latitude <> 0""",
+    "taxi_sample": f"""
+        select trip_distance, pickup_latitude, pickup_longitude, passenger_count
+        from (select *, row_number() over (order by {_hash(5, "trip_distance pickup_latitude "
+                    "pickup_longitude passenger_count")}) as place,
+                     count(*) over () as total
+              from (select trip_distance, passenger_count,
+                           coalesce(pickup_latitude, 0) as pickup_latitude,
+                           coalesce(pickup_longitude, 0) as pickup_longitude from taxi))
+        where place <= floor(total / 3::double + 0.5) and pickup_latitude <> 0""",
+    "duration_split": """
+        select if(trained, 'train', 'validation') as side, count(*) as trips
+        from sided group by all""",
+    "duration_split_rows": """
+        select if(trained, 'train', 'validation') as side, round(label, 6) as label,
+               trip_distance, round(total_amount, 6) as total_amount
+        from sided""",
+    "duration_penalised": """
+        select way, round(weight, 2) as coefficient,
+               round(mean_label - weight / spread * mean_time, 2) as intercept
+        from (select *, y * greatest(covariance / spread / y - 0.3 / y * 0.8, 0)
+                          / (variance / spread / spread + 0.3 / y * (1 - 0.8)) as weight
+              from (select stddev_samp(label) as y, stddev_samp(travel_time) as spread,
+                           var_pop(travel_time) as variance,
+                           covar_pop(travel_time, label) as covariance,
+                           avg(label) as mean_label, avg(travel_time) as mean_time
+                    from sided where trained)),
+             (select unnest(['fit', 'limit']) as way)""",
     "duration_split_total": """
         select count(*) as trips, round(sum(travel_time / 60), 3) as minutes
         from slow_taxi where trip_distance < 20 and travel_time > 0""",
@@ -437,6 +498,14 @@ _SELECTS = {
 }
 
 
+_FEATURED_HASH = _hash(
+    1,
+    "label passenger_count trip_distance rate_code payment_type fare_amount extra mta_tax "
+    "tip_amount total_amount travel_time tolls_amount imp_surcharge velocity pickup_hour "
+    "pickup_month speed_mph",
+)
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the expressions ``sql`` uses, directly or not, in order."""
     wanted: set[str] = set()
@@ -451,7 +520,7 @@ def _needed(sql: str) -> list[str]:
 def _statement(select: str) -> str:
     ctes = ",\n".join(f"{name} as ({_CTES[name].strip()})" for name in _needed(select))
     head = f"with {ctes}\n" if ctes else ""
-    return (head + select.strip()).format(**parameters())
+    return (head + select.strip()).format(**parameters(), featured_hash=_FEATURED_HASH)
 
 
 def all_sql() -> dict[str, str]:
