@@ -136,3 +136,11 @@ def infix_distance(pattern, text):
 
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 3 == 1
+
+
+def squeezed(text):
+    """Lower case with one space for white space, ASCII quotes and dashes."""
+    text = re.sub(r"\s+", " ", text).strip(" ")
+    text = re.sub("[\u2018\u2019\u201a\u201b\u2032]", "'", text)
+    text = re.sub("[\u201c-\u201f\u2033\u00ab\u00bb]", '"', text)
+    return re.sub("[\u2010-\u2015\u2212]", "-", text).lower()

@@ -45,7 +45,7 @@ def test_finds_exactly_what_is_within_the_budget():
         text = " ".join(["before"] * rng.randint(0, 4)) + text + " after" * rng.randint(0, 4)
         got = {m.item: m.edits for m in matcher.find(text)}
         for i, item in enumerate(ITEMS):
-            best = plain.infix_distance(item.lower(), text.lower())
+            best = plain.infix_distance(plain.squeezed(item), plain.squeezed(text))
             assert got.get(i) == (best if best <= int(len(item) * d.EDIT_RATE) else None)
 
 
@@ -56,9 +56,10 @@ def test_random_alphabet_and_rates():
         rate = rng.choice([0, 0.1, 0.2])
         text = "".join(rng.choices("ab c", k=rng.randint(0, 80)))
         got = {m.item: m.edits for m in d.Matcher(items, rate).find(text)}
-        for i, item in enumerate(items):
-            best = plain.infix_distance(item, text)
-            assert got.get(i) == (best if best <= int(len(item) * rate) else None), (item, text)
+        for i, item in enumerate(map(plain.squeezed, items)):
+            best = plain.infix_distance(item, plain.squeezed(text))
+            fits = item and best <= int(len(item) * rate)
+            assert got.get(i) == (best if fits else None), (item, text)
 
 
 def test_place_is_the_nearest_passage():
@@ -113,3 +114,31 @@ def test_documents(spark):
 def test_long_text():
     text = "the quick brown " * 20_000 + ITEMS[0]
     assert [m.edits for m in d.Matcher(ITEMS, d.EDIT_RATE).find(text)] == [0]
+
+
+SPACED = {
+    "line breaks": lambda t: t.replace(" ", "\n"),
+    "doubled spaces": lambda t: t.replace(" ", "  "),
+    "no-break spaces": lambda t: t.replace(" ", "\xa0"),
+    "wrapped lines": lambda t: t.replace(" ", " \r\n\t", 4),
+    "quotes and dashes": lambda t: t.replace("'", "\u2019").replace('"', "\u201d").replace("-", "\u2013"),
+    "capitals": str.upper,
+}
+
+
+@pytest.mark.parametrize("change", SPACED)
+def test_a_passage_set_anew_is_found_where_it_stands(spark, change):
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    listed = [r.text for r in bench.collect()] + ["it's a \"well-known\" passage - isn't it, they said"]
+    matcher = d.Matcher(listed, d.EDIT_RATE)
+    for number, item in enumerate(listed):
+        passage = SPACED[change](item)
+        text = f"  before\n\n{passage}\u2003 and after"
+        (match,) = [m for m in matcher.find(text) if m.item == number]
+        assert match.edits == 0
+        assert plain.squeezed(text[match.start : match.end]) == plain.squeezed(item)
+        assert text[match.start : match.end] == passage.strip()
+
+
+def test_items_of_white_space_match_nothing():
+    assert d.Matcher([" \n", ""], 0.5).find("a  b") == []

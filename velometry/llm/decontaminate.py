@@ -3,7 +3,8 @@
 A test item of ``n`` characters may differ by ``k`` edits.  It is cut into ``k + 1`` pieces;
 at most ``k`` of them are touched by edits, so a passage within the budget holds a piece
 exactly.  Piece hits give places, and Myers' bit-parallel distance verifies each.
-Letters are compared in lower case.
+Letters are compared in lower case, runs of white space as one space, and typographic
+quotes and dashes as their ASCII forms, so that a page set anew spends none of the budget.
 
 Items are a stated query set.  They are dealt into blocks of bounded size, and each
 block passes over all documents.
@@ -11,7 +12,9 @@ block passes over all documents.
 
 from __future__ import annotations
 
+import re
 import uuid
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -24,6 +27,13 @@ from velometry.llm.common import slices, texts
 
 #: Edits allowed for each character of an item.
 EDIT_RATE = 0.08
+# Typographic characters and what they are compared as.
+_ASCII = {
+    "'": "\u2018\u2019\u201a\u201b\u2032",
+    '"': "\u201c\u201d\u201e\u201f\u2033\u00ab\u00bb",
+    "-": "\u2010\u2011\u2012\u2013\u2014\u2015\u2212",
+}
+_INK = re.compile(r"\S+")
 #: Characters of items that are broadcast together.
 BLOCK_CHARS = 1 << 20
 
@@ -93,11 +103,36 @@ def lower(text: str) -> str:
     return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
+def compared(text: str) -> str:
+    """``text`` as it is compared; white space at the ends goes."""
+    if not text.isascii():
+        for plain, fancy in _ASCII.items():
+            for c in fancy:
+                if c in text:
+                    text = text.replace(c, plain)
+    return lower(" ".join(text.split()))
+
+
+def raw_span(text: str, start: int, end: int) -> tuple[int, int]:
+    """Where ``compared(text)[start:end]`` stands in ``text``."""
+    raw, own, length = [], [], 0
+    for ink in _INK.finditer(text):
+        raw.append(ink.start())
+        own.append(length)
+        length += ink.end() - ink.start() + 1
+
+    def place(at: int) -> int:
+        word = bisect_right(own, at) - 1
+        return raw[word] + at - own[word]
+
+    return place(start), place(end - 1) + 1
+
+
 class Matcher:
     """Finds a block of items in texts."""
 
     def __init__(self, items: list[str], rate: float):
-        self.items = [lower(t) for t in items]
+        self.items = [compared(t) for t in items]
         self.limits = [int(len(t) * rate) for t in self.items]
         self.automaton = ahocorasick.Automaton()
         pieces: dict[str, list[tuple[int, int]]] = {}
@@ -116,7 +151,7 @@ class Matcher:
         """The nearest passage of each item that is within its budget, by item."""
         if not len(self.automaton):
             return []
-        low = lower(text)
+        low = compared(text)
         windows: dict[int, list[list[int]]] = {}
         for last, (size, places) in self.automaton.iter(low):
             for number, offset in places:
@@ -142,7 +177,7 @@ class Matcher:
                     if not best[0]:
                         break
             if best is not None:
-                found.append(Match(number, best[1], best[2], best[0]))
+                found.append(Match(number, *raw_span(text, *best[1:]), best[0]))
         return found
 
 
@@ -189,8 +224,9 @@ def find_benchmark(
 ) -> DataFrame:
     """``doc_id, item_id, start, end, edits`` for each document and each item it holds.
 
-    The passage is the nearest, of equal ones the first; offsets are code points.
-    Null or empty items match nothing, null or empty texts hold nothing.  Repeated
+    The passage is the nearest, of equal ones the first; offsets are code points of the
+    text as it is, edits count in the compared form.  Items that are null, empty or white
+    space match nothing, null or empty texts hold nothing.  Repeated
     documents give repeated rows, repeated items one.  A null doc_id or item_id stays
     null.  Other columns are not read; an empty table on either side gives no rows.
     """
@@ -236,7 +272,11 @@ def _finder(spark, items: list[tuple[int | None, str]], rate: float):
 def drop_contaminated(
     documents: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE
 ) -> DataFrame:
-    """The rows of ``documents`` that hold no item, unchanged, with all their columns."""
+    """The rows of ``documents`` that hold no item, unchanged, with all their columns.
+
+    A null doc_id makes no difference; repeated rows stay or go together; a null or empty
+    text is kept; an empty table on either side leaves the documents as they are.
+    """
     spark = documents.sparkSession
     items = _items(benchmark)
     blocks = _blocks(items)
