@@ -122,7 +122,7 @@ SPACED = {
     "no-break spaces": lambda t: t.replace(" ", "\xa0"),
     "wrapped lines": lambda t: t.replace(" ", " \r\n\t", 4),
     "quotes and dashes": lambda t: t.replace("'", "\u2019").replace('"', "\u201d").replace("-", "\u2013"),
-    "capitals": str.upper,
+    "capitals": lambda t: "".join(c.upper() if len(c.upper()) == 1 else c for c in t),
 }
 
 
