@@ -4,7 +4,7 @@ from velometry.__main__ import main
 from velometry.operators import serving
 from velometry.plans import fixtures as fx
 from velometry.plans import jobs
-from velometry.sources import write_table
+from velometry.sources import replace_partitions, write_table
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -70,3 +70,19 @@ def test_jobs_ask_for_what_they_need(job, capsys):
     with pytest.raises(SystemExit):
         main([job, "--out", "x"])
     assert f"{job} needs --trips" in capsys.readouterr().err
+
+
+def test_a_rerun_replaces_what_it_owns(spark, tmp_path):
+    path = str(tmp_path / "table")
+    table = lambda: sorted(tuple(r) for r in spark.read.parquet(path).select("n", "year", "frame").collect())
+    rows = lambda *own: spark.createDataFrame(own, "n int, year int, frame string")
+    replace_partitions(rows((1, 2015, "a"), (2, 2016, "a"), (3, 2016, "b")), path, ["year", "frame"])
+    replace_partitions(rows((4, 2016, "b")), path, ["year", "frame"], [2016])
+    assert table() == [(1, 2015, "a"), (4, 2016, "b")]
+    with pytest.raises(Exception, match="not owned"):
+        replace_partitions(rows((5, 2016, "a"), (6, 2014, "a")), path, ["year", "frame"], [2016])
+    assert table() == [(1, 2015, "a"), (4, 2016, "b")]
+    replace_partitions(rows((7, 2016, "a")).limit(0), path, ["year", "frame"], [2016])
+    assert table() == [(1, 2015, "a")]
+    replace_partitions(rows((8, 2017, "c")), path, ["year", "frame"])
+    assert table() == [(8, 2017, "c")]

@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 
 from velometry.operators import balance, duration, placement, popularity, supply, taxi
 from velometry.operators.stations import active_stations
-from velometry.sources import read_stations, read_taxi, read_trips, write_table
+from velometry.sources import (
+    read_stations,
+    read_taxi,
+    read_trips,
+    replace_partitions,
+    write_table,
+)
 
 
-def _stored(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
-    write_table(df, path, partition_by=partition_by)
+def _stored(df: DataFrame, path: str, partition_by: str, owned: list | None = None) -> DataFrame:
+    replace_partitions(df, path, [partition_by], owned)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -24,17 +30,19 @@ def popularity_tables(
 ) -> None:
     """``monthly_peak`` by year and ``top_stations`` by year and frame.
 
-    The trips are read once, for ``hourly_activity``.  Runs for other years
-    into the same folder add theirs to it.
+    The trips are read once, for ``hourly_activity``.  A run for a year replaces all
+    that the folder holds of that year and leaves other years; one without a year
+    replaces everything.
     """
     hourly = popularity.hourly_activity(read_trips(spark, trips, fmt), year)
-    hourly = _stored(hourly, f"{out}/hourly_activity", "year")
+    owned = None if year is None else [year]
+    hourly = _stored(hourly, f"{out}/hourly_activity", "year", owned)
     if year is not None:
         hourly = hourly.filter(F.col("year") == year)
     peak = popularity.monthly_peak(popularity.activity_from_hourly(hourly))
-    write_table(peak, f"{out}/monthly_peak", partition_by=["year"])
+    replace_partitions(peak, f"{out}/monthly_peak", ["year"], owned)
     top = popularity.top_from_hourly(hourly)
-    write_table(top, f"{out}/top_stations", partition_by=["year", "frame"])
+    replace_partitions(top, f"{out}/top_stations", ["year", "frame"], owned)
 
 
 def station_tables(
@@ -55,12 +63,8 @@ def balance_tables(
     flow = _stored(flow, f"{out}/hourly_net_flow", "date")
     short = _stored(balance.shortage_hours(flow, docks), f"{out}/shortage_hours", "date")
     over = _stored(balance.overload_hours(flow, docks), f"{out}/overload_hours", "date")
-    write_table(
-        balance.hourly_stock(short, docks), f"{out}/hourly_stock", partition_by=["date"]
-    )
-    write_table(
-        supply.nearby_supply(short, over), f"{out}/nearby_supply", partition_by=["date"]
-    )
+    replace_partitions(balance.hourly_stock(short, docks), f"{out}/hourly_stock", ["date"])
+    replace_partitions(supply.nearby_supply(short, over), f"{out}/nearby_supply", ["date"])
 
 
 def slow_taxi_table(

@@ -1,6 +1,6 @@
 from .readers import read_stations, read_table, read_taxi, read_trips
 from .text import parse_centres, parse_name_list
-from .writers import cut_lineage, write_table
+from .writers import cut_lineage, replace_partitions, write_table
 
 __all__ = [
     "cut_lineage",
@@ -10,5 +10,6 @@ __all__ = [
     "read_table",
     "read_taxi",
     "read_trips",
+    "replace_partitions",
     "write_table",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -47,6 +48,42 @@ def write_table(
     writer.save(path)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], owned: Sequence | None = None
+) -> None:
+    """Write ``df`` in place of all that an earlier run left for what this run owns.
+
+    ``owned`` lists values of the first partition column; without it the run owns the
+    whole table.  The rows are first written aside, in a folder that readers skip, and
+    then swapped in: a run that fails leaves the old rows, and partitions that it no
+    longer yields go.  Rows outside ``owned`` are an error.  While folders are swapped a
+    reader may miss some.
+    """
+    spark, column = df.sparkSession, partition_by[0]
+    if owned is not None:
+        inside = F.col(column).isin(*owned)
+        refused = F.raise_error(F.lit(f"{column} is not owned by this run"))
+        df = df.withColumn(
+            column, F.when(inside, F.col(column)).otherwise(refused.cast(df.schema[column].dataType))
+        )
+    aside = f"{path}/_staged-{uuid.uuid4().hex}"
+    write_table(df, aside, partition_by=partition_by, mode="errorifexists")
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def parts(folder: str) -> dict[str, object]:
+        found = (s.getPath() for s in files.listStatus(to_path(folder)))
+        return {p.getName(): p for p in found if p.getName().startswith(f"{column}=")}
+
+    names = None if owned is None else {f"{column}={value}" for value in owned}
+    for name, old in parts(path).items():
+        if names is None or name in names:
+            files.delete(old, True)
+    for name, new in parts(aside).items():
+        files.rename(new, to_path(f"{path}/{name}"))
+    files.delete(to_path(aside), True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` for input that is read many times.
 
