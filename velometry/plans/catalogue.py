@@ -375,7 +375,7 @@ def dense_within_km(spark, sf):
 
 @query
 def dense_supply_pairs(spark, sf):
-    short = fx.dense_short(spark, sf).filter("hour = 10")
+    short = fx.dense_short(spark, sf)
     pairs = supply.supply_pairs(short, fx.dense_over(spark, sf), per_task=PER_TASK)
     nearest = F.min(F.struct(F.round("km", 6).alias("km"), "near_station_name")).alias("m")
     summed = pairs.groupBy("start_station_name").agg(

@@ -376,7 +376,7 @@ _SELECTS = {
     "dense_supply_pairs": """
         select start_station_name, count(*) as pairs, round(sum(km), 6) as km,
                min(round(km, 6)) as nearest_km
-        from dense_pairs where hour = 10 group by start_station_name""",
+        from dense_pairs group by start_station_name""",
     "dense_nearby_supply": """
         select date, hour, start_station_name,
                string_agg(near_station_name, '|' order by place) as nearby_stations
