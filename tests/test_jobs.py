@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from velometry.__main__ import main
 from velometry.operators import serving
@@ -86,3 +87,17 @@ def test_a_rerun_replaces_what_it_owns(spark, tmp_path):
     assert table() == [(1, 2015, "a")]
     replace_partitions(rows((8, 2017, "c")), path, ["year", "frame"])
     assert table() == [(8, 2017, "c")]
+
+
+def test_jobs_read_times_as_published_files_write_them(spark, tmp_path):
+    rides = fx.trips(spark, SF_DIR).limit(200)
+    text = {c: F.date_format(c, "M/d/yyyy HH:mm:ss") for c in ("starttime", "stoptime")}
+    write_table(rides.withColumns(text), str(tmp_path / "in"), "csv")
+    write_table(rides.withColumns({c: F.date_trunc("second", c).cast("timestamp_ntz") for c in text}), str(tmp_path / "typed"))
+    options = {"formats": ["M/d/yyyy HH:mm:ss"], "bad": "error", "zone": None}
+    jobs.popularity_tables(spark, str(tmp_path / "in"), str(tmp_path / "a"), None, "csv", **options)
+    jobs.popularity_tables(spark, str(tmp_path / "typed"), str(tmp_path / "b"))
+    found = [
+        sorted(map(str, spark.read.parquet(f"{tmp_path}/{x}/top_stations").collect())) for x in "ab"
+    ]
+    assert found[0] == found[1] != []

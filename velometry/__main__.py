@@ -32,20 +32,33 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--year", type=int)
     parser.add_argument("--first", type=int, help="only the earliest taxi trips")
     parser.add_argument("--format", default="parquet")
+    parser.add_argument(
+        "--time-format", action="append", default=[], help="pattern of text times; may be repeated"
+    )
+    parser.add_argument("--bad", choices=["error", "null"], default="error")
+    parser.add_argument("--zone", help="the city's zone, where times are instants")
     args = parser.parse_args(argv)
     absent = [f"--{name}" for name in NEEDS[args.job] if getattr(args, name) is None]
     if absent:
         parser.error(f"{args.job} needs {', '.join(absent)}")
+    reading = {"formats": args.time_format, "bad": args.bad, "zone": args.zone}
     spark = build_session()
     if args.job == "popularity":
-        jobs.popularity_tables(spark, args.trips, args.out, args.year, args.format)
+        jobs.popularity_tables(spark, args.trips, args.out, args.year, args.format, **reading)
     elif args.job == "stations":
-        jobs.station_tables(spark, args.trips, args.stations, args.out, args.format)
+        jobs.station_tables(spark, args.trips, args.stations, args.out, args.format, **reading)
     elif args.job == "balance":
-        jobs.balance_tables(spark, args.trips, args.stations, args.out, args.format)
+        jobs.balance_tables(spark, args.trips, args.stations, args.out, args.format, **reading)
     elif args.job == "slow-taxi":
         jobs.slow_taxi_table(
-            spark, args.trips, args.taxi, args.out, args.year, args.format, args.first
+            spark,
+            args.trips,
+            args.taxi,
+            args.out,
+            args.year,
+            args.format,
+            args.first,
+            **reading,
         )
     elif args.job == "placement":
         jobs.placement_tables(spark, args.out)

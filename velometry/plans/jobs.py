@@ -2,6 +2,8 @@
 
 A result that several later steps use is written first and read back, so a
 lost executor never sends a later step back to the raw trips.
+
+``reading`` are the options of ``read_trips`` and ``read_taxi``: ``formats``, ``bad``, ``zone``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,12 @@ def _stored(df: DataFrame, path: str, partition_by: str, owned: list | None = No
 
 
 def popularity_tables(
-    spark: SparkSession, trips: str, out: str, year: int | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    trips: str,
+    out: str,
+    year: int | None = None,
+    fmt: str = "parquet",
+    **reading,
 ) -> None:
     """``monthly_peak`` by year and ``top_stations`` by year and frame.
 
@@ -34,7 +41,7 @@ def popularity_tables(
     that the folder holds of that year and leaves other years; one without a year
     replaces everything.
     """
-    hourly = popularity.hourly_activity(read_trips(spark, trips, fmt), year)
+    hourly = popularity.hourly_activity(read_trips(spark, trips, fmt, **reading), year)
     owned = None if year is None else [year]
     hourly = _stored(hourly, f"{out}/hourly_activity", "year", owned)
     if year is not None:
@@ -46,20 +53,21 @@ def popularity_tables(
 
 
 def station_tables(
-    spark: SparkSession, trips: str, stations: str, out: str, fmt: str = "parquet"
+    spark: SparkSession, trips: str, stations: str, out: str, fmt: str = "parquet", **reading
 ) -> None:
     """``active_stations``."""
-    active = active_stations(read_stations(spark, stations, fmt), read_trips(spark, trips, fmt))
+    docks = read_stations(spark, stations, fmt, reading.get("bad", "error"))
+    active = active_stations(docks, read_trips(spark, trips, fmt, **reading))
     write_table(active, f"{out}/active_stations")
 
 
 def balance_tables(
-    spark: SparkSession, trips: str, stations: str, out: str, fmt: str = "parquet"
+    spark: SparkSession, trips: str, stations: str, out: str, fmt: str = "parquet", **reading
 ) -> None:
     """``hourly_net_flow``, ``shortage_hours``, ``overload_hours``, ``hourly_stock``
     and ``nearby_supply``, each by date."""
-    docks = read_stations(spark, stations, fmt)
-    flow = balance.hourly_net_flow(read_trips(spark, trips, fmt))
+    docks = read_stations(spark, stations, fmt, reading.get("bad", "error"))
+    flow = balance.hourly_net_flow(read_trips(spark, trips, fmt, **reading))
     flow = _stored(flow, f"{out}/hourly_net_flow", "date")
     short = _stored(balance.shortage_hours(flow, docks), f"{out}/shortage_hours", "date")
     over = _stored(balance.overload_hours(flow, docks), f"{out}/overload_hours", "date")
@@ -75,13 +83,14 @@ def slow_taxi_table(
     year: int,
     fmt: str = "parquet",
     first: int | None = None,
+    **reading,
 ) -> None:
     """``slow_taxi``: slow taxi trips no longer than the median bike trip of ``year``.
 
     ``first`` takes only that many taxi trips, the earliest.
     """
-    limit = taxi.median_trip_miles(taxi.od_pairs(read_trips(spark, trips, fmt), year))
-    short = taxi.short_trips(read_taxi(spark, taxi_trips, fmt, first), limit)
+    limit = taxi.median_trip_miles(taxi.od_pairs(read_trips(spark, trips, fmt, **reading), year))
+    short = taxi.short_trips(read_taxi(spark, taxi_trips, fmt, first, **reading), limit)
     write_table(taxi.slow_trips(short), f"{out}/slow_taxi")
 
 
