@@ -13,6 +13,7 @@ from velometry.sources import (
     read_table,
     read_taxi,
     read_trips,
+    refused_cells,
     write_table,
 )
 from velometry.sources.readers import first_trips
@@ -214,3 +215,65 @@ def test_cut_lineage_reads_from_the_checkpoint_folder(spark):
     assert "ExistingRDD" in cut._jdf.queryExecution().toString()
     folder = spark.sparkContext.getCheckpointDir()
     assert spark.conf.get("spark.checkpoint.dir") in folder
+
+
+def _faulty(tmp_path):
+    path = tmp_path / "in put"
+    path.mkdir()
+    names = TRIPS.fieldNames()
+    lines = [
+        "2016-05-02 09:00:00,2016-05-02 09:10:00,72.0,A,40.7,-74.0,3,B,40.8,-74.0",
+        "noon,2016-05-02 09:10:00,x,A,40.7,-74.0,3,B,40.8,-74.0",
+        "2016-05-02 09:00:00,,99999999999999999999,,,,,,,",
+        ",,,,,,,,,",
+    ]
+    (path / "t.csv").write_text("\n".join([",".join(names), *lines]) + "\n")
+    return str(path)
+
+
+def test_refused_rows_are_set_apart_with_their_reasons(spark, tmp_path):
+    apart = str(tmp_path / "apart")
+    path = _faulty(tmp_path)
+    for _ in range(2):  # a second run replaces the first
+        good = read_trips(spark, path, "csv", bad="refuse", refused_to=apart, max_refused=0.5)
+        assert good.schema == TRIPS
+        assert sorted(good.select("start_station_id", "end_station_name").collect(), key=str) == [
+            (72, "B"),
+            (None, None),
+        ]
+    cells = refused_cells(spark, apart)
+    assert rows(cells, "column", "cell", "reason") == [
+        ("start_station_id", "99999999999999999999", "not a whole number in range"),
+        ("start_station_id", "x", "not a whole number in range"),
+        ("starttime", "noon", "not a time"),
+    ]
+    noon = cells.filter("cell = 'noon'").first()
+    assert noon.file.endswith("t.csv")
+    assert '"starttime":"noon"' in noon.row and '"end_station_name":"B"' in noon.row
+
+
+def test_more_refused_rows_than_allowed_are_an_error(spark, tmp_path):
+    apart = str(tmp_path / "apart")
+    with pytest.raises(ValueError, match="2 of 4 rows"):
+        read_trips(spark, _faulty(tmp_path), "csv", bad="refuse", refused_to=apart)
+    assert refused_cells(spark, apart).count() == 3
+    with pytest.raises(ValueError, match="refused_to"):
+        read_trips(spark, str(tmp_path / "in put"), "csv", bad="refuse")
+
+
+def test_sifting_keeps_typed_and_renamed_columns(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(
+        "name,station_id,latitude,longitude,capacity,num_bikes_available\nA,72,40.7,-74.0,39,x\n"
+    )
+    apart = str(tmp_path / "apart")
+    found = read_stations(
+        spark, str(tmp_path / "s.csv"), "csv", bad="refuse", refused_to=apart, max_refused=1
+    )
+    assert found.schema == STATIONS and found.count() == 0
+    cell = refused_cells(spark, apart).first()
+    assert (cell.column, cell.cell) == ("num_bikes_available", "x")
+    assert '"station_id":"72"' in cell.row
+    # A table that is typed already has nothing to refuse; an empty one is no error.
+    write_table(trips(spark, RIDE).limit(0), str(tmp_path / "typed"))
+    none = read_trips(spark, str(tmp_path / "typed"), bad="refuse", refused_to=apart, max_refused=0)
+    assert none.count() == 0 and refused_cells(spark, apart).count() == 0

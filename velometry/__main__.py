@@ -35,13 +35,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--time-format", action="append", default=[], help="pattern of text times; may be repeated"
     )
-    parser.add_argument("--bad", choices=["error", "null"], default="error")
+    parser.add_argument("--bad", choices=["error", "null", "refuse"], default="error")
+    parser.add_argument(
+        "--max-refused", type=float, default=0.01, help="share of rows that may be refused"
+    )
     parser.add_argument("--zone", help="the city's zone, where times are instants")
     args = parser.parse_args(argv)
     absent = [f"--{name}" for name in NEEDS[args.job] if getattr(args, name) is None]
     if absent:
         parser.error(f"{args.job} needs {', '.join(absent)}")
-    reading = {"formats": args.time_format, "bad": args.bad, "zone": args.zone}
+    reading = {
+        "formats": args.time_format,
+        "bad": args.bad,
+        "zone": args.zone,
+        "max_refused": args.max_refused,
+    }
     spark = build_session()
     if args.job == "popularity":
         jobs.popularity_tables(spark, args.trips, args.out, args.year, args.format, **reading)

@@ -91,6 +91,25 @@ def text_times(spark, sf):
     return read.select("starttime", "stoptime", "start_station_id", "start_station_latitude")
 
 
+def _sifted(spark, sf):
+    return readers.sifted(fx.faulty_trips(spark, sf), TRIPS, formats=["dd/MM/yyyy HH:mm:ss"])
+
+
+@query
+def refused_cells(spark, sf):
+    cells = readers.cells_of(_sifted(spark, sf))
+    raw = F.from_json("row", "stoptime string, end_station_name string")
+    return cells.select("column", "cell", "reason", raw.alias("r")).select(
+        "column", "cell", "reason", "r.*"
+    )
+
+
+@query
+def accepted_trips(spark, sf):
+    rows = _sifted(spark, sf).filter("refusal is null")
+    return rows.select("starttime", "stoptime", "start_station_id", "start_station_latitude")
+
+
 @query
 def trips_in_year(spark, sf):
     chosen = fx.trips_long(spark, sf).filter(in_year("stoptime", fx.POPULAR_YEAR))

@@ -183,3 +183,20 @@ def text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "start_station_latitude": F.col("start_station_latitude").cast("string"),
         }
     )
+
+
+def faulty_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``text_trips`` with cells that cannot be read: a word for a time, a note behind a
+    number, a decimal comma; some rows have several."""
+    return text_trips(spark, sf_dir).withColumns(
+        {
+            "starttime": F.expr("if(starttime like '%:13', 'noon', starttime)"),
+            "start_station_id": F.expr(
+                "if(start_station_id = '7.0', '7.0 (closed)', start_station_id)"
+            ),
+            "start_station_latitude": F.expr(
+                "if(stoptime like '%3:_5', replace(start_station_latitude, '.', ','), "
+                "start_station_latitude)"
+            ),
+        }
+    )

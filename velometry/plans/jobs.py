@@ -3,7 +3,9 @@
 A result that several later steps use is written first and read back, so a
 lost executor never sends a later step back to the raw trips.
 
-``reading`` are the options of ``read_trips`` and ``read_taxi``: ``formats``, ``bad``, ``zone``.
+``reading`` are the options of ``read_trips`` and ``read_taxi``: ``formats``, ``bad``, ``zone``
+and ``max_refused``.  With ``bad="refuse"`` a typed copy of each input stays in ``sifted``, and
+``refused_cells`` reads the rows that could not be read from there.
 """
 
 from __future__ import annotations
@@ -27,6 +29,22 @@ def _stored(df: DataFrame, path: str, partition_by: str, owned: list | None = No
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _options(reading: dict, out: str, table: str) -> dict:
+    if reading.get("bad") != "refuse":
+        return reading
+    return reading | {"refused_to": f"{out}/sifted/{table}"}
+
+
+def _trips(spark: SparkSession, path: str, out: str, fmt: str, reading: dict) -> DataFrame:
+    return read_trips(spark, path, fmt, **_options(reading, out, "trips"))
+
+
+def _docks(spark: SparkSession, path: str, out: str, fmt: str, reading: dict) -> DataFrame:
+    options = _options(reading, out, "stations")
+    known = {k: v for k, v in options.items() if k in ("bad", "refused_to", "max_refused")}
+    return read_stations(spark, path, fmt, **known)
+
+
 def popularity_tables(
     spark: SparkSession,
     trips: str,
@@ -41,7 +59,7 @@ def popularity_tables(
     that the folder holds of that year and leaves other years; one without a year
     replaces everything.
     """
-    hourly = popularity.hourly_activity(read_trips(spark, trips, fmt, **reading), year)
+    hourly = popularity.hourly_activity(_trips(spark, trips, out, fmt, reading), year)
     owned = None if year is None else [year]
     hourly = _stored(hourly, f"{out}/hourly_activity", "year", owned)
     if year is not None:
@@ -56,8 +74,8 @@ def station_tables(
     spark: SparkSession, trips: str, stations: str, out: str, fmt: str = "parquet", **reading
 ) -> None:
     """``active_stations``."""
-    docks = read_stations(spark, stations, fmt, reading.get("bad", "error"))
-    active = active_stations(docks, read_trips(spark, trips, fmt, **reading))
+    docks = _docks(spark, stations, out, fmt, reading)
+    active = active_stations(docks, _trips(spark, trips, out, fmt, reading))
     write_table(active, f"{out}/active_stations")
 
 
@@ -66,8 +84,8 @@ def balance_tables(
 ) -> None:
     """``hourly_net_flow``, ``shortage_hours``, ``overload_hours``, ``hourly_stock``
     and ``nearby_supply``, each by date."""
-    docks = read_stations(spark, stations, fmt, reading.get("bad", "error"))
-    flow = balance.hourly_net_flow(read_trips(spark, trips, fmt, **reading))
+    docks = _docks(spark, stations, out, fmt, reading)
+    flow = balance.hourly_net_flow(_trips(spark, trips, out, fmt, reading))
     flow = _stored(flow, f"{out}/hourly_net_flow", "date")
     short = _stored(balance.shortage_hours(flow, docks), f"{out}/shortage_hours", "date")
     over = _stored(balance.overload_hours(flow, docks), f"{out}/overload_hours", "date")
@@ -89,8 +107,9 @@ def slow_taxi_table(
 
     ``first`` takes only that many taxi trips, the earliest.
     """
-    limit = taxi.median_trip_miles(taxi.od_pairs(read_trips(spark, trips, fmt, **reading), year))
-    short = taxi.short_trips(read_taxi(spark, taxi_trips, fmt, first, **reading), limit)
+    pairs = taxi.od_pairs(_trips(spark, trips, out, fmt, reading), year)
+    rides = read_taxi(spark, taxi_trips, fmt, first, **_options(reading, out, "taxi"))
+    short = taxi.short_trips(rides, taxi.median_trip_miles(pairs))
     write_table(taxi.slow_trips(short), f"{out}/slow_taxi")
 
 

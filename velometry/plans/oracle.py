@@ -64,6 +64,10 @@ _CTES = {
                0.3::double * (l_partkey % 2) as imp_surcharge
         from (select *, cast(60 + (l_partkey * 13 + l_orderkey * 7) % 3600 as double) as travel_time
               from items)""",
+    "faulty": """
+        select *, second(starttime) = 13 as bad_time, sid = 7 as bad_station,
+               strftime(stoptime, '%S')[2] = '5' and strftime(stoptime, '%M')[2] = '3' as bad_place
+        from trips""",
     # popularity: one row per trip end
     "ends_long": """
         select 'start' as direction, s_name as name, s_lat as latitude, s_lon as longitude,
@@ -396,6 +400,23 @@ _SELECTS = {
                date_trunc('second', stoptime) as stoptime,
                sid as start_station_id, s_lat as start_station_latitude
         from trips""",
+    "refused_cells": """
+        select 'starttime' as "column", 'noon' as cell, 'not a time' as reason,
+               strftime(stoptime, '%Y-%m-%d %H:%M:%S') as stoptime, e_name as end_station_name
+        from faulty where bad_time
+        union all
+        select 'start_station_id', '7.0 (closed)', 'not a whole number in range',
+               strftime(stoptime, '%Y-%m-%d %H:%M:%S'), e_name
+        from faulty where bad_station
+        union all
+        select 'start_station_latitude', replace(cast(s_lat as varchar), '.', ','), 'not a number',
+               strftime(stoptime, '%Y-%m-%d %H:%M:%S'), e_name
+        from faulty where bad_place""",
+    "accepted_trips": """
+        select date_trunc('second', starttime) as starttime,
+               date_trunc('second', stoptime) as stoptime,
+               sid as start_station_id, s_lat as start_station_latitude
+        from faulty where not (bad_time or bad_station or bad_place)""",
     "recommend_zones": """
         select k, round(latitude, 6) as latitude, round(longitude, 6) as longitude
         from zone_centres""",

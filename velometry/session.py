@@ -7,13 +7,15 @@ from pyspark.sql import SparkSession
 # Joins carry no broadcast hints except for single rows: a side is broadcast
 # only where its known or measured size is below Spark's threshold, and is
 # shuffled otherwise.  Adaptive execution splits skewed partitions and merges
-# small ones, so the number of shuffle partitions may be generous.
+# small ones, so the number of shuffle partitions may be generous.  Two open files
+# spare the sort before a write into two folders (accepted and refused rows).
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

@@ -1,4 +1,4 @@
-from .readers import read_stations, read_table, read_taxi, read_trips
+from .readers import read_stations, read_table, read_taxi, read_trips, refused_cells
 from .text import parse_centres, parse_name_list
 from .writers import cut_lineage, replace_partitions, write_table
 
@@ -10,6 +10,7 @@ __all__ = [
     "read_table",
     "read_taxi",
     "read_trips",
+    "refused_cells",
     "replace_partitions",
     "write_table",
 ]

@@ -17,7 +17,7 @@ from velometry.functions.numbering import numbered
 from velometry.functions.quantile import nth_place
 from velometry.functions.timeparts import seconds_between
 from velometry.schemas import DERIVABLE, STATIONS, TAXI, TRIPS
-from velometry.sources.writers import cut_lineage
+from velometry.sources.writers import cut_lineage, write_table
 
 # Names of the station feed that differ from ours.
 STATION_RENAMES = {"station_id": "id", "region_id": "rid"}
@@ -48,23 +48,32 @@ def _time(text: Column, formats: Sequence[str]) -> Column:
     return F.coalesce(*parsed, text.try_cast("timestamp_ntz"))
 
 
+# Why a cell of a type cannot be read.
+_NOT_A = {
+    T.TimestampNTZType: "not a time",
+    T.LongType: "not a whole number in range",
+    T.IntegerType: "not a whole number in range",
+    T.DoubleType: "not a number",
+}
+
+
 def _typed(
     name: str,
     have: T.DataType,
     want: T.DataType,
-    bad: str,
     formats: Sequence[str],
     zone: str | None,
-) -> Column:
+) -> tuple[Column, Column | None]:
+    """The typed column, and when its cell cannot be read (None: each one can)."""
     column = F.col(f"`{name}`")
     if have == want:
-        return column
+        return column, None
     if isinstance(have, T.TimestampType) and isinstance(want, T.TimestampNTZType):
         if zone is None:
             raise ValueError(f"{name} is an instant; name the city's zone to get its clock")
-        return F.convert_timezone(F.lit("UTC"), F.lit(zone), _wall_clock(column))
+        return F.convert_timezone(F.lit("UTC"), F.lit(zone), _wall_clock(column)), None
     if not isinstance(have, T.StringType):
-        return column.cast(want)
+        return column.cast(want), None
     if isinstance(want, T.TimestampNTZType):
         read = _time(column, formats)
     elif isinstance(want, T.IntegralType):
@@ -72,12 +81,25 @@ def _typed(
         read = column.try_cast("decimal(24,4)").try_cast(want)
     else:
         read = column.try_cast(want)
-    if bad == "null":
-        return read
-    message = F.concat(F.lit(f"unreadable {name}: "), column)
-    return F.when(column.isNotNull() & read.isNull(), F.raise_error(message).cast(want)).otherwise(
-        read
-    )
+    return read, column.isNotNull() & read.isNull()
+
+
+def _columns(
+    df: DataFrame, schema: T.StructType, formats: Sequence[str], zone: str | None
+) -> dict[str, tuple[Column, Column | None]]:
+    """``_typed`` of each column of ``schema``; those that no operator needs may be absent."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    absent = [f.name for f in schema.fields if f.name not in have and f.name not in DERIVABLE]
+    if absent:
+        raise ValueError(f"missing columns: {', '.join(absent)}")
+    return {
+        f.name: (
+            _typed(f.name, have[f.name], f.dataType, formats, zone)
+            if f.name in have
+            else (F.lit(None).cast(f.dataType), None)
+        )
+        for f in schema.fields
+    }
 
 
 def conform(
@@ -90,32 +112,137 @@ def conform(
 ) -> DataFrame:
     """``df`` with exactly the columns and types of ``schema``.
 
-    A text cell that cannot be read is an error, or null with ``bad="null"``.
-    Text times are tried in ``formats`` (Spark's patterns, such as
-    ``M/d/yyyy HH:mm:ss``) and then in ISO form.  Times that are instants are
-    refused unless ``zone`` names the city's zone.  A missing column is an
-    error, except for the few that no operator needs.
+    A text cell that cannot be read is an error, or null with ``bad="null"``;
+    ``sifted`` keeps such rows apart.  Text times are tried in ``formats`` (Spark's
+    patterns, such as ``M/d/yyyy HH:mm:ss``) and then in ISO form.  Times that are
+    instants are refused unless ``zone`` names the city's zone.  A missing column is
+    an error, except for the few that no operator needs.
     """
     if bad not in ("error", "null"):
         raise ValueError("bad must be 'error' or 'null'")
     df = df.withColumnsRenamed(renames or {})
-    have = {f.name: f.dataType for f in df.schema.fields}
-    missing = [f.name for f in schema.fields if f.name not in have]
-    absent = [name for name in missing if name not in DERIVABLE]
-    if absent:
-        raise ValueError(f"missing columns: {', '.join(absent)}")
-    return df.select(
-        *(
-            (
-                F.lit(None).cast(f.dataType)
-                if f.name in missing
-                else _typed(f.name, have[f.name], f.dataType, bad, formats, zone)
-            ).alias(f.name)
-            for f in schema.fields
+    found = []
+    for name, (read, unread) in _columns(df, schema, formats, zone).items():
+        if unread is not None and bad == "error":
+            message = F.concat(F.lit(f"unreadable {name}: "), F.col(f"`{name}`"))
+            error = F.raise_error(message).cast(schema[name].dataType)
+            read = F.when(unread, error).otherwise(read)
+        found.append(read.alias(name))
+    return df.select(*found)
+
+
+def sifted(
+    df: DataFrame,
+    schema: T.StructType,
+    renames: dict[str, str] | None = None,
+    formats: Sequence[str] = (),
+    zone: str | None = None,
+) -> DataFrame:
+    """``conform`` with a further column, ``refusal``: null for a row that can be read.
+
+    For one with cells that cannot it holds the ``file``, the whole row as JSON (``row``),
+    and the ``column``, ``cell`` and ``reason`` of each such cell (``cells``).
+    """
+    raw = list(df.columns)
+    df = df.withColumnsRenamed(renames or {})
+    columns = _columns(df, schema, formats, zone)
+    cells = [
+        F.when(
+            unread,
+            F.struct(
+                F.lit(name).alias("column"),
+                F.col(f"`{name}`").alias("cell"),
+                F.lit(_NOT_A[type(schema[name].dataType)]).alias("reason"),
+            ),
         )
+        for name, (_, unread) in columns.items()
+        if unread is not None
+    ]
+    none = F.lit(None).cast("array<struct<column: string, cell: string, reason: string>>")
+    refused = F.array_compact(F.array(*cells)) if cells else none
+    whole = F.struct(*(F.col(f"`{new}`").alias(old) for old, new in zip(raw, df.columns)))
+    refusal = F.struct(
+        F.nullif(F.input_file_name(), F.lit("")).alias("file"),
+        F.to_json(whole).alias("row"),
+        F.col("__cells").alias("cells"),
+    )
+    typed = [read.alias(name) for name, (read, _) in columns.items()]
+    return df.withColumn("__cells", refused).select(
+        *typed, F.when(F.size("__cells") > 0, refusal).alias("refusal")
     )
 
 
+def sift(
+    df: DataFrame,
+    schema: T.StructType,
+    path: str,
+    max_refused: float,
+    renames: dict[str, str] | None = None,
+    formats: Sequence[str] = (),
+    zone: str | None = None,
+) -> DataFrame:
+    """The rows of ``df`` that can be read, by one scan that stores both kinds in ``path``.
+
+    Later steps read the typed copy there and not ``df``; ``refused_cells`` reads the rest.
+    If more than the share ``max_refused`` of all rows is refused, that is an error, and
+    the stored rows stay for inspection.  A CSV row with too few cells is one with nulls, as
+    everywhere in Spark.
+    """
+    kept = F.col("refusal").isNull().alias("accepted")
+    both = sifted(df, schema, renames, formats, zone)
+    write_table(
+        both.select("*", kept), path, partition_by=["accepted"], replace_all=True, rebalance=False
+    )
+    rows = _sifted_table(df.sparkSession, path, both.schema)
+    refused = rows.filter("not accepted").count()
+    total = refused + rows.filter("accepted").count()
+    if refused > max_refused * total:
+        raise ValueError(f"{refused} of {total} rows cannot be read; see {path}")
+    return rows.filter("accepted").select(*schema.fieldNames())
+
+
+def _sifted_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    whole = T.StructType([*schema.fields, T.StructField("accepted", T.BooleanType())])
+    return spark.read.schema(whole).parquet(path)
+
+
+_REFUSAL = (
+    "refusal struct<file: string, row: string, "
+    "cells: array<struct<column: string, cell: string, reason: string>>>"
+)
+
+
+def refused_cells(spark: SparkSession, path: str) -> DataFrame:
+    """One row per cell that ``sift`` could not read: ``file, row, column, cell, reason``."""
+    schema = T.StructType.fromDDL(_REFUSAL)
+    return cells_of(_sifted_table(spark, path, schema).filter("not accepted"))
+
+
+def cells_of(rows: DataFrame) -> DataFrame:
+    """``refused_cells`` of rows with a ``refusal``."""
+    cells = rows.filter("refusal is not null").select(
+        "refusal.file", "refusal.row", F.explode("refusal.cells").alias("c")
+    )
+    return cells.select("file", "row", "c.column", "c.cell", "c.reason")
+
+
+def _conformed(
+    raw: DataFrame,
+    schema: T.StructType,
+    renames: dict[str, str] | None = None,
+    bad: str = "error",
+    formats: Sequence[str] = (),
+    zone: str | None = None,
+    refused_to: str | None = None,
+    max_refused: float = 0.01,
+) -> DataFrame:
+    if bad != "refuse":
+        return conform(raw, schema, renames, bad, formats, zone)
+    if refused_to is None:
+        raise ValueError("bad='refuse' needs a folder, refused_to")
+    return sift(raw, schema, refused_to, max_refused, renames, formats, zone)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -142,18 +269,33 @@ def read_trips(
     bad: str = "error",
     formats: Sequence[str] = (),
     zone: str | None = None,
+    refused_to: str | None = None,
+    max_refused: float = 0.01,
     **options: str,
 ) -> DataFrame:
-    """Bike trips, one row per ride; ``bad``, ``formats`` and ``zone`` as in ``conform``."""
+    """Bike trips, one row per ride; ``bad``, ``formats`` and ``zone`` as in ``conform``.
+
+    With ``bad="refuse"`` rows that cannot be read are set apart in ``refused_to``, as in
+    ``sift``; this reads the table at once.
+    """
     raw = read_table(spark, path, fmt, **options)
-    return conform(raw, TRIPS, bad=bad, formats=formats, zone=zone)
+    return _conformed(raw, TRIPS, None, bad, formats, zone, refused_to, max_refused)
 
 
 def read_stations(
-    spark: SparkSession, path: str, fmt: str = "parquet", bad: str = "error", **options: str
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    bad: str = "error",
+    refused_to: str | None = None,
+    max_refused: float = 0.01,
+    **options: str,
 ) -> DataFrame:
     """Bike stations with their capacity and a snapshot of their stock."""
-    return project_stations(read_table(spark, path, fmt, **options), bad)
+    raw = read_table(spark, path, fmt, **options)
+    return _conformed(
+        raw, STATIONS, STATION_RENAMES, bad, refused_to=refused_to, max_refused=max_refused
+    )
 
 
 def project_stations(raw: DataFrame, bad: str = "error") -> DataFrame:
@@ -175,11 +317,13 @@ def read_taxi(
     bad: str = "error",
     formats: Sequence[str] = (),
     zone: str | None = None,
+    refused_to: str | None = None,
+    max_refused: float = 0.01,
     **options: str,
 ) -> DataFrame:
     """Taxi trips.  ``first`` keeps that many of them, earliest pickups first."""
     raw = read_table(spark, path, fmt, **options)
-    taxi = conform(raw, TAXI, bad=bad, formats=formats, zone=zone)
+    taxi = _conformed(raw, TAXI, None, bad, formats, zone, refused_to, max_refused)
     if "travel_time" not in raw.columns:
         taxi = with_travel_time(taxi)
     return taxi if first is None else first_trips(taxi, first)

@@ -18,6 +18,8 @@ def write_table(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     single_file: bool = False,
+    replace_all: bool = False,
+    rebalance: bool = True,
     **options: str,
 ) -> None:
     """Write ``df`` from the executors.
@@ -25,8 +27,9 @@ def write_table(
     With ``partition_by`` the rows are first rebalanced on those columns, so
     that each directory gets few files while a hot one is still split over
     several tasks; an overwrite replaces only the partitions that ``df`` has,
-    so that runs over other years stay.  ``single_file`` is meant for small
-    reports.  CSV cannot hold arrays, so there they become JSON text.
+    so that runs over other years stay, unless ``replace_all``.  Without ``rebalance``
+    rows are written where they are, which suits few partitions.  ``single_file`` is
+    meant for small reports.  CSV cannot hold arrays, so there they become JSON text.
     """
     if fmt == "csv":
         options = {"header": "true", **options}
@@ -39,12 +42,12 @@ def write_table(
         )
     if single_file:
         df = df.repartition(1)  # only the file itself is written by one task
-    elif partition_by:
+    elif partition_by and rebalance:
         df = df.hint("rebalance", *map(F.col, partition_by))
     writer = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
     writer.save(path)
 
 
@@ -53,7 +56,7 @@ def replace_partitions(
 ) -> None:
     """Write ``df`` in place of all that an earlier run left for what this run owns.
 
-    ``owned`` lists values of the first partition column; without it the run owns the
+    ``owned`` lists values of the first partition column, None for null; without it the run owns the
     whole table.  The rows are first written aside, in a folder that readers skip, and
     then swapped in: a run that fails leaves the old rows, and partitions that it no
     longer yields go.  Rows outside ``owned`` are an error.  While folders are swapped a
@@ -61,7 +64,10 @@ def replace_partitions(
     """
     spark, column = df.sparkSession, partition_by[0]
     if owned is not None:
-        inside = F.col(column).isin(*owned)
+        named = [value for value in owned if value is not None]
+        inside = F.col(column).isin(*named) if named else F.lit(False)
+        if None in owned:
+            inside = inside | F.col(column).isNull()
         refused = F.raise_error(F.lit(f"{column} is not owned by this run"))
         df = df.withColumn(
             column, F.when(inside, F.col(column)).otherwise(refused.cast(df.schema[column].dataType))
@@ -75,7 +81,10 @@ def replace_partitions(
         found = (s.getPath() for s in files.listStatus(to_path(folder)))
         return {p.getName(): p for p in found if p.getName().startswith(f"{column}=")}
 
-    names = None if owned is None else {f"{column}={value}" for value in owned}
+    missing = "__HIVE_DEFAULT_PARTITION__"
+    names = None
+    if owned is not None:
+        names = {f"{column}={missing if value is None else value}" for value in owned}
     for name, old in parts(path).items():
         if names is None or name in names:
             files.delete(old, True)
