@@ -5,7 +5,8 @@ from velometry.__main__ import main
 from velometry.operators import serving
 from velometry.plans import fixtures as fx
 from velometry.plans import jobs
-from velometry.sources import replace_partitions, write_table
+from velometry.schemas import TRIPS
+from velometry.sources import read_table, readers, refused_cells, replace_partitions, write_table
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -101,3 +102,92 @@ def test_jobs_read_times_as_published_files_write_them(spark, tmp_path):
         sorted(map(str, spark.read.parquet(f"{tmp_path}/{x}/top_stations").collect())) for x in "ab"
     ]
     assert found[0] == found[1] != []
+
+
+POPULARITY = ("monthly_peak", "top_stations", "hourly_activity")
+
+
+def _results(spark, out):
+    tables = {t: spark.read.parquet(f"{out}/{t}") for t in POPULARITY}
+    return {t: sorted(map(str, df.select(sorted(df.columns)).collect())) for t, df in tables.items()}
+
+
+def test_late_files_are_added_to_the_counts_once(spark, tmp_path):
+    root, out, whole = (str(tmp_path / x) for x in ("all trips [x]", "out", "whole"))
+    rides = fx.trips_long(spark, SF_DIR)
+    parts = [
+        rides.filter("year(stoptime) < 1997"),
+        rides.filter("year(stoptime) = 1996 or stoptime is null").limit(500),
+        rides.filter("year(stoptime) >= 1997").withColumn(
+            "stoptime", F.expr("if(start_station_id % 50 = 0, null, stoptime)")
+        ),
+    ]
+    for i, part in enumerate(parts):
+        write_table(part.coalesce(2), f"{root}/{i}")
+    root = root.replace("[x]", "*")
+    assert len(jobs.add_trip_files(spark, f"{root}/0", out)) > 0
+    old = _results(spark, out)
+    assert jobs.add_trip_files(spark, f"{root}/0", out) == []
+    assert _results(spark, out) == old
+    assert len(jobs.add_trip_files(spark, f"{root}/1", out)) > 0
+    # Files of all folders: only those of the last are new.
+    added = jobs.add_trip_files(spark, f"{root}/*", out)
+    assert added and all("/2/" in f for f in added)
+    jobs.popularity_tables(spark, f"{root}/*", whole)
+    assert _results(spark, out) == _results(spark, whole)
+    with pytest.raises(ValueError, match="grows by files"):
+        jobs.popularity_tables(spark, f"{root}/0", out)
+    with pytest.raises(ValueError, match="whole runs"):
+        jobs.add_trip_files(spark, f"{root}/0", whole)
+
+
+def test_a_failed_addition_is_made_good_by_the_next(spark, tmp_path, monkeypatch):
+    root, out, whole = (str(tmp_path / x) for x in ("in", "out", "whole"))
+    rides = fx.trips_long(spark, SF_DIR).filter("year(stoptime) in (1996, 1997)")
+    for i in range(2):
+        write_table(rides.filter(f"start_station_id % 2 = {i}").coalesce(1), f"{root}/{i}")
+    with monkeypatch.context() as patch:
+        def fail(*_):
+            raise RuntimeError("lost")
+
+        patch.setattr(jobs.popularity, "top_from_hourly", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.add_trip_files(spark, f"{root}/0", out)
+    # hourly_activity is there, its files are not recorded.
+    added = jobs.add_trip_files(spark, f"{root}/*", out)
+    assert len(added) == 2
+    jobs.popularity_tables(spark, f"{root}/*", whole)
+    assert _results(spark, out) == _results(spark, whole)
+
+
+@pytest.fixture
+def job_session(spark, monkeypatch):
+    """The session with the settings of jobs, as far as results depend on them."""
+    monkeypatch.setattr("velometry.__main__.build_session", lambda: spark)
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    yield spark
+    spark.conf.unset("spark.sql.timestampType")
+
+
+def test_a_job_sets_refused_rows_apart(job_session, tmp_path):
+    spark = job_session
+    write_table(fx.faulty_trips(spark, SF_DIR).limit(300), str(tmp_path / "in"), "csv")
+    out = str(tmp_path / "out")
+    args = ["popularity", "--trips", str(tmp_path / "in"), "--format", "csv", "--out", out]
+    times = ["--time-format", "dd/MM/yyyy HH:mm:ss", "--bad", "refuse"]
+    with pytest.raises(ValueError, match="of 300 rows cannot be read"):
+        jobs.popularity_tables(
+            spark, str(tmp_path / "in"), out, None, "csv",
+            formats=["dd/MM/yyyy HH:mm:ss"], bad="refuse", max_refused=0.0,
+        )
+    main([*args, *times, "--max-refused", "0.9"])
+    counted = spark.read.parquet(f"{out}/hourly_activity").agg(F.sum("count")).first()[0]
+    refused = refused_cells(spark, f"{out}/sifted/trips").select("row").distinct().count()
+    assert 0 < refused < 300 and counted == 2 * (300 - refused)
+    # Both kinds of session read the same times.
+    sifted = spark.read.parquet(f"{out}/sifted/trips").filter("accepted = 'true'")
+    spark.conf.unset("spark.sql.timestampType")
+    raw = read_table(spark, str(tmp_path / "in"), "csv")
+    again = readers.conform(raw, TRIPS, bad="null", formats=["dd/MM/yyyy HH:mm:ss"])
+    times = ["starttime", "stoptime"]
+    assert sifted.select(times).exceptAll(again.select(times)).count() == 0

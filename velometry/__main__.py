@@ -14,6 +14,7 @@ from velometry.session import build_session
 # What each job cannot do without.
 NEEDS = {
     "popularity": ("trips",),
+    "add-trips": ("trips",),
     "stations": ("trips", "stations"),
     "balance": ("trips", "stations"),
     "slow-taxi": ("trips", "taxi", "year"),
@@ -53,6 +54,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if args.job == "popularity":
         jobs.popularity_tables(spark, args.trips, args.out, args.year, args.format, **reading)
+    elif args.job == "add-trips":
+        added = jobs.add_trip_files(spark, args.trips, args.out, args.format, **reading)
+        print(f"{len(added)} files counted")
     elif args.job == "stations":
         jobs.station_tables(spark, args.trips, args.stations, args.out, args.format, **reading)
     elif args.job == "balance":

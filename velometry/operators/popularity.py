@@ -110,6 +110,15 @@ def hourly_activity(trips: DataFrame, year: int | None = None) -> DataFrame:
     return _counts(trips, keys)
 
 
+def merge_hourly(*parts: DataFrame) -> DataFrame:
+    """``hourly_activity`` of all trips out of those of parts of them, in any number."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    keys = ("year", "month", "hour", "direction", *PLACE)
+    return whole.groupBy(*keys).agg(F.sum("count").alias("count"))
+
+
 def activity_from_hourly(hourly: DataFrame) -> DataFrame:
     """``station_activity`` out of ``hourly_activity``."""
     keys = ("year", "month", "direction", *PLACE)

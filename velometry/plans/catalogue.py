@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velometry.functions.sketch import rank_error
 from velometry.functions.timeparts import MONTHS, in_year, month_name, month_number, with_trip_parts
 from velometry.operators import (
     balance,
@@ -131,6 +132,15 @@ def station_activity_combined(spark, sf):
     )
 
 
+@query
+def hourly_activity_merged(spark, sf):
+    rides = fx.trips_long(spark, sf)
+    late = F.month("starttime") % 3 == 0
+    early = popularity.hourly_activity(rides.filter(~late))
+    whole = popularity.merge_hourly(early, popularity.hourly_activity(rides.filter(late)))
+    return whole.drop("direction")
+
+
 def _peak(spark, sf, year=None):
     return popularity.monthly_peak(popularity.station_activity(fx.trips_long(spark, sf), year))
 
@@ -522,6 +532,24 @@ def slow_velocity(spark, sf):
     return limit.select(F.round("quantile", 9).alias("velocity"))
 
 
+@query
+def velocity_sketches(spark, sf):
+    # A year's sketch cannot be compared, but what it promises can: its quantile's rank.
+    stored = taxi.velocity_sketches(_short_taxi(spark, sf))
+    found = stored.select(
+        "year", "n", F.kll_sketch_get_quantile_double("sketch", F.lit(0.2)).alias("limit")
+    )
+    moving = taxi.with_velocity(_short_taxi(spark, sf)).filter("velocity is not null")
+    ranked = moving.withColumn("year", F.year("pickup_datetime")).join(found, "year")
+    v, slack = F.col("velocity"), 2 * rank_error()
+    return ranked.groupBy("year", "n").agg(
+        (
+            (F.count_if(v < F.col("limit")) <= (0.2 + slack) * F.col("n"))
+            & (F.count_if(v <= F.col("limit")) >= (0.2 - slack) * F.col("n"))
+        ).alias("within")
+    )
+
+
 # --- placement ----------------------------------------------------------------
 
 

@@ -10,13 +10,19 @@ and ``max_refused``.  With ``bad="refuse"`` a typed copy of each input stays in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velometry.operators import balance, duration, placement, popularity, supply, taxi
 from velometry.operators.stations import active_stations
 from velometry.sources import (
+    path_exists,
     read_stations,
+    read_table,
     read_taxi,
     read_trips,
     replace_partitions,
@@ -35,7 +41,9 @@ def _options(reading: dict, out: str, table: str) -> dict:
     return reading | {"refused_to": f"{out}/sifted/{table}"}
 
 
-def _trips(spark: SparkSession, path: str, out: str, fmt: str, reading: dict) -> DataFrame:
+def _trips(
+    spark: SparkSession, path: str | list[str], out: str, fmt: str, reading: dict
+) -> DataFrame:
     return read_trips(spark, path, fmt, **_options(reading, out, "trips"))
 
 
@@ -57,17 +65,67 @@ def popularity_tables(
 
     The trips are read once, for ``hourly_activity``.  A run for a year replaces all
     that the folder holds of that year and leaves other years; one without a year
-    replaces everything.
+    replaces everything.  A folder of ``add_trip_files`` is refused.
     """
+    if path_exists(spark, f"{out}/activity_batches"):
+        raise ValueError(f"{out} grows by files; add them or take another folder")
     hourly = popularity.hourly_activity(_trips(spark, trips, out, fmt, reading), year)
-    owned = None if year is None else [year]
-    hourly = _stored(hourly, f"{out}/hourly_activity", "year", owned)
-    if year is not None:
-        hourly = hourly.filter(F.col("year") == year)
+    _write_popularity(hourly, out, None if year is None else [year])
+
+
+def _write_popularity(hourly: DataFrame, out: str, years: list | None) -> None:
+    hourly = _stored(hourly, f"{out}/hourly_activity", "year", years)
+    if years is not None:
+        hourly = hourly.filter(_in_years(years))
     peak = popularity.monthly_peak(popularity.activity_from_hourly(hourly))
-    replace_partitions(peak, f"{out}/monthly_peak", ["year"], owned)
+    replace_partitions(peak, f"{out}/monthly_peak", ["year"], years)
     top = popularity.top_from_hourly(hourly)
-    replace_partitions(top, f"{out}/top_stations", ["year", "frame"], owned)
+    replace_partitions(top, f"{out}/top_stations", ["year", "frame"], years)
+
+
+def _in_years(years: list) -> Column:
+    named = F.col("year").isin(*(y for y in years if y is not None))
+    return F.coalesce(named, F.lit(False)) | (F.col("year").isNull() & F.lit(None in years))
+
+
+def add_trip_files(
+    spark: SparkSession, trips: str, out: str, fmt: str = "parquet", **reading
+) -> list[str]:
+    """Count the files under ``trips`` that ``out`` has not counted yet; returns them.
+
+    Only those files are read.  Their counts are one batch of ``activity_batches``, and the
+    tables of ``popularity_tables`` are made again from all batches, for the years that the
+    batch has.  ``counted_files`` records the files last of all: after a run that failed the
+    next one counts its files again and leaves the unrecorded batch out.  A file is known
+    by its path, so new contents under an old path are not seen.
+    """
+    recorded, path = f"{out}/counted_files", f"{out}/activity_batches"
+    whole_runs = path_exists(spark, f"{out}/hourly_activity") and not path_exists(spark, path)
+    if whole_runs:
+        raise ValueError(f"{out} was filled by whole runs; add files to another folder")
+    known, batches = set(), []
+    if path_exists(spark, recorded):
+        rows = spark.read.schema("file string, batch string").parquet(recorded).collect()
+        known, batches = {r.file for r in rows}, sorted({r.batch for r in rows})
+    new = sorted(set(read_table(spark, trips, fmt).inputFiles()) - known)
+    if not new:
+        return []
+    batch = "b" + hashlib.sha256("\n".join(new).encode()).hexdigest()[:16]
+    # A listing has escaped addresses; a scan takes patterns of plain ones.
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(f)) for f in new]
+    counts = popularity.hourly_activity(_trips(spark, paths, out, fmt, reading))
+    columns = counts.columns
+    counts = counts.withColumn("batch", F.lit(batch))
+    replace_partitions(counts, path, ["batch", "year"], [batch])
+    stored = spark.read.schema(counts.schema).parquet(path)
+    touched = stored.filter(F.col("batch") == batch).select("year").distinct().collect()
+    years = [r.year for r in touched]
+    if years:
+        valid = stored.filter(F.col("batch").isin(*batches, batch) & _in_years(years))
+        _write_popularity(popularity.merge_hourly(valid.select(*columns)), out, years)
+    files = spark.createDataFrame([(f, batch) for f in new], "file string, batch string")
+    write_table(files, recorded, mode="append", single_file=True)
+    return new
 
 
 def station_tables(

@@ -417,6 +417,13 @@ _SELECTS = {
                date_trunc('second', stoptime) as stoptime,
                sid as start_station_id, s_lat as start_station_latitude
         from faulty where not (bad_time or bad_station or bad_place)""",
+    "hourly_activity_merged": """
+        select year, month, cast(h as int) as hour, name, latitude, longitude, count(*) as count
+        from ends_long group by year, month, h, direction, name, latitude, longitude""",
+    "velocity_sketches": """
+        select cast(year(pickup_datetime) as int) as year, count(*) as n, true as within
+        from short_taxi where trip_distance / nullif(travel_time, 0) is not null
+        group by all""",
     "recommend_zones": """
         select k, round(latitude, 6) as latitude, round(longitude, 6) as longitude
         from zone_centres""",

@@ -1,11 +1,12 @@
 from .readers import read_stations, read_table, read_taxi, read_trips, refused_cells
 from .text import parse_centres, parse_name_list
-from .writers import cut_lineage, replace_partitions, write_table
+from .writers import cut_lineage, path_exists, replace_partitions, write_table
 
 __all__ = [
     "cut_lineage",
     "parse_centres",
     "parse_name_list",
+    "path_exists",
     "read_stations",
     "read_table",
     "read_taxi",

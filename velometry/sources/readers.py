@@ -40,11 +40,15 @@ def _wall_clock(instant: Column) -> Column:
 
 def _time(text: Column, formats: Sequence[str]) -> Column:
     """A zone-free time in the first of ``formats`` that fits, or else in ISO form."""
-    # Parsed as if in UTC and read off in UTC, no hour is skipped.
-    parsed = [
-        _wall_clock(F.try_to_timestamp(F.concat(text, F.lit(" UTC")), F.lit(f"{f} VV")))
-        for f in formats
-    ]
+    session = SparkSession.active()
+    if session.conf.get("spark.sql.timestampType") == "TIMESTAMP_NTZ":
+        parsed = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
+    else:
+        # Parsed as if in UTC and read off in UTC, no hour is skipped.
+        parsed = [
+            _wall_clock(F.try_to_timestamp(F.concat(text, F.lit(" UTC")), F.lit(f"{f} VV")))
+            for f in formats
+        ]
     return F.coalesce(*parsed, text.try_cast("timestamp_ntz"))
 
 
@@ -245,7 +249,7 @@ def _conformed(
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
     **options: str,
@@ -264,7 +268,7 @@ def read_table(
 
 def read_trips(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "parquet",
     bad: str = "error",
     formats: Sequence[str] = (),
