@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from velometry.functions.geo import MILES_PER_KM, great_circle_km
 from velometry.functions.quantile import quantile
+from velometry.functions.sketch import quantile_from, sketches
 from velometry.functions.timeparts import in_year
 
 _PAIR = (
@@ -81,12 +82,27 @@ def with_velocity(taxi: DataFrame) -> DataFrame:
     return taxi.withColumn("velocity", F.try_divide("trip_distance", "travel_time"))
 
 
-def slow_trips(short: DataFrame, q: float = 0.2, accuracy: int | None = None) -> DataFrame:
+def velocity_sketches(short: DataFrame) -> DataFrame:
+    """``sketches`` of velocity by ``year`` of pickup, to be stored and added to."""
+    year = F.year("pickup_datetime").alias("year")
+    return sketches(with_velocity(short), "velocity", [year])
+
+
+def slow_trips(
+    short: DataFrame,
+    q: float = 0.2,
+    accuracy: int | None = None,
+    stored: DataFrame | None = None,
+) -> DataFrame:
     """Trips at or below the quantile ``q`` of velocity, with their velocity.
 
     The exact quantile reads the trips twice; ``accuracy`` takes a sketch, which
-    reads them once.
+    reads them once.  ``stored`` are ``velocity_sketches`` that the quantile is taken
+    from instead; they may cover more years than ``short``.
     """
     moving = with_velocity(short)
-    limit = quantile(moving, "velocity", q, accuracy=accuracy)
+    if stored is not None:
+        limit = quantile_from(stored, q)
+    else:
+        limit = quantile(moving, "velocity", q, accuracy=accuracy)
     return moving.filter(F.col("velocity") <= limit.scalar())
