@@ -144,3 +144,41 @@ def squeezed(text):
     text = re.sub("[\u2018\u2019\u201a\u201b\u2032]", "'", text)
     text = re.sub("[\u201c-\u201f\u2033\u00ab\u00bb]", '"', text)
     return re.sub("[\u2010-\u2015\u2212]", "-", text).lower()
+
+
+def language_grams(text):
+    """The three-letter n-grams of the words of a text, with a space on both sides."""
+    spaced = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    return [f" {w} "[i : i + 3] for w in spaced.split() for i in range(len(w))]
+
+
+def gram_hash(gram):
+    value = 0
+    for c in gram:
+        value = (value ^ ord(c)) * 0x9E3779B97F4A7C15 % 2**64
+        value ^= value >> 29
+    return value
+
+
+def language_sets(labelled, rival=4, top_grams=4000, extra=10):
+    """The n-grams of each language and in how many documents they are, by exact sets."""
+    documents = Counter(lang for _, lang in labelled)
+    counts = {lang: Counter() for lang in documents}
+    for text, lang in labelled:
+        counts[lang].update(set(language_grams(text)))
+    largest = Counter()
+    for lang, own in counts.items():
+        for gram, n in own.items():
+            largest[gram] = max(largest[gram], n / (documents[lang] + extra))
+    sets = {
+        lang: {g for g, n in own.items() if n / (documents[lang] + extra) * rival >= largest[g]}
+        for lang, own in counts.items()
+    }
+    assert all(len(own) <= top_grams for own in sets.values())
+    return sets, {lang: {g: counts[lang][g] for g in own} for lang, own in sets.items()}
+
+
+def language_shares(text, sets):
+    """The part of a text's n-grams that each language has; None without a letter."""
+    grams = language_grams(text)
+    return {lang: sum(g in own for g in grams) / len(grams) for lang, own in sets.items()} if grams else None

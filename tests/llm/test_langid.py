@@ -27,9 +27,7 @@ def test_small_model(model):
 
 def test_a_mask_names_every_language_of_a_gram(model):
     hashes, _, _ = langid._grams(["the", "die"])
-    masks = np.full(len(hashes), np.uint64((1 << 64) - 1))
-    for place in langid._places(hashes):
-        masks &= model.table[place]
+    (masks,) = langid.masks_of(hashes, model)
     en, de = 1 << model.languages.index("en"), 1 << model.languages.index("de")
     assert all(int(m) & en for m in masks[:3]) and all(int(m) & de for m in masks[3:])
 
@@ -105,3 +103,66 @@ def test_sample_is_bounded(spark):
 
 def test_long_text(model):
     assert langid.identify([EN * 20_000], model)[0] == ["en"]
+
+
+def _same_as_sets(spark, data, texts, **options):
+    """Learn from (doc_id, text, lang) rows; compare with exact sets of n-grams."""
+    model = langid.learn(rows(spark, data), **options)
+    sets, counts = plain.language_sets([(t, lang) for _, t, lang in data], **options)
+    assert model.languages == tuple(sorted(sets))
+    every = sorted(set().union(*sets.values()))
+    for i, lang in enumerate(model.languages):
+        hashes = np.array([plain.gram_hash(g) for g in every], np.uint64)
+        has = langid._bit(langid.masks_of(hashes, model), i)
+        own = np.array([g in sets[lang] for g in every])
+        assert has[own].all()  # a filter forgets nothing
+        wrong = has[~own].sum()
+        expected = model.false_rates[i] * (~own).sum()
+        assert wrong <= expected + 5 * expected**0.5 + 3
+    langs, score = langid.identify(texts, model)
+    close = 0
+    for text, lang, got in zip(texts, langs, score):
+        shares = plain.language_shares(text, sets)
+        if shares is None:
+            assert (lang, got) == ("und", 0)
+            continue
+        ranked = sorted(shares.values(), reverse=True)
+        assert abs(got - ranked[0]) < 0.02
+        if len(ranked) > 1 and ranked[0] - ranked[1] < 0.02:
+            close += 1
+        else:
+            assert shares[lang] == ranked[0]
+    return model, close
+
+
+def test_equals_exact_sets(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    data = [(r.doc_id, r.text, r.lang) for r in documents if not plain.held_out(r.doc_id) and r.lang and r.text]
+    texts = [r.text or "" for r in documents]
+    _, close = _same_as_sets(spark, data, texts, top_grams=10**6)
+    assert close < len(texts) / 20
+
+
+def test_the_most_common_grams_are_kept(spark):
+    data = [(i, " ".join(f"w{c}x" for c in "abcdefgh"[: i + 1]), "en") for i in range(8)]
+    model = langid.learn(rows(spark, data), top_grams=6)
+    sets, counts = plain.language_sets([(t, lang) for _, t, lang in data], top_grams=10**6)
+    by_count = sorted(counts["en"].values(), reverse=True)
+    hashes = {g: np.array([plain.gram_hash(g)], np.uint64) for g in sets["en"]}
+    kept = [counts["en"][g] for g, h in hashes.items() if langid._bit(langid.masks_of(h, model), 0)[0]]
+    assert sorted(kept, reverse=True) == by_count[:6]
+
+
+def test_more_languages_than_a_word_has_bits(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda i: letters[i // 26] + letters[i % 26]
+    data = [(i, f"q{name(i)}z {name(i) * 3}", f"l{i:03}") for i in range(150)]
+    model, _ = _same_as_sets(spark, data, [t for _, t, _ in data], rival=4)
+    assert len(model.languages) == 150 and model.table.shape[0] == 3
+    assert langid.identify([t for _, t, _ in data], model)[0] == [lang for _, _, lang in data]
+
+
+def test_too_many_languages_are_an_error(monkeypatch, spark):
+    monkeypatch.setattr(langid, "LANGUAGES", 1)
+    with pytest.raises(ValueError, match="more than 1"):
+        langid.learn(rows(spark, [(1, EN, "en"), (2, DE, "de")]))

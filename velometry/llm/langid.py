@@ -1,8 +1,8 @@
 """Language identification with bit-sliced Bloom filters of character n-grams.
 
 Each language has a Bloom filter of its n-grams.  The filters lie side by side, one bit
-of a word per language, so a lookup of an n-gram at its few places gives a mask of all
-languages that (seem to) have it.  For each text the bits are counted per language, the
+of a word per language (of several words above 64), so a lookup of an n-gram at its few
+places gives a mask of all languages that (seem to) have it.  For each text the bits are counted per language, the
 expected false positives are taken off, and the largest count decides.
 
 Labelled documents quote other languages.  A language therefore only has the n-grams that
@@ -33,19 +33,23 @@ RIVAL = 4
 #: Documents without an n-gram that a share counts besides those of the sample, so that
 #: the few of a rare language say little.
 EXTRA_DOCUMENTS = 10
+#: More languages than this are an error: the filters of 64 take a megabyte.
+LANGUAGES = 1024
 PLACES = 1 << 17
 HASHES = 3
 UNKNOWN = "und"
 
 _SPACE = np.uint32(32)
 _A = np.uint64(0x9E3779B97F4A7C15)
-#: One addend for each place of an n-gram.
+_B = np.uint64(0xBF58476D1CE4E5B9)
+#: One number for each place of an n-gram.
 _ADDENDS = np.arange(1, HASHES + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``table[place]`` has bit ``i`` set where the filter of ``languages[i]`` has that place."""
+    """``table[i // 64, place]`` has bit ``i % 64`` set where the filter of ``languages[i]``
+    has that place."""
 
     languages: tuple[str, ...]
     table: np.ndarray
@@ -94,7 +98,10 @@ def _grams(batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _places(hashes: np.ndarray) -> Iterator[np.ndarray]:
     for addend in _ADDENDS:
-        mixed = (hashes + addend) * _A
+        # Mixed twice: one product of a sum moves all places of an n-gram by constants,
+        # and filters then err as if each n-gram had a single place.
+        mixed = (hashes ^ addend) * _A
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _B
         yield ((mixed >> np.uint64(40)) % np.uint64(PLACES)).astype(np.int64)
 
 
@@ -123,18 +130,21 @@ def learn(
 ) -> LanguageModel:
     """Filters from the ``doc_id, text, lang`` rows that have a language and a text.
 
-    At most 64 languages.  The counts are of documents, made by Spark; the driver gets
-    ``top_grams`` hashes per language.  What is ``rival`` times as common in the
-    documents of another language is not in a filter.
+    At most ``LANGUAGES`` languages.  The counts are of documents, made by Spark; the
+    driver gets ``top_grams`` hashes per language.  What is ``rival`` times as common in
+    the documents of another language is not in a filter.  A repeated row counts as often
+    as it is there, where all rows are taken; a sample has either all its copies or none.
+    A null doc_id is a value like others.  An empty table gives a model of no language.
     """
     rows = labelled.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.col("lang").cast("string").alias("lang"),
     ).filter("lang is not null and text is not null")
-    names = [r.lang for r in rows.select("lang").distinct().orderBy("lang").limit(65).collect()]
-    if len(names) > 64:
-        raise ValueError("a mask has room for 64 languages")
+    distinct = rows.select("lang").distinct().orderBy("lang").limit(LANGUAGES + 1)
+    names = [r.lang for r in distinct.collect()]
+    if len(names) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,18 +180,31 @@ def learn(
     )
     order = in_lang.orderBy(F.desc("n"), "gram")
     best = own.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_grams)
-    table = np.zeros(PLACES, np.uint64)
+    table = np.zeros((-(-len(names) // 64), PLACES), np.uint64)
+    number = {lang: i for i, lang in enumerate(names)}
     for lang, gram in best.select("lang", "gram").collect():
-        bit = np.uint64(1 << names.index(lang))
+        word, bit = divmod(number[lang], 64)
         for place in _places(np.array([gram], np.int64).view(np.uint64)):
-            table[place] |= bit
-    rates = [
-        (np.count_nonzero(table >> np.uint64(i) & np.uint64(1)) / PLACES) ** HASHES
-        for i in range(len(names))
-    ]
+            table[word, place] |= np.uint64(1 << bit)
+    rates = [(np.count_nonzero(_bit(table, i)) / PLACES) ** HASHES for i in range(len(names))]
     return LanguageModel(tuple(names), table, np.array(rates))
 
 
+def _bit(words: np.ndarray, language: int) -> np.ndarray:
+    """The bits of one language in rows of words."""
+    word, bit = divmod(language, 64)
+    return (words[word] >> np.uint64(bit) & np.uint64(1)).astype(bool)
+
+
+def masks_of(hashes: np.ndarray, model: LanguageModel) -> np.ndarray:
+    """For each n-gram the languages that (seem to) have it, one row per 64 languages."""
+    masks = np.full((len(model.table), len(hashes)), np.uint64((1 << 64) - 1))
+    for place in _places(hashes):
+        for mask, filters in zip(masks, model.table):
+            mask &= filters[place]
+    return masks
+
+
 def identify(batch: list[str], model: LanguageModel) -> tuple[list[str], np.ndarray]:
     """The language and score of each text.
 
@@ -189,14 +212,11 @@ def identify(batch: list[str], model: LanguageModel) -> tuple[list[str], np.ndar
     corrected count; ``und`` has 0.
     """
     hashes, owner, lettered = _grams(batch)
-    masks = np.full(len(hashes), np.uint64((1 << 64) - 1))
-    for place in _places(hashes):
-        masks &= model.table[place]
+    masks = masks_of(hashes, model)
     total = np.bincount(owner, minlength=len(batch)).astype(float)
     true = np.zeros((len(model.languages), len(batch)))
     for i, rate in enumerate(model.false_rates):
-        has = (masks >> np.uint64(i) & np.uint64(1)).astype(bool)
-        seen = np.bincount(owner[has], minlength=len(batch))
+        seen = np.bincount(owner[_bit(masks, i)], minlength=len(batch))
         true[i] = np.clip((seen - rate * total) / (1 - rate) if rate < 1 else 0, 0, total)
     if not len(model.languages):
         return [UNKNOWN] * len(batch), np.zeros(len(batch))
