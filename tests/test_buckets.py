@@ -1,0 +1,72 @@
+import pytest
+from pyspark.sql import functions as F
+
+from velometry.operators import balance
+from velometry.plans import fixtures as fx
+from velometry.plans import jobs
+from velometry.sources import open_buckets, write_buckets, write_table
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _rows(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+def test_joins_on_a_stored_flow_shuffle_only_the_stations(spark, shuffled_joins, tmp_path):
+    path = str(tmp_path / "it's flow")
+    flow, docks = balance.hourly_net_flow(fx.trips(spark, SF_DIR)), fx.stations(spark, SF_DIR)
+    by_station = write_buckets(flow, path, ["name"], 6)
+    assert len(list((tmp_path / "it's flow").glob("*.parquet"))) <= 6
+    for hours in (balance.shortage_hours, balance.overload_hours):
+        assert _plan(hours(flow, docks)).count("Exchange hashpartitioning") >= 2
+        plan = _plan(hours(by_station, docks))
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert plan.index("Exchange hashpartitioning") > plan.index("SortMergeJoin")
+        assert _rows(hours(by_station, docks)) == _rows(hours(flow, docks)) != []
+    days = balance.daily_net_flow(by_station)
+    assert "Exchange" not in _plan(days)
+    # Two stored tables in the same buckets: no side moves.
+    stock = write_buckets(docks, str(tmp_path / "docks"), ["name"], 6)
+    assert "Exchange" not in _plan(balance.shortage_days(by_station, stock))
+
+    again = open_buckets(spark, path, flow.schema, ["name"], 6)
+    assert "Exchange" not in _plan(balance.daily_net_flow(again))
+    assert _rows(again) == _rows(flow)
+    # The plan names the buckets it reads only where it is told to keep them apart.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    one = again.filter(F.col("name") == "NATION_1")
+    assert "SelectedBucketsCount: 1 out of 6" in _plan(one)
+
+
+def test_a_second_write_replaces_the_first(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "name string, n int")
+    assert _rows(write_buckets(df, path, ["name"], 3)) == _rows(df)
+    less = df.filter("n > 1")
+    assert _rows(write_buckets(less, path, ["name"], 2)) == _rows(less)
+    assert write_buckets(df.limit(0), path, ["name"], 2).count() == 0
+
+
+def test_a_job_with_buckets_gives_the_same_tables(spark, tmp_path):
+    trips, docks = str(tmp_path / "trips"), str(tmp_path / "docks")
+    day = fx.trips(spark, SF_DIR).filter("day(starttime) between 18 and 20")
+    write_table(day, trips)
+    write_table(fx.stations(spark, SF_DIR), docks)
+    jobs.balance_tables(spark, trips, docks, str(tmp_path / "a"))
+    jobs.balance_tables(spark, trips, docks, str(tmp_path / "b"), buckets=4)
+    for table in ("hourly_net_flow", "shortage_hours", "overload_hours", "nearby_supply"):
+        a, b = (_rows(spark.read.parquet(f"{tmp_path}/{x}/{table}")) for x in "ab")
+        assert a == b != []

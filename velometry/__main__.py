@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--year", type=int)
     parser.add_argument("--first", type=int, help="only the earliest taxi trips")
+    parser.add_argument("--buckets", type=int, help="store the flow by station, in so many files")
     parser.add_argument("--format", default="parquet")
     parser.add_argument(
         "--time-format", action="append", default=[], help="pattern of text times; may be repeated"
@@ -60,7 +61,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stations":
         jobs.station_tables(spark, args.trips, args.stations, args.out, args.format, **reading)
     elif args.job == "balance":
-        jobs.balance_tables(spark, args.trips, args.stations, args.out, args.format, **reading)
+        jobs.balance_tables(
+            spark, args.trips, args.stations, args.out, args.format, args.buckets, **reading
+        )
     elif args.job == "slow-taxi":
         jobs.slow_taxi_table(
             spark,

@@ -26,6 +26,7 @@ from velometry.sources import (
     read_taxi,
     read_trips,
     replace_partitions,
+    write_buckets,
     write_table,
 )
 
@@ -138,13 +139,27 @@ def station_tables(
 
 
 def balance_tables(
-    spark: SparkSession, trips: str, stations: str, out: str, fmt: str = "parquet", **reading
+    spark: SparkSession,
+    trips: str,
+    stations: str,
+    out: str,
+    fmt: str = "parquet",
+    buckets: int | None = None,
+    **reading,
 ) -> None:
     """``hourly_net_flow``, ``shortage_hours``, ``overload_hours``, ``hourly_stock``
-    and ``nearby_supply``, each by date."""
+    and ``nearby_supply``, each by date.
+
+    With ``buckets`` the flow is also stored by station, in that many buckets
+    (``flow_by_station``), and the days and joins on stations read it without a shuffle.
+    """
     docks = _docks(spark, stations, out, fmt, reading)
     flow = balance.hourly_net_flow(_trips(spark, trips, out, fmt, reading))
-    flow = _stored(flow, f"{out}/hourly_net_flow", "date")
+    if buckets is not None:
+        flow = write_buckets(flow, f"{out}/flow_by_station", ["name"], buckets)
+        replace_partitions(flow, f"{out}/hourly_net_flow", ["date"])
+    else:
+        flow = _stored(flow, f"{out}/hourly_net_flow", "date")
     short = _stored(balance.shortage_hours(flow, docks), f"{out}/shortage_hours", "date")
     over = _stored(balance.overload_hours(flow, docks), f"{out}/overload_hours", "date")
     replace_partitions(balance.hourly_stock(short, docks), f"{out}/hourly_stock", ["date"])
