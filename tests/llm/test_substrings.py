@@ -122,3 +122,75 @@ def test_longest_repeats_doubles_until_none_is_left(spark, monkeypatch, block):
     got = {r.doc_id: r.longest for r in s.longest_repeats(df, 3).collect()}
     assert got == want and want[2000] == want[2001] == 48
     assert s.longest_repeats(df.limit(0)).count() == 0
+
+
+def longest_before(rows, size):
+    """For each doc_id the longest doubled length at which a smaller doc_id has a window of it."""
+    want = {}
+    while True:
+        least = {}
+        for doc, text in rows:
+            own = (text or "").split() if doc is not None else []
+            for i in range(len(own) - size + 1):
+                key = tuple(own[i : i + size])
+                least[key] = min(doc, least.get(key, doc))
+        here = {
+            doc
+            for doc, text in rows
+            if doc is not None
+            for own in [(text or "").split()]
+            if any(least[tuple(own[i : i + size])] < doc for i in range(len(own) - size + 1))
+        }
+        if not here:
+            return want
+        want |= dict.fromkeys(here, size)
+        size *= 2
+
+
+@pytest.mark.parametrize("size", [2, 3, 5])
+@pytest.mark.parametrize("block", [250, 1 << 22])
+def test_extension_equals_brute_force(spark, monkeypatch, size, block):
+    monkeypatch.setattr(s, "BLOCK_BYTES", block)
+    monkeypatch.setattr(s, "PART_BYTES", 2 * block)
+    rng = random.Random(size)
+    rows = random_rows(rng, 50, [f"w{i}" for i in range(4)], 30)
+    passage = [f"p{i}" for i in range(90)]
+    inner = " ".join(passage[30:60])
+    rows += [
+        (-5, "y " + inner),  # a smaller document has the middle of the passage
+        (2000, " ".join(passage)),
+        (2001, "x " + " ".join(passage[:70])),
+        (2002, " ".join(passage[20:]) + " z"),
+        (2003, " ".join(["a", "b"] * 40)),  # periodic
+        (2004, "c " + " ".join(["a", "b"] * 30)),
+        (2005, " ".join(["b", "a"] * 25)),
+        (2006, inner),  # rows with one doc_id
+        (2006, " ".join(passage[:40])),
+        (2006, inner),
+        (2007, "q0 q1 q2 q3 q4 q5 q6 q7"),
+        (2007, "q0 q1 q2 q3 q4 q5 q6 q7 r"),
+        (2008, "s q0 q1 q2 q3 q4 q5 q6 q7"),
+        (None, " ".join(passage)),
+        (2009, None),
+        (2010, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept, longest = s.drop_and_extend(df.withColumn("runs", F.lit(1)), size)
+    want = longest_before(rows, size)
+    assert {r.doc_id: r.longest for r in longest.collect()} == want
+    assert want[2002] >= 32 and want[2004] >= 32 and 2000 in want
+    plainly = s.drop_repeated(df, size)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, plainly.collect()), key=str)
+
+
+def test_extension_of_copies_and_empty_tables(spark, monkeypatch):
+    monkeypatch.setattr(s, "BLOCK_BYTES", 100_000)
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    kept, longest = s.drop_and_extend(df)
+    want = longest_before(rows, 13)
+    assert {r.doc_id: r.longest for r in longest.collect()} == want and max(want.values()) > 26
+    kept, longest = s.drop_and_extend(df.limit(0))
+    assert kept.count() == longest.count() == 0
+    kept, longest = s.drop_and_extend(spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id bigint, text string"))
+    assert kept.count() == 2 and longest.count() == 0

@@ -150,9 +150,12 @@ def op5_byte_bpe(spark, sf):
 
 @query
 def op6_substring_dedup(spark, sf):
-    return substrings.drop_repeated(_table(spark, sf, "documents"), words=13).select(
+    kept, extended = substrings.drop_and_extend(_table(spark, sf, "documents"), words=13)
+    digests = kept.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
     )
+    longest = F.coalesce("longest", F.lit(0).cast("long")).alias("longest_repeat")
+    return digests.join(extended, "doc_id", "left").select(*digests.columns, longest)
 
 
 @query

@@ -4,7 +4,12 @@ The first level looks at windows of half the wanted length.  A window of the nex
 length, twice as long (its halves overlap by a word where the length is odd), is only a
 candidate where the half windows in it are repeated, and survives if it is itself.
 ``drop_repeated`` stops at the wanted length, as longer windows cover no other words;
-``longest_repeats`` goes on until no candidates survive.
+``drop_and_extend`` and ``longest_repeats`` go on until no candidates survive.
+
+``drop_and_extend`` reads no text again for that.  A repeated window is named by the place of
+its first occurrence (least doc_id), so a repeated passage is a run of consecutive
+names.  Two halves with names that follow each other are a window at that very place;
+only where they do not, the pair of names is sent and gets a name of its own.
 
 Documents are dealt into blocks by a hash, and block and window hash into
 parts, both in numbers that follow the size of the input.  A block sends each part its different
@@ -20,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +38,9 @@ PART_BYTES = 8 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _EMPTY = np.empty(0, np.uint64)
+_NO_IDS = np.empty(0, np.int64)
+#: Who has a window first: a smaller doc_id, an equal one in another block, or the block itself.
+_SMALLER, _EQUAL, _OWN = 0, 1, 2
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -67,14 +76,24 @@ def least_of(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 class _Block:
-    """A block of documents in the order of doc_id (null first), with their word hashes."""
+    """A block of documents in the order of doc_id (null first), with their word hashes.
+
+    Each has a base, a hash of doc_id and text; base plus position names a place.
+    """
 
     def __init__(self, table: pa.Table):
         ids = table.column("doc_id").to_pylist()
         raw = table.column("text").cast(pa.binary())
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0))
+        bases = [
+            xxhash.xxh64_intdigest(t.as_py() or b"", (d or 0) % (1 << 64))
+            for d, t in zip(ids, raw)
+        ]
+        order = sorted(
+            range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, bases[i])
+        )
         self.number = table.column("block")[0].as_py() if len(ids) else 0
         self.ids = [ids[i] for i in order]
+        self.bases = np.array([bases[i] for i in order], np.uint64)
         self.texts = [raw[i] for i in order]
         self.hashes = [self._hashed(t) for t in self.texts]
 
@@ -83,11 +102,11 @@ class _Block:
         words = words_of(text.as_py())
         return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
-    def compared(self, size: int) -> Iterator[tuple[int, np.ndarray]]:
-        """doc_id and word hashes of those documents that have a window."""
-        for doc, hashes in zip(self.ids, self.hashes):
+    def compared(self, size: int) -> Iterator[tuple[int, np.uint64, np.ndarray]]:
+        """doc_id, base and word hashes of those documents that have a window."""
+        for doc, base, hashes in zip(self.ids, self.bases, self.hashes):
             if doc is not None and len(hashes) >= size:
-                yield doc, hashes
+                yield doc, base, hashes
 
 
 def _unpack(column: pa.ChunkedArray, kind=np.uint64) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +144,7 @@ def _first_level(docs: _Block, half: int, size: int) -> tuple[np.ndarray, np.nda
     """
     chosen = [
         np.unique(least_of(window_hashes(h, half), size - half + 1))
-        for _, h in docs.compared(size)
+        for _, _, h in docs.compared(size)
     ]
     if not chosen:
         return _EMPTY, _EMPTY
@@ -133,28 +152,50 @@ def _first_level(docs: _Block, half: int, size: int) -> tuple[np.ndarray, np.nda
     return values, values[counts > 1]
 
 
-def _parted(block: int, values: np.ndarray, ids: np.ndarray | None, parts: int) -> pa.Table:
-    """Values (and their doc_ids) packed for each part."""
+def _parted(
+    block: int,
+    values: np.ndarray,
+    parts: int,
+    ids: np.ndarray | None = None,
+    names: np.ndarray | None = None,
+) -> pa.Table:
+    """Values (and the doc_ids and names that belong to them) packed for each part."""
     part = (values >> np.uint64(1)) % np.uint64(parts)
     order = np.argsort(part, kind="stable")
-    values, part = values[order], part[order]
-    ids = None if ids is None else ids[order]
+    part = part[order]
     numbers, first = np.unique(part, return_index=True)
-    ends = [*first[1:], len(values)]
-    cells = [values[a:b].tobytes() for a, b in zip(first, ends)]
-    owners = [None if ids is None else ids[a:b].tobytes() for a, b in zip(first, ends)]
+    ends = [*first[1:], len(part)]
+
+    def cells(column: np.ndarray | None) -> pa.Array:
+        if column is None:
+            return pa.nulls(len(ends) if len(numbers) else 0, pa.binary())
+        column = column[order]
+        return pa.array([column[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())
+
     return pa.table(
         {
             "part": pa.array(numbers.astype(np.int64)),
-            "block": pa.array(np.full(len(cells), block, np.int64)),
-            "hashes": pa.array(cells, pa.binary()),
-            "ids": pa.array(owners, pa.binary()),
+            "block": pa.array(np.full(len(numbers), block, np.int64)),
+            "hashes": cells(values),
+            "ids": cells(ids),
+            "names": cells(names),
         }
     )
 
 
-_SENT = "part bigint, block bigint, hashes binary, ids binary"
+def _first_parted(
+    block: int, values: np.ndarray, ids: np.ndarray, names: np.ndarray, parts: int
+) -> pa.Table:
+    """Each value once, with its first entry.  Documents come by doc_id, so that is the least."""
+    values, first = np.unique(values, return_index=True)
+    by_id = np.argsort(first, kind="stable")
+    first = first[by_id]
+    return _parted(block, values[by_id], parts, ids[first], names[first])
+
+
+_SENT = "part bigint, block bigint, hashes binary, ids binary, names binary"
 _ANSWER = "block bigint, hashes binary"
+_NAMED = "block bigint, kind int, hashes binary, names binary"
 
 
 def _by_row(blocks: np.ndarray, values: np.ndarray, rows: np.ndarray) -> pa.Table:
@@ -184,19 +225,80 @@ def _shared(table: pa.Table) -> pa.Table:
     return _by_row(blocks, values[common], rows[common])
 
 
-def _later(table: pa.Table) -> pa.Table:
-    """To each block those of its hashes that another block has with a smaller doc_id."""
+def _owned(table: pa.Table) -> pa.Table:
+    """To each block those of its hashes that another block has, and who has them first.
+
+    First is the smallest doc_id, then the smallest name, which the block gets unless it
+    is its own.
+    """
     blocks, values, rows = _entries(table)
     ids, _ = _unpack(table.column("ids"), np.int64)
-    order = np.lexsort((ids, values))
-    values, rows, ids = values[order], rows[order], ids[order]
-    fresh = np.ones(len(values), bool)
-    fresh[1:] = values[1:] != values[:-1]
-    least = ids[np.maximum.accumulate(np.where(fresh, np.arange(len(values)), 0))]
-    later = ids > least
-    values, rows = values[later], rows[later]
-    order = np.argsort(rows, kind="stable")
-    return _by_row(blocks, values[order], rows[order])
+    names, _ = _unpack(table.column("names"))
+    order = np.lexsort((names, ids, values))
+    values, rows, ids, names = values[order], rows[order], ids[order], names[order]
+    fresh = np.ones(len(values) + 1, bool)
+    fresh[1:-1] = values[1:] != values[:-1]
+    first = np.maximum.accumulate(np.where(fresh[:-1], np.arange(len(values)), 0))
+    common = ~(fresh[:-1] & fresh[1:])
+    kind = np.where(ids > ids[first], _SMALLER, np.where(fresh[:-1], _OWN, _EQUAL))
+    found = []
+    for wanted in (_SMALLER, _EQUAL, _OWN):
+        at = np.flatnonzero(common & (kind == wanted))
+        at = at[np.argsort(rows[at], kind="stable")]
+        answer = _by_row(blocks, values[at], rows[at])
+        if wanted == _OWN:
+            owners = pa.nulls(len(answer), pa.binary())
+        else:
+            owners = _by_row(blocks, names[first[at]], rows[at]).column("hashes")
+        kinds = pa.array(np.full(len(answer), wanted, np.int32))
+        columns = [answer.column("block"), kinds, answer.column("hashes"), owners]
+        found.append(pa.table(dict(zip(("block", "kind", "hashes", "names"), columns))))
+    return pa.concat_tables(found)
+
+
+def _named(
+    keys: np.ndarray, ids: np.ndarray, bases: np.ndarray, names: np.ndarray, answer: pa.Table
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window of a block its name, and whether a smaller doc_id, another row has it.
+
+    ``ids``, ``bases`` and ``names`` (its own place) are those of the window's document;
+    the windows come in the order of the documents.
+    """
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    starts = np.flatnonzero(fresh)
+    first, last = order[starts], order[np.append(starts[1:], len(keys)) - 1] if len(keys) else order
+    group = np.empty(len(keys), np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    values, owner, least = ordered[starts], names[first], ids[first]
+    shared = bases[first] != bases[last]
+    smaller = np.zeros(len(values), bool)
+    for kind in (_SMALLER, _EQUAL, _OWN):
+        cells = answer.filter(pc.equal(answer.column("kind"), kind))
+        at = np.searchsorted(values, _unpack(cells.column("hashes"))[0])
+        shared[at] = True
+        if kind != _OWN:
+            owner[at] = _unpack(cells.column("names"))[0]
+        if kind == _SMALLER:
+            smaller[at] = True
+    return owner[group], smaller[group] | (least[group] < ids), shared[group]
+
+
+def _runs(
+    rows: np.ndarray, at: np.ndarray, names: np.ndarray, earlier: np.ndarray
+) -> dict[int, np.ndarray]:
+    """For each row its repeated windows as runs: position, length, name, held by a smaller one."""
+    if not len(rows):
+        return {}
+    follows = (rows[1:] == rows[:-1]) & (at[1:] == at[:-1] + 1) & (earlier[1:] == earlier[:-1])
+    follows &= names[1:] == names[:-1] + np.uint64(1)
+    starts = np.flatnonzero(np.append(True, ~follows))
+    sizes = np.diff(np.append(starts, len(rows)))
+    runs = np.stack([at[starts], sizes, names[starts].view(np.int64), earlier[starts]], axis=1)
+    found, first = np.unique(rows[starts], return_index=True)
+    return dict(zip(found.tolist(), np.split(runs.astype(np.int64), first[1:])))
 
 
 def _dealt(documents: DataFrame) -> tuple[DataFrame, int]:
@@ -221,7 +323,7 @@ def _half_windows(docs: DataFrame, words: int, parts: int) -> DataFrame:
 
     def send(table: pa.Table) -> pa.Table:
         own = _Block(table)
-        return _parted(own.number, _first_level(own, half, words)[0], None, parts)
+        return _parted(own.number, _first_level(own, half, words)[0], parts)
 
     sent = docs.groupBy("block").applyInArrow(send, _SENT)
     return sent.groupBy("part").applyInArrow(_shared, _ANSWER)
@@ -229,15 +331,15 @@ def _half_windows(docs: DataFrame, words: int, parts: int) -> DataFrame:
 
 def _candidates(
     docs: _Block, answer: pa.Table, words: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """doc_id, word hashes, and which windows have a repeated half window."""
+) -> Iterator[tuple[int, np.uint64, np.ndarray, np.ndarray]]:
+    """doc_id, base, word hashes, and which windows have a repeated half window."""
     half = (words + 1) // 2
     repeated = np.union1d(
         _first_level(docs, half, words)[1], _unpack(answer.column("hashes"))[0]
     )
-    for doc, h in docs.compared(words):
+    for doc, base, h in docs.compared(words):
         least = least_of(window_hashes(h, half), words - half + 1)
-        yield doc, h, _member(least, repeated)
+        yield doc, base, h, _member(least, repeated)
 
 
 def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
@@ -249,43 +351,179 @@ def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
     with the same doc_id do not count as smaller than each other.  Other columns are
     not read, an empty table gives no rows.
     """
+    decided, _ = _decided(documents, words)
+    return decided.select("doc_id", "n_words", "n_removed", "kept_text")
+
+
+def drop_and_extend(documents: DataFrame, words: int = 13) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``drop_repeated``, and ``doc_id, longest`` for those that lose words.
+
+    ``longest`` is the longest of the lengths ``words``, twice that, and so on, at which a
+    window of the document also starts in a document with a smaller doc_id.  Windows
+    repeated at one length alone are extended to twice that length, until none of a
+    smaller document survives.  Of rows with the same doc_id the longest counts.
+    The first result is a stored table; null doc_ids and empty tables have no
+    row in the second.
+    """
+    decided, parts = _decided(documents, words)
+    decided = stored(decided)
+    state = decided.where(F.length("runs") > 0).select("block", "doc_id", "base", "runs")
+    size = words
+    levels = [decided.where("n_removed > 0").select("doc_id", F.lit(size).alias("longest"))]
+    more = not levels[0].isEmpty()
+    while more:
+        sent = state.groupBy("block").applyInArrow(_ask_for(size, parts), _SENT)
+        answers = sent.groupBy("part").applyInArrow(_owned, _NAMED)
+        state = stored(_answered(state, answers, _doubled(size), f"{_STATE}, earlier boolean"))
+        size *= 2
+        held = state.where("earlier")
+        more = not held.isEmpty()
+        levels.append(held.select("doc_id", F.lit(size).alias("longest")))
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.union(level)
+    longest = F.max("longest").cast("long").alias("longest")
+    return decided.select("doc_id", "n_words", "n_removed", "kept_text"), found.groupBy(
+        "doc_id"
+    ).agg(longest)
+
+
+_STATE = "block bigint, doc_id bigint, base bigint, runs binary"
+
+
+def _decided(documents: DataFrame, words: int) -> tuple[DataFrame, int]:
+    """Each row with what is kept of it and the runs of its repeated windows; the number of parts."""
     if words < 2:
         raise ValueError("a window has two words at least")
     docs, parts = _dealt(documents)
 
     def send(table: pa.Table, answer: pa.Table) -> pa.Table:
         block = _Block(table)
-        found, ids = [], []
-        for doc, h, candidates in _candidates(block, answer, words):
-            if candidates.any():
-                found.append(np.unique(window_hashes(h, words)[candidates]))
-                ids.append(np.full(len(found[-1]), doc, np.int64))
-        # Documents come by doc_id, so the first entry of a window has its smallest.
-        values, first = np.unique(np.concatenate([_EMPTY, *found]), return_index=True)
-        owners = np.concatenate([np.empty(0, np.int64), *ids])[first]
-        by_id = np.argsort(owners, kind="stable")
-        return _parted(block.number, values[by_id], owners[by_id], parts)
-
-    def decide(table: pa.Table, later: pa.Table) -> pa.Table:
-        elsewhere = np.sort(_unpack(later.column("hashes"))[0])
-        rows = []
-        for doc, tokens, cover in _covered(_Block(table), words, elsewhere):
-            kept = tokens if cover is None else [w for w, c in zip(tokens, cover) if not c]
-            rows.append((doc, len(tokens), len(tokens) - len(kept), b" ".join(kept)))
-        columns = list(zip(*rows)) if rows else [()] * 4
+        found, ids, names = [_EMPTY], [_NO_IDS], [_EMPTY]
+        for doc, base, h, candidates in _candidates(block, answer, words):
+            at = np.flatnonzero(candidates)
+            if len(at):
+                values, first = np.unique(window_hashes(h, words)[at], return_index=True)
+                found.append(values)
+                ids.append(np.full(len(values), doc, np.int64))
+                names.append(base + at[first].astype(np.uint64))
+        return _first_parted(block.number, *map(np.concatenate, (found, ids, names)), parts)
+
+    def decide(table: pa.Table, answer: pa.Table) -> pa.Table:
+        block = _Block(table)
+        windows = [
+            _EMPTY if doc is None else window_hashes(h, words)
+            for doc, h in zip(block.ids, block.hashes)
+        ]
+        sizes = np.array([len(w) for w in windows], np.int64)
+        first = np.cumsum(sizes) - sizes
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        at = np.arange(len(rows)) - first[rows]
+        ids = np.array([d or 0 for d in block.ids], np.int64)[rows]
+        bases = block.bases[rows]
+        names, gone, shared = _named(
+            np.concatenate([_EMPTY, *windows]), ids, bases, bases + at.astype(np.uint64), answer
+        )
+        runs = _runs(rows[shared], at[shared], names[shared], gone[shared])
+        counts, texts = [], []
+        for row, text in enumerate(block.texts):
+            tokens = words_of(text.as_py())
+            own = gone[first[row] : first[row] + sizes[row]]
+            kept = tokens
+            if own.any():
+                change = np.zeros(len(tokens) + 1, np.int64)
+                ends = np.flatnonzero(own)
+                np.add.at(change, ends, 1)
+                np.add.at(change, ends + words, -1)
+                kept = [w for w, c in zip(tokens, np.cumsum(change[:-1]).tolist()) if not c]
+            counts.append((len(tokens), len(tokens) - len(kept)))
+            texts.append(b" ".join(kept))
+        n_words, n_removed = zip(*counts) if counts else ((), ())
         return pa.table(
             {
-                "doc_id": pa.array(columns[0], pa.int64()),
-                "n_words": pa.array(columns[1], pa.int64()),
-                "n_removed": pa.array(columns[2], pa.int64()),
-                "kept_text": pa.array(columns[3], pa.binary()).cast(pa.string()),
+                "doc_id": pa.array(block.ids, pa.int64()),
+                "n_words": pa.array(n_words, pa.int64()),
+                "n_removed": pa.array(n_removed, pa.int64()),
+                "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
+                "block": pa.array(np.full(len(texts), block.number, np.int64)),
+                "base": pa.array(block.bases.view(np.int64)),
+                "runs": pa.array(
+                    [runs[r].tobytes() if r in runs else b"" for r in range(len(texts))],
+                    pa.binary(),
+                ),
             }
         )
 
     sent = _answered(docs, _half_windows(docs, words, parts), send, _SENT)
-    later = sent.groupBy("part").applyInArrow(_later, _ANSWER)
+    owners = sent.groupBy("part").applyInArrow(_owned, _NAMED)
     kept = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
-    return _answered(docs, later, decide, kept)
+    state = "block bigint, base bigint, runs binary"
+    return _answered(docs, owners, decide, f"{kept}, {state}"), parts
+
+
+class _Halves:
+    """The windows of a block, twice as long as those of its state, both halves of which are in it."""
+
+    def __init__(self, state: pa.Table, size: int):
+        self.number = state.column("block")[0].as_py() if len(state) else 0
+        ids = state.column("doc_id").to_numpy()
+        bases = state.column("base").to_numpy().view(np.uint64)
+        order = np.lexsort((bases, ids))
+        self.ids, self.bases = ids[order], bases[order]
+        packed = state.column("runs").take(pa.array(order))
+        runs, counts = _unpack(packed.cast(pa.binary()), np.int64)
+        start, length, name, earlier = runs.reshape(-1, 4).T
+        run = np.repeat(np.arange(len(length)), length)
+        step = np.arange(len(run)) - (np.cumsum(length) - length)[run]
+        rows = np.repeat(np.arange(len(counts)), counts // 4)[run]
+        at = start[run] + step
+        names = name.view(np.uint64)[run] + step.astype(np.uint64)
+        place = (rows << 40) + at
+        right = np.searchsorted(place, place + size)
+        right[right == len(place)] = 0
+        left = np.flatnonzero(place[right] == place + size) if len(place) else _NO_IDS
+        self.rows, self.at, self.names = rows[left], at[left], names[left]
+        self.earlier = earlier[run[left]] > 0
+        follower = names[right[left]]
+        self.asked = np.flatnonzero(follower != self.names + np.uint64(size))
+        self.keys = _mixed(self.names[self.asked] * _MULTIPLIER + _mixed(follower[self.asked]))
+        row = self.rows[self.asked]
+        self.owners, self.origins = self.ids[row], self.bases[row]
+        self.places = self.origins + self.at[self.asked].astype(np.uint64)
+
+
+def _ask_for(size: int, parts: int):
+    """Sends the pairs of names that do not follow each other."""
+
+    def send(state: pa.Table) -> pa.Table:
+        own = _Halves(state, size)
+        return _first_parted(own.number, own.keys, own.owners, own.places, parts)
+
+    return send
+
+
+def _doubled(size: int):
+    """The state at twice the size: windows whose halves follow each other, or that are repeated."""
+
+    def extend(state: pa.Table, answer: pa.Table) -> pa.Table:
+        own = _Halves(state, size)
+        names, earlier, kept = own.names.copy(), own.earlier.copy(), np.ones(len(own.names), bool)
+        names[own.asked], earlier[own.asked], kept[own.asked] = _named(
+            own.keys, own.owners, own.origins, own.places, answer
+        )
+        runs = _runs(own.rows[kept], own.at[kept], names[kept], earlier[kept])
+        found = np.array(list(runs), np.int64)
+        return pa.table(
+            {
+                "block": pa.array(np.full(len(found), own.number, np.int64)),
+                "doc_id": pa.array(own.ids[found]),
+                "base": pa.array(own.bases[found].view(np.int64)),
+                "runs": pa.array([r.tobytes() for r in runs.values()], pa.binary()),
+                "earlier": pa.array([bool(r[:, 3].any()) for r in runs.values()], pa.bool_()),
+            }
+        )
+
+    return extend
 
 
 def longest_repeats(documents: DataFrame, words: int = 13) -> DataFrame:
@@ -301,19 +539,19 @@ def longest_repeats(documents: DataFrame, words: int = 13) -> DataFrame:
         # What two documents of a block have is sent twice, so that it counts as shared.
         values, counts = np.unique(np.concatenate([_EMPTY, *found]), return_counts=True)
         both = np.concatenate([values, values[counts > 1]])
-        return _parted(block.number, both, None, parts)
+        return _parted(block.number, both, parts)
 
     def send_first(table: pa.Table, answer: pa.Table) -> pa.Table:
         block = _Block(table)
         found = [
             np.unique(window_hashes(h, words)[candidates])
-            for _, h, candidates in _candidates(block, answer, words)
+            for _, _, h, candidates in _candidates(block, answer, words)
         ]
         return packed(block, found)
 
     def repeated(block: _Block, answer: pa.Table, size: int):
         known = np.unique(_unpack(answer.column("hashes"))[0])
-        for doc, h in block.compared(size):
+        for doc, _, h in block.compared(size):
             yield doc, h, _member(window_hashes(h, size), known)
 
     def extended(size: int):
@@ -348,33 +586,3 @@ def longest_repeats(documents: DataFrame, words: int = 13) -> DataFrame:
     for level in found:
         none = none.union(level)
     return none.groupBy("doc_id").agg(F.max("longest").alias("longest"))
-
-
-def _covered(docs: _Block, words: int, elsewhere: np.ndarray):
-    """Each document of a block, with a flag for each word that goes, or None for none.
-
-    A window goes if it is among those of smaller documents ``elsewhere``, or if a
-    smaller document of this block has it.
-    """
-    windows = [
-        _EMPTY if doc is None else window_hashes(h, words)
-        for doc, h in zip(docs.ids, docs.hashes)
-    ]
-    ids = np.repeat(
-        np.array([0 if d is None else d for d in docs.ids], np.int64), [len(h) for h in windows]
-    )
-    values, first = np.unique(np.concatenate([_EMPTY, *windows]), return_index=True)
-    least = ids[first]
-    for doc, text, own in zip(docs.ids, docs.texts, windows):
-        tokens = words_of(text.as_py())
-        gone = np.zeros(0, bool)
-        if len(own):
-            gone = _member(own, elsewhere) | (least[np.searchsorted(values, own)] < doc)
-        if not gone.any():
-            yield doc, tokens, None
-            continue
-        change = np.zeros(len(tokens) + 1, np.int64)
-        at = np.flatnonzero(gone)
-        np.add.at(change, at, 1)
-        np.add.at(change, at + words, -1)
-        yield doc, tokens, np.cumsum(change[:-1]) > 0
