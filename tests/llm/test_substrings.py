@@ -194,3 +194,7 @@ def test_extension_of_copies_and_empty_tables(spark, monkeypatch):
     assert kept.count() == longest.count() == 0
     kept, longest = s.drop_and_extend(spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id bigint, text string"))
     assert kept.count() == 2 and longest.count() == 0
+    digest = F.sha2("kept_text", 256).alias("digest")
+    kept, _ = s.drop_and_extend(df, 13, digest)
+    plainly = s.drop_repeated(df).select("doc_id", "n_words", "n_removed", digest)
+    assert sorted(kept.collect()) == sorted(plainly.collect())

@@ -150,12 +150,10 @@ def op5_byte_bpe(spark, sf):
 
 @query
 def op6_substring_dedup(spark, sf):
-    kept, extended = substrings.drop_and_extend(_table(spark, sf, "documents"), words=13)
-    digests = kept.select(
-        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
-    )
+    digest = F.sha2(F.col("kept_text"), 256).alias("kept_sha256")
+    kept, extended = substrings.drop_and_extend(_table(spark, sf, "documents"), 13, digest)
     longest = F.coalesce("longest", F.lit(0).cast("long")).alias("longest_repeat")
-    return digests.join(extended, "doc_id", "left").select(*digests.columns, longest)
+    return kept.join(extended, "doc_id", "left").select(*kept.columns, longest)
 
 
 @query

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velometry.llm.common import stored
@@ -355,18 +355,22 @@ def drop_repeated(documents: DataFrame, words: int = 13) -> DataFrame:
     return decided.select("doc_id", "n_words", "n_removed", "kept_text")
 
 
-def drop_and_extend(documents: DataFrame, words: int = 13) -> tuple[DataFrame, DataFrame]:
+def drop_and_extend(
+    documents: DataFrame, words: int = 13, keep: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The rows of ``drop_repeated``, and ``doc_id, longest`` for those that lose words.
 
     ``longest`` is the longest of the lengths ``words``, twice that, and so on, at which a
     window of the document also starts in a document with a smaller doc_id.  Windows
     repeated at one length alone are extended to twice that length, until none of a
     smaller document survives.  Of rows with the same doc_id the longest counts.
-    The first result is a stored table; null doc_ids and empty tables have no
-    row in the second.
+    The first result is a stored table, in which ``keep``, an expression of ``kept_text``,
+    takes its place if given (a digest needs far less room).  Null doc_ids and empty
+    tables have no row in the second result.
     """
     decided, parts = _decided(documents, words)
-    decided = stored(decided)
+    rows = ["doc_id", "n_words", "n_removed", "kept_text" if keep is None else keep]
+    decided = stored(decided.select(*rows, "block", "base", "runs"))
     state = decided.where(F.length("runs") > 0).select("block", "doc_id", "base", "runs")
     size = words
     levels = [decided.where("n_removed > 0").select("doc_id", F.lit(size).alias("longest"))]
@@ -383,9 +387,7 @@ def drop_and_extend(documents: DataFrame, words: int = 13) -> tuple[DataFrame, D
     for level in levels[1:]:
         found = found.union(level)
     longest = F.max("longest").cast("long").alias("longest")
-    return decided.select("doc_id", "n_words", "n_removed", "kept_text"), found.groupBy(
-        "doc_id"
-    ).agg(longest)
+    return decided.drop("block", "base", "runs"), found.groupBy("doc_id").agg(longest)
 
 
 _STATE = "block bigint, doc_id bigint, base bigint, runs binary"
