@@ -94,7 +94,7 @@ def op1_chat_format(spark, sf):
 
 @query
 def op2_url_filter(spark, sf):
-    return url_filter.judge_urls(_table(spark, sf, "pages"), RULES)
+    return url_filter.judge_urls(_table(spark, sf, "pages"), RULES, url_filter.wide_vocabulary())
 
 
 @query

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from velometry.llm.queries import RULES, TRICKY_ID, TRICKY_TEXT
 from velometry.llm.repetition import RepetitionRules
-from velometry.llm.url_filter import UrlVocabulary
+from velometry.llm.url_filter import wide_vocabulary
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -40,7 +40,7 @@ from steps group by conv_id
 
 
 def _url_filter() -> str:
-    vocabulary = UrlVocabulary()
+    vocabulary = wide_vocabulary()
 
     def hit(term: str) -> str:
         return f"cast(regexp_matches(low, '(^|[^a-z0-9]){term}($|[^a-z0-9])') as bigint)"

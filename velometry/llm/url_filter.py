@@ -34,6 +34,37 @@ class UrlVocabulary:
     soft_limit: int = 2
 
 
+#: Stems by language, chosen for this engine and taken from no published list.  The strict
+#: ones also count with a plural s.  Words that are plain in another of the languages are left out.
+STRICT_STEMS = {
+    "en": ("casino", "porn", "sexcam", "camgirl", "milf", "sportsbook", "freebet", "viagra", "cialis"),
+    "es": ("porno", "sexo", "prostituta", "tragaperra", "apuesta"),
+    "fr": ("sexe", "pornographie", "prostituee"),
+    "de": ("gluecksspiel", "spielautomat", "sexkontakt", "erotik"),
+    "it": ("pornografia", "scommesse"),
+    "pt": ("putaria", "aposta"),
+}
+SOFT_STEMS = {
+    "en": ("betting", "gambling", "slots", "roulette", "blackjack", "payday", "forex", "cheapest",
+           "giveaway", "jackpots", "escorts", "erotic", "nude", "pharmacy", "pill"),
+    "es": ("gratis", "barato", "baratos", "premio", "premios", "loteria", "ganar"),
+    "fr": ("gratuit", "gratuits", "loterie", "rencontres", "gagner", "pari", "paris-sportifs"),
+    "de": ("gratis", "kostenlos", "lotterie", "wetten", "gewinnspiel", "billig", "kredit"),
+    "it": ("gratis", "lotteria", "vincere"),
+    "pt": ("gratis", "loteria", "ganhar"),
+}
+
+
+def wide_vocabulary() -> UrlVocabulary:
+    """The default terms and those of ``STRICT_STEMS`` and ``SOFT_STEMS``: about a hundred."""
+    stems = {stem for words in STRICT_STEMS.values() for stem in words}
+    forms = stems | {stem + "s" for stem in stems if not stem.endswith("s")}
+    soft = {stem for words in SOFT_STEMS.values() for stem in words}
+    base = UrlVocabulary()
+    strict = tuple(sorted(forms.union(base.strict)))
+    return UrlVocabulary(strict, tuple(sorted(soft.union(base.soft))), base.soft_limit)
+
+
 @dataclass(frozen=True)
 class Rule:
     """``verdict`` for a host and its subdomains where the path starts with ``path``."""
