@@ -249,3 +249,12 @@ def test_dense_pairs_are_summed_up_without_sorting_them(spark, tmp_path):
     plan = summed._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate(key=[start_station_name" not in plan
     assert len(found) == 300 and {r.pairs for r in found.values()} == {100, 200}
+
+
+def test_a_crowded_cell_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(supply, "_PER_BLOCK", 10, raising=False)
+    short, over = _block(spark, "S", 100, 1e-6), _block(spark, "N", 100, 1e-6)
+    pairs = supply.supply_pairs(short, over, 0.2)
+    tasks = pairs.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(t["count"] for t in tasks) == 100 * 100
+    assert max(t["count"] for t in tasks) < 100 * 100 / 2
