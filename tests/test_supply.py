@@ -258,3 +258,12 @@ def test_a_crowded_cell_is_dealt_to_many_tasks(spark, monkeypatch):
     tasks = pairs.groupBy(F.spark_partition_id()).count().collect()
     assert sum(t["count"] for t in tasks) == 100 * 100
     assert max(t["count"] for t in tasks) < 100 * 100 / 2
+
+
+def test_the_nearest_few_metres_apart_look_no_farther(spark):
+    short, over = _block(spark, "S", 400, 1e-6), _block(spark, "N", 400, 1e-6)
+    nearest = supply.nearest_pairs(short, over, 5)
+    first = nearest.filter("rank = 1")
+    assert nearest.count() == 400 * 5
+    assert first.filter("substr(start_station_name, 2) <> substr(near_station_name, 2)").count() == 0
+    assert _made(nearest) < 400 * 100
