@@ -267,3 +267,35 @@ def test_the_nearest_few_metres_apart_look_no_farther(spark):
     assert nearest.count() == 400 * 5
     assert first.filter("substr(start_station_name, 2) <> substr(near_station_name, 2)").count() == 0
     assert _made(nearest) < 400 * 100
+
+
+def test_no_row_holds_the_stations_of_an_hour_but_the_result(spark):
+    short, over = _block(spark, "S", 300, 1e-4), _block(spark, "N", 300, 1e-4)
+    lists = supply.nearby_supply(short, over, per_task=1)
+    assert {len(r.nearby_stations) for r in lists.collect()} == {300}
+    assert "collect_list" not in lists._jdf.queryExecution().executedPlan().toString()
+    assert _most(lists, "Generate") <= 300 * 64
+
+
+def test_full_list_with_unknown_places(spark):
+    over = hours(
+        spark,
+        ("b", DAY, 9, 1, 40.1, -74.0),
+        ("a", DAY, 9, 1, None, -74.0),
+        (None, DAY, 9, 1, 40.0, -74.0),
+        ("c", DAY, 9, 1, math.nan, -74.0),
+        ("d", DAY, 10, 1, 40.0, -74.0),
+    )
+    short = hours(
+        spark,
+        ("S", DAY, 9, 1, 40.0, -74.0),
+        ("T", DAY, 9, 1, 40.0, None),
+        (None, DAY, 9, 1, 40.2, -74.0),
+        ("alone", DAY, 11, 1, 40.0, -74.0),
+    )
+    found = {r.start_station_name: r.nearby_stations for r in supply.nearby_supply(short, over).collect()}
+    assert found == {
+        "S": ["a", None, "c", "b"],
+        "T": [None, "a", "b", "c"],
+        None: ["a", "c", "b", None],
+    }
