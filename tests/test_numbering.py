@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from velometry.functions import numbering
 from velometry.functions.numbering import numbered
 from velometry.functions.quantile import exact_quantile
 from velometry.operators.taxi import od_pairs
@@ -63,3 +64,15 @@ def test_a_quantile_of_groups_leaves_the_value_above_the_grouping(spark):
     plan = median._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.rindex("Aggregate [") :].partition("\n")[2]
     assert "ACOS" in plan and "ACOS" not in below
+
+
+@pytest.mark.parametrize("bits", [31, 2, 0])
+def test_each_value_has_a_number_of_its_own(spark, monkeypatch, bits):
+    monkeypatch.setattr(numbering, "_HASH_BITS", bits)
+    texts = [*(f"v{i % 40}" for i in range(100)), None, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "at int, text string")
+    changed, numbers = numbering.by_number(df, "text")
+    value = {r.number: r.value for r in numbers.collect()}
+    assert len(value) == 41 and set(value.values()) == set(texts)
+    assert changed.dtypes == [("at", "int"), ("text", "bigint")]
+    assert [value[r.text] for r in changed.orderBy("at").collect()] == texts

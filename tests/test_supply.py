@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from frames import hours, rows, stations
@@ -334,3 +335,12 @@ def test_the_arc_over_a_straight_line_is_the_haversine(spark):
         assert arc == pytest.approx(km, rel=1e-12, abs=3e-12)
     assert found[len(near) + 1][0] == 0.0
     assert [tuple(r) for r in found[-3:]] == [(None, None)] * 3
+
+
+def test_dense_pairs_are_grouped_by_number(spark, tmp_path):
+    spark.range(600).selectExpr("id as c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    summed = catalogue.all_queries()["dense_supply_pairs"](spark, str(tmp_path))
+    text = summed._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[start_station_name#\d+L\]", text)
+    assert not re.search(r"HashAggregate\(keys=\[start_station_name#\d+\]", text)
+    assert {r.start_station_name for r in summed.collect()} == {f"C{i}" for i in range(0, 600, 2)}
